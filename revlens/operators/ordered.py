@@ -79,10 +79,14 @@ def ordered_prefix(df: DataFrame, order_by: list[Column], value_col: str | None
         fields.append(T.StructField("_lsum", T.LongType(), False))
     local = ranged.mapInPandas(_local_prefix(value_col), T.StructType(fields))
 
-    aggs = [F.max("_lrn").alias("_pcnt")]
+    # per-partition totals straight from the (reused) range exchange, on the JVM
+    # side, so the Python pass above runs once
+    aggs = [F.count(F.lit(1)).alias("_pcnt")]
     if value_col is not None:
-        aggs.append(F.max_by("_lsum", "_lrn").alias("_psum"))
-    per_part = local.groupBy("_pid").agg(*aggs)
+        aggs.append(F.sum(F.coalesce(F.col(value_col), F.lit(0))).alias("_psum"))
+    per_part = (ranged.select(F.spark_partition_id().alias("_pid"),
+                              *([value_col] if value_col is not None else []))
+                      .groupBy("_pid").agg(*aggs))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # at most ``n_parts`` rows: the single-partition window and the broadcast are bounded

@@ -2,7 +2,8 @@
 
 AGG-1..7, WIN-1/2, JOIN-5/6, JOB-2 building blocks.  Money is summed as
 ``decimal(18,4)`` (exact, so results do not depend on partitioning or on the
-engine); ratios are rounded to six decimals.
+engine); ratios are computed from those exact sums with the same double
+operations in every engine, so they are not rounded.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from .. import functions as RF
 from .ordered import from_units, ordered_prefix, to_units
 
-SHARE_DECIMALS = 6
 
 
 def global_total(df: DataFrame, value: str, alias: str = "total") -> DataFrame:
@@ -35,12 +35,14 @@ def sum_by_key(df: DataFrame, keys: list[str], value: str, alias: str | None = N
 
 def revenue_shares(df: DataFrame, keys: list[str], value: str = "NetRevenue",
                    share_name: str = "shareOfRevenue",
-                   cumulative_name: str = "cumulatedShare") -> DataFrame:
+                   cumulative_name: str = "cumulatedShare",
+                   keep_count: bool = False) -> DataFrame:
     """AGG-3 + WIN-1: per-key sum, share of the total in percent and the
     running share in descending share order (ties broken by key).
 
-    Output: keys, ``value`` (double), share, cumulative share, ``rank`` (1-based).
-    The running sum is a distributed ordered prefix, not a global window.
+    Output: keys, ``value`` (double), share, cumulative share, ``rank`` (1-based)
+    and, with ``keep_count``, ``n_keys``.  The running sum is a distributed
+    ordered prefix, not a global window.
     """
     # one pass over the lines: the null-key group only feeds the total, as the
     # reference's denominator is the sum over all rows
@@ -54,23 +56,21 @@ def revenue_shares(df: DataFrame, keys: list[str], value: str = "NetRevenue",
     return out.select(
         *keys,
         F.col("_dec").cast("double").alias(value),
-        F.round(F.col("_dec").cast("double") / tot * 100, SHARE_DECIMALS).alias(share_name),
-        F.round(from_units(F.col("_prefix")).cast("double") / tot * 100, SHARE_DECIMALS)
-         .alias(cumulative_name),
+        (F.col("_dec").cast("double") / tot * 100).alias(share_name),
+        (from_units(F.col("_prefix")).cast("double") / tot * 100).alias(cumulative_name),
         F.col("_rownum").alias("rank"),
+        *([F.col("_n").alias("n_keys")] if keep_count else []),
     )
 
 
 def top_fraction_keys(shares: DataFrame, keys: list[str], fraction: float = 0.25) -> DataFrame:
     """WIN-2: the first ``floor(n * fraction)`` keys of a ranked share table.
 
-    ``shares`` is the output of :func:`revenue_shares`; ``n`` comes from the
-    same ordered prefix, so no extra count job runs on the driver.
+    ``shares`` is the output of :func:`revenue_shares` with ``keep_count``;
+    ``n_keys`` comes from the same ordered prefix, so no count job runs.
     """
-    n = shares.agg(F.max("rank").alias("_n"))
-    return (shares.crossJoin(F.broadcast(n))
-                  .where(F.col("rank") <= F.floor(F.col("_n") * F.lit(fraction)))
-                  .drop("_n"))
+    return (shares.where(F.col("rank") <= F.floor(F.col("n_keys") * F.lit(fraction)))
+                  .drop("n_keys"))
 
 
 def top_customers(orders: DataFrame, fraction: float = 0.25, key: str = "CustomerID",
@@ -81,7 +81,7 @@ def top_customers(orders: DataFrame, fraction: float = 0.25, key: str = "Custome
     semi join is a sort-merge join unless AQE measures the key set as small;
     a customer with a third of all lines is split by AQE's skew handling.
     """
-    shares = revenue_shares(orders, [key], value)
+    shares = revenue_shares(orders, [key], value, keep_count=True)
     keys = top_fraction_keys(shares, [key], fraction).select(key)
     return orders.join(keys, key, "left_semi")
 

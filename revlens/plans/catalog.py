@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import SALES_SQL, sales
 from ..functions import year_range
-from ..operators import segment
+from ..operators import clean, explore, segment, timeaxis
+from .. import functions as RF
 
 ANALYSIS_YEAR = 2000
 REFERENCE_DATE = "2001-12-31"
@@ -77,8 +78,8 @@ ranked AS (SELECT CustomerID, rev,
                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
            FROM per_cust WHERE CustomerID IS NOT NULL)
 SELECT CustomerID, CAST(rev AS DOUBLE) AS NetRevenue,
-       round(CAST(rev AS DOUBLE) / CAST(total AS DOUBLE) * 100, 6) AS shareOfRevenue,
-       round(CAST(cum AS DOUBLE) / CAST(total AS DOUBLE) * 100, 6) AS cumulatedShare,
+       CAST(rev AS DOUBLE) / CAST(total AS DOUBLE) * 100 AS shareOfRevenue,
+       CAST(cum AS DOUBLE) / CAST(total AS DOUBLE) * 100 AS cumulatedShare,
        rn AS rank
 FROM ranked, tot
 """))
@@ -87,6 +88,440 @@ def q_customer_revenue_shares(spark, sf_dir):
     return segment.revenue_shares(s, ["CustomerID"])
 
 
+# ---------------------------------------------------------------------------
+# Cleaning, derived columns, filters, de-duplication
+# ---------------------------------------------------------------------------
+
+@register("order_calendar_features", with_sales(f"""
+o AS (SELECT DISTINCT OrderNumber, OrderDate FROM sales)
+SELECT OrderNumber, OrderDate,
+       CASE ((month(OrderDate) % 12 + 2) // 3) % 4 + 1
+            WHEN 1 THEN 'Winter' WHEN 2 THEN 'Spring' WHEN 3 THEN 'Summer' ELSE 'Autumn' END AS Season,
+       CASE WHEN month(OrderDate) IN (12, 1, 2) THEN 'Winter'
+            WHEN month(OrderDate) IN (3, 4, 5) THEN 'Spring'
+            WHEN month(OrderDate) IN (6, 7, 8) THEN 'Summer'
+            WHEN month(OrderDate) IN (9, 10, 11) THEN 'Autumn' ELSE 'Unknown' END AS SeasonMeteorological,
+       datediff('day', OrderDate, DATE '{REFERENCE_DATE}') AS daysSinceLastOrder
+FROM o
+"""))
+def q_order_calendar_features(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderNumber", "OrderDate"]).distinct()
+    s = clean.add_seasons(s)
+    return clean.add_days_since(s, REFERENCE_DATE)
+
+
+@register("filtered_year_lines", with_sales(f"""
+f AS (SELECT * FROM sales
+      WHERE OrderDate >= DATE '{ANALYSIS_YEAR}-01-01' AND OrderDate < DATE '{ANALYSIS_YEAR + 1}-01-01'
+        AND coalesce(Quantity, 1.0) >= 1.0 AND OrderDate <= DATE '{REFERENCE_DATE}'
+        AND Quantity <= 45 AND SalesChannel IN ('MACHINERY', 'BUILDING', 'AUTOMOBILE'))
+SELECT RevenueType, SalesChannel, count(*) AS lines, sum(Quantity) AS sumQuantity,
+       CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) AS DOUBLE) AS sumRevenue
+FROM f GROUP BY RevenueType, SalesChannel
+"""))
+def q_filtered_year_lines(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderDate", "Quantity", "NetRevenue", "RevenueType", "SalesChannel"])
+    s = clean.year_equals(s, ANALYSIS_YEAR)
+    s = clean.min_quantity(s, 1.0)
+    s = clean.not_in_future(s, REFERENCE_DATE)
+    s = clean.range_filter(s, "Quantity", high=45)
+    s = clean.in_list(s, "SalesChannel", ["MACHINERY", "BUILDING", "AUTOMOBILE"])
+    return s.groupBy("RevenueType", "SalesChannel").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("Quantity").alias("sumQuantity"),
+        RF.money_sum("NetRevenue").alias("sumRevenue"))
+
+
+_DEDUPE_COLS = ["OrderNumber", "ArticleID", "OrderDate", "CustomerID", "Quantity",
+                "NetRevenue", "RevenueType", "Type"]
+
+
+@register("dedupe_lines", with_sales("""
+r AS (SELECT OrderNumber, ArticleID, OrderDate, CustomerID, Quantity, NetRevenue, RevenueType, Type,
+             row_number() OVER (PARTITION BY OrderNumber, ArticleID, OrderDate, CustomerID
+                                ORDER BY Quantity, NetRevenue, RevenueType, Type) AS rn
+      FROM sales)
+SELECT OrderNumber, ArticleID, OrderDate, CustomerID, Quantity, NetRevenue, RevenueType, Type
+FROM r WHERE rn = 1
+"""))
+def q_dedupe_lines(spark, sf_dir):
+    return clean.dedupe_first(sales(spark, sf_dir, _DEDUPE_COLS))
+
+
+@register("duplicate_lines", with_sales("""
+c AS (SELECT OrderNumber, ArticleID FROM sales GROUP BY 1, 2 HAVING count(*) > 1)
+SELECT s.OrderNumber, s.ArticleID, s.Quantity, s.NetRevenue, s.RevenueType, s.Type
+FROM sales s JOIN c USING (OrderNumber, ArticleID)
+"""))
+def q_duplicate_lines(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderNumber", "ArticleID", "Quantity", "NetRevenue", "RevenueType", "Type"])
+    return clean.duplicates_keep_all(s, ["OrderNumber", "ArticleID"])
+
+
+# ---------------------------------------------------------------------------
+# Exploration tables
+# ---------------------------------------------------------------------------
+
+def _top_sql(group, n):
+    return with_sales(f"""
+SELECT {group}, CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) AS DOUBLE) AS NetRevenue
+FROM sales WHERE {group} IS NOT NULL GROUP BY {group}
+ORDER BY NetRevenue DESC, {group} LIMIT {n}
+""")
+
+
+for _group, _n in [("City", 10), ("CustomerID", 10), ("ProductGroup", 5), ("Season", 4),
+                   ("IndustryGroup", 5)]:
+    def _mk(group=_group, n=_n):
+        def q(spark, sf_dir):
+            return explore.top_n_by_sum(sales(spark, sf_dir, [group, "NetRevenue"]), group, "NetRevenue", n)
+        return q
+    register(f"top{_n}_{_group.lower()}_by_revenue", _top_sql(_group, _n))(_mk())
+
+
+@register("value_counts_subgroup", with_sales("""
+SELECT ProductSubgroup, count(*) AS count FROM sales WHERE ProductSubgroup IS NOT NULL
+GROUP BY ProductSubgroup
+"""))
+def q_value_counts_subgroup(spark, sf_dir):
+    return explore.value_counts(sales(spark, sf_dir, ["ProductSubgroup"]), "ProductSubgroup")
+
+
+@register("value_share_industry", with_sales("""
+c AS (SELECT IndustryGroup, count(*) AS count FROM sales GROUP BY IndustryGroup),
+t AS (SELECT sum(count) AS total FROM c)
+SELECT IndustryGroup, count, count / total * 100 AS percent,
+       printf('%.2f%%', count / total * 100) AS label
+FROM c, t WHERE IndustryGroup IS NOT NULL
+"""))
+def q_value_share_industry(spark, sf_dir):
+    return explore.value_share_pct(sales(spark, sf_dir, ["IndustryGroup"]), "IndustryGroup")
+
+
+@register("top15_company_plus_others", with_sales("""
+c AS (SELECT Company, count(*) AS count FROM sales GROUP BY Company),
+t AS (SELECT sum(count) AS total FROM c),
+s AS (SELECT Company, count, count / total * 100 AS percent FROM c, t WHERE Company IS NOT NULL),
+top AS (SELECT * FROM s ORDER BY count DESC, Company LIMIT 15)
+SELECT * FROM top
+UNION ALL
+SELECT 'Others', sum(count), sum(count) / (SELECT total FROM t) * 100 FROM s WHERE Company NOT IN (SELECT Company FROM top)
+"""))
+def q_top15_company_plus_others(spark, sf_dir):
+    return explore.top_n_plus_others(sales(spark, sf_dir, ["Company"]), "Company", 15)
+
+
+@register("count_distinct_sales", with_sales("""
+SELECT count(DISTINCT OrderNumber) AS distinct_OrderNumber, count(DISTINCT ArticleID) AS distinct_ArticleID,
+       count(DISTINCT ProductSubgroup) AS distinct_ProductSubgroup FROM sales
+"""))
+def q_count_distinct_sales(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderNumber", "ArticleID", "ProductSubgroup"])
+    return explore.count_distinct(s, ["OrderNumber", "ArticleID", "ProductSubgroup"])
+
+
+@register("item_features", with_sales("""
+SELECT ArticleID, CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) AS DOUBLE) AS sumRevenue,
+       CAST(sum(CAST(PricePackagingUnit AS DECIMAL(18,4))) AS DOUBLE) AS sumPrice, sum(Quantity) AS sumQuantity, count(*) AS rowCount
+FROM sales GROUP BY ArticleID
+"""))
+def q_item_features(spark, sf_dir):
+    s = sales(spark, sf_dir, ["ArticleID", "NetRevenue", "PricePackagingUnit", "Quantity"])
+    return explore.item_features(s)
+
+
+@register("describe_lines", with_sales("""
+SELECT * FROM (
+  SELECT 'Quantity' AS "column", count(Quantity) AS count, round(avg(Quantity), 4) AS mean,
+         round(stddev_samp(Quantity), 4) AS std, CAST(min(Quantity) AS DOUBLE) AS min,
+         round(quantile_cont(Quantity, 0.25), 4) AS q25, round(quantile_cont(Quantity, 0.5), 4) AS q50,
+         round(quantile_cont(Quantity, 0.75), 4) AS q75, CAST(max(Quantity) AS DOUBLE) AS max FROM sales
+  UNION ALL
+  SELECT 'NetRevenue', count(NetRevenue), round(avg(NetRevenue), 4), round(stddev_samp(NetRevenue), 4),
+         min(NetRevenue), round(quantile_cont(NetRevenue, 0.25), 4), round(quantile_cont(NetRevenue, 0.5), 4),
+         round(quantile_cont(NetRevenue, 0.75), 4), max(NetRevenue) FROM sales)
+"""))
+def q_describe_lines(spark, sf_dir):
+    d = explore.describe(sales(spark, sf_dir, ["Quantity", "NetRevenue"]), ["Quantity", "NetRevenue"])
+    return d.select("column", "count", *[F.round(c, 4).alias(c) for c in ["mean", "std"]], "min",
+                    *[F.round(c, 4).alias(c) for c in ["q25", "q50", "q75"]], "max")
+
+
+@register("null_counts_sales", with_sales("""
+SELECT * FROM (VALUES ('CustomerID', (SELECT count(*) - count(CustomerID) FROM sales)),
+                      ('City', (SELECT count(*) - count(City) FROM sales)),
+                      ('ProductSubgroup', (SELECT count(*) - count(ProductSubgroup) FROM sales)),
+                      ('Quantity', (SELECT count(*) - count(Quantity) FROM sales))) AS t("column", nulls)
+"""))
+def q_null_counts_sales(spark, sf_dir):
+    cols = ["CustomerID", "City", "ProductSubgroup", "Quantity"]
+    return explore.null_counts(sales(spark, sf_dir, cols), cols)
+
+
+@register("mean_quantity_by_type_channel", with_sales("""
+SELECT Type, SalesChannel, avg(Quantity) AS meanQuantity FROM sales GROUP BY Type, SalesChannel
+"""))
+def q_mean_quantity(spark, sf_dir):
+    s = sales(spark, sf_dir, ["Type", "SalesChannel", "Quantity"])
+    m = explore.conditional_mean(s, ["Type", "SalesChannel"], "Quantity")
+    return m
+
+
+@register("order_date_histogram", with_sales("""
+x AS (SELECT SalesChannel, CAST(datediff('day', DATE '1970-01-01', OrderDate) AS DOUBLE) AS x FROM sales),
+b AS (SELECT min(x) AS lo, max(x) AS hi FROM x),
+k AS (SELECT SalesChannel, CASE WHEN hi = lo THEN 0
+                 ELSE CAST(least(floor((x - lo) / ((hi - lo) / 52)), 51) AS INTEGER) END AS bin, lo, hi FROM x, b)
+SELECT SalesChannel, bin, count(*) AS count, min(lo + bin * ((hi - lo) / 52)) AS bin_start
+FROM k GROUP BY SalesChannel, bin
+"""))
+def q_order_date_histogram(spark, sf_dir):
+    return explore.histogram(sales(spark, sf_dir, ["SalesChannel", "OrderDate"]), "OrderDate", 52, "SalesChannel")
+
+
+@register("value_range_sales", with_sales("""
+SELECT min(Quantity) AS min_Quantity, max(Quantity) AS max_Quantity,
+       min(OrderDate) AS min_OrderDate, max(OrderDate) AS max_OrderDate FROM sales
+"""))
+def q_value_range(spark, sf_dir):
+    return explore.value_range(sales(spark, sf_dir, ["Quantity", "OrderDate"]), ["Quantity", "OrderDate"])
+
+
+@register("distinct_subgroups", with_sales("""
+SELECT DISTINCT ProductSubgroup FROM sales WHERE ProductSubgroup IS NOT NULL
+"""))
+def q_distinct_subgroups(spark, sf_dir):
+    return explore.distinct_values(sales(spark, sf_dir, ["ProductSubgroup"]), "ProductSubgroup")
+
+
+# ---------------------------------------------------------------------------
+# Time axis
+# ---------------------------------------------------------------------------
+
+_WEEK = "CAST(date_trunc('week', OrderDate - INTERVAL 1 DAY) AS DATE)"
+
+
+def _weekly_sql(keys: list[str], where: str = "TRUE") -> str:
+    k = ", ".join(keys)
+    on = " AND ".join(f"s.{c} = w.{c}" for c in keys)
+    return f"""
+w AS (SELECT {k}, {_WEEK} AS week, CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) AS DOUBLE) AS NetRevenue,
+             sum(Quantity) AS Quantity
+      FROM sales WHERE {where} GROUP BY ALL),
+span AS (SELECT {k}, min(week) AS a, max(week) AS b FROM w GROUP BY ALL),
+spine AS (SELECT {k}, CAST(unnest(generate_series(a, b, INTERVAL 7 DAY)) AS DATE) AS week FROM span),
+series AS (SELECT {", ".join("s." + c for c in keys)}, s.week, coalesce(w.NetRevenue, 0.0) AS NetRevenue,
+                  coalesce(w.Quantity, 0.0) AS Quantity
+           FROM spine s LEFT JOIN w ON {on} AND s.week = w.week)
+"""
+
+
+def _weekly(spark, sf_dir, keys, year=None):
+    s = sales(spark, sf_dir, keys + ["OrderDate", "NetRevenue", "Quantity"])
+    if year is not None:
+        s = clean.year_equals(s, year)
+    return timeaxis.weekly_sum(s, keys, ["NetRevenue", "Quantity"])
+
+
+@register("weekly_revenue_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+SELECT * FROM series"""))
+def q_weekly_revenue_by_center(spark, sf_dir):
+    return _weekly(spark, sf_dir, ["DistributionCenter"])
+
+
+_YEAR_WHERE = f"OrderDate >= DATE '{ANALYSIS_YEAR}-01-01' AND OrderDate < DATE '{ANALYSIS_YEAR + 1}-01-01'"
+
+
+@register("weekly_quantity_by_subgroup_center", with_sales(
+    _weekly_sql(["ProductSubgroup", "DistributionCenter"], _YEAR_WHERE) + "SELECT * FROM series"))
+def q_weekly_subgroup_center(spark, sf_dir):
+    return _weekly(spark, sf_dir, ["ProductSubgroup", "DistributionCenter"], ANALYSIS_YEAR)
+
+
+@register("daily_revenue", with_sales("""
+SELECT OrderDate AS day, CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) AS DOUBLE) AS NetRevenue
+FROM sales GROUP BY OrderDate
+"""))
+def q_daily_revenue(spark, sf_dir):
+    return timeaxis.daily_sum(sales(spark, sf_dir, ["OrderDate", "NetRevenue"]), [], ["NetRevenue"])
+
+
+@register("first_130_weeks_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+SELECT DistributionCenter, week, NetRevenue FROM (
+  SELECT *, row_number() OVER (PARTITION BY DistributionCenter ORDER BY week) AS rn FROM series) WHERE rn <= 130
+"""))
+def q_first_130_weeks(spark, sf_dir):
+    return timeaxis.first_n(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"], 130) \
+        .select("DistributionCenter", "week", "NetRevenue")
+
+
+_LAG_COLS = ", ".join(f"lag(NetRevenue, {k}) OVER w AS lag_{k}" for k in range(1, 11))
+
+
+@register("lag_features_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + f"""
+, l AS (SELECT DistributionCenter, week, NetRevenue AS target, {_LAG_COLS},
+              row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY DistributionCenter) AS m
+       FROM series WINDOW w AS (PARTITION BY DistributionCenter ORDER BY week))
+SELECT DistributionCenter, week, target, {", ".join(f"lag_{k}" for k in range(1, 11))}
+FROM l WHERE i >= 10 AND i < m - 1
+"""))
+def q_lag_features(spark, sf_dir):
+    lf = timeaxis.lag_frame(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                            "NetRevenue", 10)
+    return lf.select("DistributionCenter", "week", "target",
+                     *[F.element_at("lags", 11 - k).alias(f"lag_{k}") for k in range(1, 11)])
+
+
+@register("train_test_split_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+SELECT DistributionCenter, week, NetRevenue,
+       CASE WHEN row_number() OVER w - 1 < floor(count(*) OVER (PARTITION BY DistributionCenter) * 0.8)
+            THEN 'train' ELSE 'test' END AS split
+FROM series WINDOW w AS (PARTITION BY DistributionCenter ORDER BY week)
+"""))
+def q_train_test_split(spark, sf_dir):
+    t = timeaxis.train_test_by_position(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"], 0.8)
+    return t.select("DistributionCenter", "week", "NetRevenue", "split")
+
+
+@register("last_week_by_subgroup", with_sales(f"""
+SELECT ProductSubgroup, max({_WEEK}) AS last_week FROM sales GROUP BY ProductSubgroup
+"""))
+def q_last_week(spark, sf_dir):
+    s = sales(spark, sf_dir, ["ProductSubgroup", "OrderDate"]).withColumn("week", RF.week_start("OrderDate"))
+    return timeaxis.last_date(s, ["ProductSubgroup"])
+
+
+@register("future_weeks_by_center", with_sales(f"""
+l AS (SELECT DistributionCenter, max({_WEEK}) AS last_week FROM sales GROUP BY DistributionCenter)
+SELECT DistributionCenter, CAST(last_week + INTERVAL (7 * s) DAY AS DATE) AS week, s AS step
+FROM l, range(1, 53) t(s)
+"""))
+def q_future_weeks(spark, sf_dir):
+    s = sales(spark, sf_dir, ["DistributionCenter", "OrderDate"]).withColumn("week", RF.week_start("OrderDate"))
+    return timeaxis.future_weeks(timeaxis.last_date(s, ["DistributionCenter"]), ["DistributionCenter"], 52)
+
+
+@register("moving_average_52_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+SELECT DistributionCenter, week, NetRevenue,
+       CASE WHEN count(NetRevenue) OVER (w ROWS BETWEEN 26 PRECEDING AND 26 FOLLOWING) = 53
+            THEN (CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) OVER (w ROWS BETWEEN 26 PRECEDING AND 25 FOLLOWING) AS DOUBLE) / 52
+                  + CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) OVER (w ROWS BETWEEN 25 PRECEDING AND 26 FOLLOWING) AS DOUBLE) / 52) / 2 END AS trend
+FROM series WINDOW w AS (PARTITION BY DistributionCenter ORDER BY week)
+"""))
+def q_moving_average(spark, sf_dir):
+    m = timeaxis.centered_moving_average(_weekly(spark, sf_dir, ["DistributionCenter"]),
+                                         ["DistributionCenter"], "NetRevenue", 52)
+    return m.select("DistributionCenter", "week", "NetRevenue", "trend")
+
+
+# ---------------------------------------------------------------------------
+# More segment features
+# ---------------------------------------------------------------------------
+
+@register("rfm_events_rows", """
+SELECT CAST(user_id AS VARCHAR) AS CustomerID,
+       datediff('day', max(CAST(ts AS DATE)), DATE '2024-02-01') AS daysSinceLastOrder,
+       count(*) AS orderCount, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS sumRevenue
+FROM events WHERE user_id IS NOT NULL GROUP BY user_id
+""")
+def q_rfm_events_rows(spark, sf_dir):
+    from ..sources.tables import events_as_sales
+    return segment.rfm_features(events_as_sales(spark, sf_dir), "2024-02-01", frequency="rows")
+
+
+_ITEM_WHERE = (f"OrderDate >= DATE '{ANALYSIS_YEAR}-01-01' AND OrderDate < DATE '{ANALYSIS_YEAR + 1}-01-01' "
+               f"AND coalesce(Quantity, 1.0) >= 1.0 AND OrderDate <= DATE '{REFERENCE_DATE}'")
+
+
+def _item_dataset(spark, sf_dir, extra=("DistributionCenter",)):
+    s = sales(spark, sf_dir, ["OrderNumber", "OrderDate", "Quantity", "NetRevenue", "ProductSubgroup", *extra])
+    s = clean.year_equals(s, ANALYSIS_YEAR)
+    s = clean.min_quantity(s, 1.0)
+    return clean.not_in_future(s, REFERENCE_DATE)
+
+
+@register("item_rfc_features", with_sales(f"""
+SELECT ProductSubgroup, DistributionCenter,
+       datediff('day', max(OrderDate), DATE '{REFERENCE_DATE}') AS daysSinceLastOrder,
+       count(OrderNumber) AS orderCount, sum(coalesce(Quantity, 1.0)) AS sumQuantity
+FROM sales WHERE {_ITEM_WHERE} AND ProductSubgroup IS NOT NULL AND DistributionCenter IS NOT NULL
+GROUP BY ProductSubgroup, DistributionCenter
+"""))
+def q_item_rfc_features(spark, sf_dir):
+    return segment.rfc_features(_item_dataset(spark, sf_dir), REFERENCE_DATE)
+
+
+@register("item_rfm_by_state", with_sales(f"""
+SELECT ProductSubgroup, State,
+       datediff('day', max(OrderDate), DATE '{REFERENCE_DATE}') AS daysSinceLastOrder,
+       count(OrderNumber) AS orderCount, CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) AS DOUBLE) AS sumRevenue
+FROM sales WHERE {_ITEM_WHERE} AND ProductSubgroup IS NOT NULL AND State IS NOT NULL
+GROUP BY ProductSubgroup, State
+"""))
+def q_item_rfm_by_state(spark, sf_dir):
+    items = _item_dataset(spark, sf_dir, ("State",))
+    return segment.rfm_features(items, REFERENCE_DATE, key=["ProductSubgroup", "State"], frequency="lines")
+
+
+def _shares_sql(keys: list[str], value: str, where: str = "TRUE") -> str:
+    k = ", ".join(keys)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+    return with_sales(f"""
+per AS (SELECT {k}, sum(CAST({value} AS DECIMAL(18,4))) AS v FROM sales WHERE {where} GROUP BY ALL),
+tot AS (SELECT sum(v) AS total FROM per),
+ranked AS (SELECT {k}, v, row_number() OVER (ORDER BY v DESC, {k}) AS rn,
+                  sum(v) OVER (ORDER BY v DESC, {k} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+           FROM per WHERE {nn})
+SELECT {k}, CAST(v AS DOUBLE) AS {value},
+       CAST(v AS DOUBLE) / CAST(total AS DOUBLE) * 100 AS shareOfRevenue,
+       CAST(cum AS DOUBLE) / CAST(total AS DOUBLE) * 100 AS cumulatedShare, rn AS rank
+FROM ranked, tot
+""")
+
+
+@register("subgroup_center_revenue_shares",
+          _shares_sql(["ProductSubgroup", "DistributionCenter"], "NetRevenue", _ITEM_WHERE))
+def q_subgroup_center_revenue_shares(spark, sf_dir):
+    return segment.revenue_shares(_item_dataset(spark, sf_dir), ["ProductSubgroup", "DistributionCenter"])
+
+
+@register("subgroup_center_quantity_shares",
+          _shares_sql(["ProductSubgroup", "DistributionCenter"], "Quantity", _ITEM_WHERE))
+def q_subgroup_center_quantity_shares(spark, sf_dir):
+    return segment.revenue_shares(_item_dataset(spark, sf_dir), ["ProductSubgroup", "DistributionCenter"],
+                                  value="Quantity")
+
+
+@register("customers_for_90pct_revenue", with_sales("""
+per AS (SELECT CustomerID, sum(CAST(NetRevenue AS DECIMAL(18,4))) AS v FROM sales GROUP BY CustomerID),
+tot AS (SELECT sum(v) AS total FROM per),
+r AS (SELECT sum(v) OVER (ORDER BY v DESC, CustomerID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+      FROM per WHERE CustomerID IS NOT NULL)
+SELECT count(*) AS customers FROM r, tot WHERE CAST(cum AS DOUBLE) / CAST(total AS DOUBLE) * 100 <= 90
+"""))
+def q_customers_for_90pct(spark, sf_dir):
+    sh = segment.revenue_shares(sales(spark, sf_dir, ["CustomerID", "NetRevenue"]), ["CustomerID"])
+    return clean.range_filter(sh, "cumulatedShare", high=90).agg(F.count(F.lit(1)).alias("customers"))
+
+
+@register("top_quarter_revenue_share", with_sales(f"""
+yr AS (SELECT * FROM sales WHERE {_YEAR_WHERE}),
+per AS (SELECT CustomerID, sum(CAST(NetRevenue AS DECIMAL(18,4))) AS v FROM yr GROUP BY CustomerID),
+tot AS (SELECT sum(v) AS total FROM per),
+r AS (SELECT v, row_number() OVER (ORDER BY v DESC, CustomerID) AS rn, count(*) OVER () AS n
+      FROM per WHERE CustomerID IS NOT NULL)
+SELECT CAST(sum(v) AS DOUBLE) / CAST(max(total) AS DOUBLE) * 100 AS topShare, count(*) AS customers
+FROM r, tot WHERE rn <= floor(n * 0.25)
+"""))
+def q_top_quarter_share(spark, sf_dir):
+    orders = _year_sales(spark, sf_dir, ["OrderDate", "CustomerID", "NetRevenue"])
+    sh = segment.revenue_shares(orders, ["CustomerID"], keep_count=True)
+    top = segment.top_fraction_keys(sh, ["CustomerID"], 0.25)
+    tot = segment.global_total(orders, "NetRevenue", "_t")
+    return top.agg(F.sum(RF.money("NetRevenue")).alias("_s"), F.count(F.lit(1)).alias("customers")) \
+        .crossJoin(tot).select((F.col("_s").cast("double") / F.col("_t").cast("double") * 100)
+                               .alias("topShare"), "customers")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
