@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import SALES_SQL, sales
 from ..functions import year_range
-from ..operators import clean, explore, segment, timeaxis
+from ..operators import clean, cluster, diagnostics, evaluate, explore, forecast, geo, scale, segment, timeaxis
+from ..sources.tables import read_table
+from . import jobs
 from .. import functions as RF
 
 ANALYSIS_YEAR = 2000
@@ -522,6 +524,395 @@ def q_top_quarter_share(spark, sf_dir):
                                .alias("topShare"), "customers")
 
 
+# ---------------------------------------------------------------------------
+# Location repair on TPC-H-derived keys
+# ---------------------------------------------------------------------------
+# A "postal reference" derived from the supplier table: code = s_suppkey,
+# town = supplier nation, state = supplier region.  Customer keys are the
+# codes to resolve (exact when a supplier has the same key, else nearest
+# within 200, else null).
+
+def _supplier_postal_ref(spark, sf_dir):
+    su = read_table(spark, sf_dir, "supplier")
+    na = read_table(spark, sf_dir, "nation")
+    rg = read_table(spark, sf_dir, "region")
+    return (su.join(na, su.s_nationkey == na.n_nationkey).join(rg, na.n_regionkey == rg.r_regionkey)
+              .select(F.col("n_name").alias("City"), F.col("s_suppkey").cast("int").alias("PostalCode"),
+                      F.col("r_name").alias("State")))
+
+
+_SUPPLIER_REF_SQL = """
+ref AS (SELECT n.n_name AS City, CAST(s.s_suppkey AS INTEGER) AS PostalCode, r.r_name AS State
+        FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
+"""
+
+
+@register("nearest_code_state", "WITH " + _SUPPLIER_REF_SQL.strip() + """,
+codes AS (SELECT DISTINCT CAST(c_custkey AS INTEGER) AS PostalCodeInt FROM customer),
+st AS (SELECT PostalCode AS rc, min(State) AS rs FROM ref WHERE State IS NOT NULL AND PostalCode >= 0 GROUP BY 1),
+cand AS (SELECT PostalCodeInt, rs, row_number() OVER (PARTITION BY PostalCodeInt ORDER BY abs(PostalCodeInt - rc), rc) AS rn
+         FROM codes JOIN st ON abs(PostalCodeInt - rc) <= 200)
+SELECT c.PostalCodeInt, cand.rs AS State FROM codes c LEFT JOIN cand ON c.PostalCodeInt = cand.PostalCodeInt AND cand.rn = 1
+""")
+def q_nearest_code_state(spark, sf_dir):
+    codes = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("PostalCodeInt")).distinct()
+    return geo.nearest_state(codes, _supplier_postal_ref(spark, sf_dir))
+
+
+@register("exact_code_state", "WITH " + _SUPPLIER_REF_SQL.strip() + """,
+codes AS (SELECT DISTINCT CAST(c_custkey AS INTEGER) AS PostalCodeInt FROM customer),
+st AS (SELECT PostalCode, min(State) AS State FROM ref WHERE State IS NOT NULL GROUP BY 1)
+SELECT c.PostalCodeInt, st.State FROM codes c LEFT JOIN st ON c.PostalCodeInt = st.PostalCode
+""")
+def q_exact_code_state(spark, sf_dir):
+    codes = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("PostalCodeInt")).distinct()
+    return geo.state_lookup(codes, _supplier_postal_ref(spark, sf_dir))
+
+
+@register("postal_city_candidates", "WITH " + _SUPPLIER_REF_SQL.strip() + """
+SELECT PostalCode AS PostalCodeInt, array_to_string(list_sort(list(DISTINCT City)), '|') AS candidates
+FROM ref WHERE City IS NOT NULL GROUP BY PostalCode
+""")
+def q_postal_city_candidates(spark, sf_dir):
+    ref = _supplier_postal_ref(spark, sf_dir).withColumnRenamed("PostalCode", "PostalCodeInt")
+    c = geo.collect_candidates(ref, "PostalCodeInt", "City")
+    return c.select("PostalCodeInt", F.array_join("candidates", "|").alias("candidates"))
+
+
+# Part names with their words in reverse order are matched back to the part
+# catalogue names of the same product group (candidates bounded by the catalogue).
+@register("part_name_fuzzy_match", """
+cands AS (SELECT DISTINCT p_type AS ProductGroup, p_name AS cand FROM part WHERE p_name IS NOT NULL),
+inputs AS (SELECT DISTINCT p_type AS ProductGroup,
+                  array_to_string(list_reverse(string_split(p_name, ' ')), ' ') AS name_input
+           FROM part WHERE p_name IS NOT NULL),
+scored AS (SELECT i.ProductGroup, i.name_input, c.cand,
+                  1.0 - levenshtein(lower(i.name_input), lower(c.cand))
+                        / greatest(length(lower(i.name_input)), length(lower(c.cand)), 1) AS score
+           FROM inputs i JOIN cands c USING (ProductGroup)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY ProductGroup, name_input ORDER BY score DESC, cand) AS rn FROM scored)
+SELECT ProductGroup, name_input, cand AS best_match, score FROM ranked WHERE rn = 1
+""".replace("cands AS", "WITH cands AS", 1))
+def q_part_name_fuzzy_match(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part").where(F.col("p_name").isNotNull())
+    inputs = part.select(F.col("p_type").alias("ProductGroup"),
+                         F.array_join(F.reverse(F.split("p_name", " ")), " ").alias("name_input"))
+    cands = part.select(F.col("p_type").alias("ProductGroup"), F.col("p_name").alias("cand"))
+    return geo.fuzzy_best_match(inputs, cands, "ProductGroup", "name_input", "cand")
+
+
+def _tpch_raw(spark, sf_dir):
+    """Raw invoice / customer / postal-reference frames derived from the tables."""
+    li, od = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")
+    pa, cu = read_table(spark, sf_dir, "part"), read_table(spark, sf_dir, "customer")
+    na = read_table(spark, sf_dir, "nation")
+    inv = (li.join(od, li.l_orderkey == od.o_orderkey).join(pa, li.l_partkey == pa.p_partkey)
+             .select(F.col("o_orderkey").cast("string").alias("Belegnummer"),
+                     F.col("l_suppkey").cast("string").alias("Unternehmen"),
+                     F.col("l_partkey").alias("Artikel_SK"),
+                     F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("Auftragsdatum_SK"),
+                     F.col("o_custkey").alias("Kunde_Verkauf_SK"),
+                     F.col("l_returnflag").alias("Umsatztyp"),
+                     F.col("p_retailprice").alias("Preis Verpackungseinheit"),
+                     F.col("l_quantity").alias("Menge"),
+                     (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("Nettoumsatz"),
+                     F.col("p_type").alias("Productgroup"), F.col("p_brand").alias("Productsubgroup"),
+                     F.col("o_orderpriority").alias("Business Area"), F.col("l_linestatus").alias("Type")))
+    channel = (F.when(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"), "B2B")
+                .when(F.col("c_mktsegment").isin("AUTOMOBILE", "HOUSEHOLD"), "B2C").otherwise("B2B2C"))
+    cust = (cu.join(na, cu.c_nationkey == na.n_nationkey)
+              .select(F.col("c_custkey").cast("string").alias("Kunde_SK"),
+                      F.lower(F.col("n_name")).alias("Ort"),
+                      F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("PLZ-Code"),
+                      F.col("c_mktsegment").alias("Branchengruppe"),
+                      F.concat(channel, F.lit("_"), F.col("c_mktsegment")).alias("Vertriebskanalkategorie"),
+                      F.lit(None).cast("string").alias("Vertriebskanal")))
+    ref = _supplier_postal_ref(spark, sf_dir).select(F.col("City").alias("ort"),
+                                                     F.col("PostalCode").alias("plz"),
+                                                     F.col("State").alias("bundesland"))
+    return inv, cust, ref
+
+
+@register("prepare_sales_tpch")
+def q_prepare_sales_tpch(spark, sf_dir):
+    inv, cust, ref = _tpch_raw(spark, sf_dir)
+    return jobs.prepare_sales(inv, cust, ref)
+
+
+# ---------------------------------------------------------------------------
+# Scalers and feature tables
+# ---------------------------------------------------------------------------
+
+def _flagship_rfm(spark, sf_dir):
+    orders = _year_sales(spark, sf_dir, ["OrderNumber", "OrderDate", "CustomerID", "NetRevenue"])
+    return segment.rfm_features(segment.top_customers(orders, 0.25), REFERENCE_DATE)
+
+
+_RFM_SQL = with_sales(f"""
+yr AS (SELECT * FROM sales WHERE {_YEAR_WHERE}),
+per_cust AS (SELECT CustomerID, sum(CAST(NetRevenue AS DECIMAL(18,4))) AS rev FROM yr WHERE CustomerID IS NOT NULL GROUP BY 1),
+ranked AS (SELECT CustomerID, row_number() OVER (ORDER BY rev DESC, CustomerID) AS rn, count(*) OVER () AS n FROM per_cust),
+top AS (SELECT CustomerID FROM ranked WHERE rn <= floor(n * 0.25)),
+rfm AS (SELECT CustomerID, datediff('day', max(OrderDate), DATE '{REFERENCE_DATE}') AS daysSinceLastOrder,
+               count(DISTINCT OrderNumber) AS orderCount,
+               CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) AS DOUBLE) AS sumRevenue
+        FROM yr WHERE CustomerID IN (SELECT CustomerID FROM top) GROUP BY CustomerID)
+""")
+_RFM = ["daysSinceLastOrder", "orderCount", "sumRevenue"]
+
+
+def _robust_sql():
+    stats = ", ".join(f"quantile_cont({c}, 0.5) AS {c}_m, "
+                      f"CASE WHEN quantile_cont({c}, 0.85) - quantile_cont({c}, 0.15) = 0 THEN 1.0 "
+                      f"ELSE quantile_cont({c}, 0.85) - quantile_cont({c}, 0.15) END AS {c}_s" for c in _RFM)
+    cols = ", ".join(f"round(({c} - {c}_m) / {c}_s, 9) AS {c}" for c in _RFM)
+    return _RFM_SQL + f", p AS (SELECT {stats} FROM rfm)\nSELECT CustomerID, {cols} FROM rfm, p"
+
+
+@register("rfm_robust_scaled", _robust_sql())
+def q_rfm_robust_scaled(spark, sf_dir):
+    sc = scale.robust_scale(_flagship_rfm(spark, sf_dir), _RFM)
+    return sc.select("CustomerID", *[F.round(c, 9).alias(c) for c in _RFM])
+
+
+@register("rfm_standard_scaled", _RFM_SQL + ", p AS (SELECT " + ", ".join(
+    f"avg({c}) AS {c}_mu, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS {c}_sd" for c in _RFM)
+    + " FROM rfm) SELECT CustomerID, " + ", ".join(f"round(({c} - {c}_mu) / {c}_sd, 9) AS {c}" for c in _RFM)
+    + " FROM rfm, p")
+def q_rfm_standard_scaled(spark, sf_dir):
+    sc = scale.standard_scale(_flagship_rfm(spark, sf_dir), _RFM)
+    return sc.select("CustomerID", *[F.round(c, 9).alias(c) for c in _RFM])
+
+
+@register("rfm_maxabs_scaled", _RFM_SQL + ", p AS (SELECT " + ", ".join(
+    f"CASE WHEN max(abs({c})) = 0 THEN 1.0 ELSE max(abs({c})) END AS {c}_ma" for c in _RFM)
+    + " FROM rfm) SELECT CustomerID, " + ", ".join(f"{c} / {c}_ma AS {c}" for c in _RFM) + " FROM rfm, p")
+def q_rfm_maxabs_scaled(spark, sf_dir):
+    return scale.maxabs_scale(_flagship_rfm(spark, sf_dir), _RFM)
+
+
+@register("weekly_minmax_scaled_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+, mm AS (SELECT *, min(NetRevenue) OVER (PARTITION BY DistributionCenter) AS lo,
+               max(NetRevenue) OVER (PARTITION BY DistributionCenter) AS hi FROM series)
+SELECT DistributionCenter, week, NetRevenue,
+       CASE WHEN hi - lo = 0 THEN 0.0 ELSE (NetRevenue - lo) / (hi - lo) END AS scaled FROM mm
+"""))
+def q_weekly_minmax(spark, sf_dir):
+    m = scale.minmax_scale(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"], "NetRevenue")
+    return m.select("DistributionCenter", "week", "NetRevenue", "scaled")
+
+
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@register("one_hot_customer_segment", """
+SELECT c_custkey, c_mktsegment AS IndustryGroup, """ + ", ".join(
+    f"CAST(c_mktsegment = '{v}' AS INTEGER) AS IndustryGroup_{v}" for v in _SEGMENTS) + " FROM customer")
+def q_one_hot(spark, sf_dir):
+    cu = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("IndustryGroup"))
+    return cluster.one_hot(cu, ["IndustryGroup"])
+
+
+@register("feature_hash_locations")
+def q_feature_hash(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderNumber", "ArticleID", "City", "ProductGroup", "ProductSubgroup",
+                              "PostalCode"]).withColumn("ArticleID", F.col("ArticleID").cast("string"))
+    return cluster.feature_hash(s, ["City", "ProductGroup", "ProductSubgroup", "PostalCode"], 10)
+
+
+@register("rfm_correlation", _RFM_SQL + "SELECT * FROM (VALUES " + ", ".join(
+    f"('{a}', '{b}', (SELECT round(corr({a}, {b}), 9) FROM rfm))" for a in _RFM for b in _RFM)
+    + ") AS t(col_a, col_b, corr)")
+def q_rfm_correlation(spark, sf_dir):
+    c = cluster.correlation_matrix(_flagship_rfm(spark, sf_dir), _RFM)
+    return c.withColumn("corr", F.round("corr", 9))
+
+
+@register("top10_item_rfc_by_quantity", with_sales(f"""
+SELECT ProductSubgroup, DistributionCenter,
+       datediff('day', max(OrderDate), DATE '{REFERENCE_DATE}') AS daysSinceLastOrder,
+       count(OrderNumber) AS orderCount, sum(coalesce(Quantity, 1.0)) AS sumQuantity
+FROM sales WHERE {_ITEM_WHERE} AND ProductSubgroup IS NOT NULL AND DistributionCenter IS NOT NULL
+GROUP BY ProductSubgroup, DistributionCenter ORDER BY sumQuantity DESC, ProductSubgroup, DistributionCenter LIMIT 10
+"""))
+def q_top10_item_rfc(spark, sf_dir):
+    rfc = segment.rfc_features(_item_dataset(spark, sf_dir), REFERENCE_DATE)
+    return explore.nlargest(rfc, "sumQuantity", 10, ["ProductSubgroup", "DistributionCenter"])
+
+
+@register("sample_1000_lines")
+def q_sample_lines(spark, sf_dir):
+    return explore.sample_exact_n(sales(spark, sf_dir, ["OrderNumber", "ArticleID", "NetRevenue"]), 1000, 42)
+
+
+# ---------------------------------------------------------------------------
+# Clustering jobs (rows-only: iterative ML)
+# ---------------------------------------------------------------------------
+
+@register("customer_segments")
+def q_customer_segments(spark, sf_dir):
+    orders = _year_sales(spark, sf_dir, ["OrderNumber", "OrderDate", "CustomerID", "NetRevenue"])
+    return jobs.segment_customers(segment.top_customers(orders, 0.25), REFERENCE_DATE)
+
+
+@register("customer_k_scores")
+def q_customer_k_scores(spark, sf_dir):
+    orders = _year_sales(spark, sf_dir, ["OrderNumber", "OrderDate", "CustomerID", "NetRevenue"])
+    return jobs.segment_customers(segment.top_customers(orders, 0.25), REFERENCE_DATE, with_scores=True)[1]
+
+
+@register("item_segments")
+def q_item_segments(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderNumber", "OrderDate", "Quantity", "NetRevenue", "ProductSubgroup",
+                              "DistributionCenter"])
+    items = clean.not_in_future(clean.min_quantity(clean.year_equals(s, ANALYSIS_YEAR)), REFERENCE_DATE)
+    return jobs.segment_items(items, REFERENCE_DATE)
+
+
+@register("customer_cluster_centers")
+def q_cluster_centers(spark, sf_dir):
+    seg = q_customer_segments(spark, sf_dir)
+    return cluster.cluster_centers(seg, _RFM).join(explore.cluster_size(seg), "cluster")
+
+
+@register("embedding_pca")
+def q_embedding_pca(spark, sf_dir):
+    from pyspark.ml.functions import array_to_vector  # noqa: F401
+    emb = read_table(spark, sf_dir, "embeddings")
+    n = 8
+    wide = emb.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(n)])
+    out, _ = cluster.pca(wide, [f"e{i}" for i in range(n)], 2)
+    return out.select("vec_id", "pc_1", "pc_2")
+
+
+# ---------------------------------------------------------------------------
+# Forecasts and diagnostics
+# ---------------------------------------------------------------------------
+
+@register("forecast_lag_by_center")
+def q_forecast_lag(spark, sf_dir):
+    return forecast.lag_model_forecast(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                                       "NetRevenue", horizon=52, max_weeks=130, value_name="Revenue")
+
+
+@register("forecast_differenced_ar_by_center")
+def q_forecast_arima(spark, sf_dir):
+    return forecast.differenced_ar_forecast(_weekly(spark, sf_dir, ["DistributionCenter"]),
+                                            ["DistributionCenter"], "NetRevenue", p=5, d=2, horizon=52)
+
+
+@register("exog_regression_by_center")
+def q_exog(spark, sf_dir):
+    return forecast.exog_regression(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                                    "NetRevenue", ["Quantity"], p=1)
+
+
+@register("customer_cluster_forecast")
+def q_customer_cluster_forecast(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderNumber", "OrderDate", "CustomerID", "NetRevenue"])
+    return jobs.forecast_customers(s, ANALYSIS_YEAR, REFERENCE_DATE, 52)
+
+
+@register("item_quantity_forecast")
+def q_item_forecast(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderNumber", "OrderDate", "Quantity", "NetRevenue", "ProductSubgroup", "State"])
+    return jobs.forecast_items(s, ANALYSIS_YEAR, REFERENCE_DATE, 52)
+
+
+@register("forecast_errors_by_center")
+def q_forecast_errors(spark, sf_dir):
+    fc = q_forecast_lag(spark, sf_dir).where(F.col("Predict").isNull())
+    tr = evaluate.rmse(fc, ["DistributionCenter"], "Revenue", "Train").withColumn("split", F.lit("train"))
+    te = evaluate.rmse(fc, ["DistributionCenter"], "Revenue", "Test").withColumn("split", F.lit("test"))
+    mh = evaluate.mape_huber(fc.withColumn("P", F.coalesce("Train", "Test")), ["DistributionCenter"], "Revenue", "P")
+    se = evaluate.scaled_errors(fc.withColumn("P", F.coalesce("Train", "Test")), ["DistributionCenter"],
+                                "Revenue", "P")
+    return tr.unionByName(te).join(mh, "DistributionCenter").join(se, "DistributionCenter")
+
+
+_ALPHA = 0.3
+
+
+@register("ses_fixed_alpha_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + f"""
+, ordered AS (SELECT DistributionCenter, week, NetRevenue,
+                     row_number() OVER (PARTITION BY DistributionCenter ORDER BY week) AS i FROM series),
+rec AS (
+  SELECT DistributionCenter, i, week, NetRevenue AS fitted, NetRevenue AS lvl FROM ordered WHERE i = 1
+  UNION ALL
+  SELECT o.DistributionCenter, o.i, o.week, r.lvl AS fitted,
+         CAST('{_ALPHA!r}' AS DOUBLE) * o.NetRevenue + CAST('{1.0 - _ALPHA!r}' AS DOUBLE) * r.lvl AS lvl
+  FROM rec r JOIN ordered o ON o.DistributionCenter = r.DistributionCenter AND o.i = r.i + 1)
+SELECT DistributionCenter, week, fitted FROM rec
+""").replace("WITH sales AS", "WITH RECURSIVE sales AS", 1))
+def q_ses(spark, sf_dir):
+    return diagnostics.simple_exp_smoothing(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                                            "NetRevenue", _ALPHA)
+
+
+@register("ses_best_alpha_by_center")
+def q_ses_best(spark, sf_dir):
+    return diagnostics.ses_best_alpha(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                                      "NetRevenue", [i / 10 for i in range(1, 10)])
+
+
+@register("holt_additive_by_center")
+def q_holt(spark, sf_dir):
+    return diagnostics.holt(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                            "NetRevenue", 0.3, 0.1)
+
+
+@register("holt_multiplicative_by_center")
+def q_holt_mul(spark, sf_dir):
+    return diagnostics.holt(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                            "NetRevenue", 0.3, 0.1, multiplicative=True)
+
+
+@register("acf_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+, d AS (SELECT DistributionCenter, week, NetRevenue - avg(NetRevenue) OVER (PARTITION BY DistributionCenter) AS dev
+       FROM series),
+l AS (SELECT DistributionCenter, dev, """ + ", ".join(
+    f"lag(dev, {k}) OVER (PARTITION BY DistributionCenter ORDER BY week) AS l{k}" for k in range(1, 21)) + """ FROM d),
+s AS (SELECT DistributionCenter, sum(dev * dev) AS c0, """ + ", ".join(f"sum(dev * l{k}) AS c{k}" for k in range(1, 21))
+    + """ FROM l GROUP BY DistributionCenter)
+SELECT DistributionCenter, lag, round(acf, 9) AS acf FROM (
+  SELECT DistributionCenter, 0 AS lag, 1.0 AS acf FROM s UNION ALL """ + " UNION ALL ".join(
+    f"SELECT DistributionCenter, {k}, c{k} / c0 FROM s" for k in range(1, 21)) + ")"))
+def q_acf(spark, sf_dir):
+    a = diagnostics.acf(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"], "NetRevenue", 20)
+    return a.withColumn("acf", F.round("acf", 9))
+
+
+@register("pacf_by_center")
+def q_pacf(spark, sf_dir):
+    a = diagnostics.acf(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"], "NetRevenue", 20)
+    return diagnostics.pacf(a, ["DistributionCenter"])
+
+
+@register("adf_by_center")
+def q_adf(spark, sf_dir):
+    return diagnostics.adf_statistic(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                                     "NetRevenue")
+
+
+@register("seasonal_decompose_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+, t AS (SELECT DistributionCenter, week, NetRevenue,
+               CASE WHEN count(NetRevenue) OVER (w ROWS BETWEEN 26 PRECEDING AND 26 FOLLOWING) = 53
+                    THEN (CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) OVER (w ROWS BETWEEN 26 PRECEDING AND 25 FOLLOWING) AS DOUBLE) / 52
+                        + CAST(sum(CAST(NetRevenue AS DECIMAL(18,4))) OVER (w ROWS BETWEEN 25 PRECEDING AND 26 FOLLOWING) AS DOUBLE) / 52) / 2 END AS trend,
+               (row_number() OVER w - 1) % 52 AS phase
+        FROM series WINDOW w AS (PARTITION BY DistributionCenter ORDER BY week)),
+idx AS (SELECT DistributionCenter, phase, avg(NetRevenue - trend) AS raw FROM t GROUP BY 1, 2),
+idx2 AS (SELECT DistributionCenter, phase, raw - avg(raw) OVER (PARTITION BY DistributionCenter) AS seasonal FROM idx)
+SELECT t.DistributionCenter, t.week, t.NetRevenue, t.trend, round(i.seasonal, 6) AS seasonal,
+       round(t.NetRevenue - t.trend - i.seasonal, 6) AS resid
+FROM t LEFT JOIN idx2 i ON t.DistributionCenter = i.DistributionCenter AND t.phase = i.phase
+"""))
+def q_seasonal_decompose(spark, sf_dir):
+    d = diagnostics.seasonal_decompose(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                                       "NetRevenue", 52)
+    return d.withColumn("seasonal", F.round("seasonal", 6)).withColumn("resid", F.round("resid", 6))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -1 +1,28 @@
-"""Writers: parquet stages, catalog tables and CSV exports."""
+"""Writers: parquet stages, catalog tables and CSV exports (SNK-1..4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    """SNK-1: overwrite one parquet data set (a stage / checkpoint of a job)."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return path
+
+
+def publish_table(df: DataFrame, table: str, database: str | None = None,
+                  preview: int = 5) -> DataFrame:
+    """SNK-2/3: replace a catalog table and return its first ``preview`` rows."""
+    name = f"{database}.{table}" if database else table
+    df.write.mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name).limit(preview)
+
+
+def write_csv_export(df: DataFrame, path: str, sep: str = ";") -> str:
+    """SNK-4: ';' separated CSV with header (Spark writes UTF-8 without a BOM)."""
+    df.write.mode("overwrite").csv(path, sep=sep, header=True, encoding="UTF-8")
+    return path
