@@ -77,8 +77,9 @@ def top_n_plus_others(df: DataFrame, col: str, n: int = 15, other: str = "Others
     named = per_value.where(F.col(col).isNotNull())
     top = named.orderBy(F.col("count").desc(), F.col(col).asc()).limit(n)
     rest = (named.join(F.broadcast(top.select(col)), col, "left_anti")
-                 .agg(F.lit(other).alias(col), F.sum("count").cast("long").alias("count")))
-    both = top.unionByName(rest.where(F.col("count") > 0))
+                 .agg(F.lit(other).alias(col), F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("count")))
+    # the remainder row is always present (0 when every value is in the top n)
+    both = top.unionByName(rest)
     return (both.crossJoin(F.broadcast(total))
                 .select(col, "count", (F.col("count") / F.col("_all") * 100).alias("percent")))
 

@@ -206,7 +206,7 @@ s AS (SELECT Company, count, count / total * 100 AS percent FROM c, t WHERE Comp
 top AS (SELECT * FROM s ORDER BY count DESC, Company LIMIT 15)
 SELECT * FROM top
 UNION ALL
-SELECT 'Others', sum(count), sum(count) / (SELECT total FROM t) * 100 FROM s WHERE Company NOT IN (SELECT Company FROM top)
+SELECT 'Others', coalesce(sum(count), 0), coalesce(sum(count), 0) / (SELECT total FROM t) * 100 FROM s WHERE Company NOT IN (SELECT Company FROM top)
 """))
 def q_top15_company_plus_others(spark, sf_dir):
     return explore.top_n_plus_others(sales(spark, sf_dir, ["Company"]), "Company", 15)
