@@ -9,7 +9,8 @@ task.  ``ordered_prefix`` instead
 2. sorts each partition locally and computes local row numbers and running
    sums in one streaming pass per partition (``mapInPandas`` keeps a carry
    between Arrow batches, so no partition is ever held in memory);
-3. aggregates one (count, sum) row per partition, turns those into
+3. aggregates one (count, sum) row per partition from the same local
+   frame (one shared range exchange, see below), turns those into
    offsets with a window over ``numPartitions`` rows, and adds them back
    with a broadcast join whose size is bounded by the partition count.
 
@@ -78,15 +79,24 @@ def ordered_prefix(df: DataFrame, order_by: list[Column], value_col: str | None
     if value_col is not None:
         fields.append(T.StructField("_lsum", T.LongType(), False))
     local = ranged.mapInPandas(_local_prefix(value_col), T.StructType(fields))
-
-    # per-partition totals straight from the (reused) range exchange, on the JVM
-    # side, so the Python pass above runs once
-    aggs = [F.count(F.lit(1)).alias("_pcnt")]
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # without exchange reuse the two consumers below could each sample
+        # their own range bounds: write the local frame once instead
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        local = local.checkpoint(eager=True)
+
+    # Per-partition totals are read from the same ``local`` frame as the rows
+    # they offset.  ``mapInPandas`` needs every input column, so both
+    # consumers sit on one identical range exchange, which Spark runs once
+    # (ReusedExchange): the offsets always describe exactly the partitions
+    # the local prefixes were computed on, even when the range bounds come
+    # from sampling.
+    aggs = [F.max("_lrn").alias("_pcnt")]
     if value_col is not None:
-        aggs.append(F.sum(F.coalesce(F.col(value_col), F.lit(0))).alias("_psum"))
-    per_part = (ranged.select(F.spark_partition_id().alias("_pid"),
-                              *([value_col] if value_col is not None else []))
-                      .groupBy("_pid").agg(*aggs))
+        aggs.append(F.max_by("_lsum", "_lrn").alias("_psum"))
+    per_part = local.select("_pid", "_lrn", *(["_lsum"] if value_col is not None else [])) \
+                    .groupBy("_pid").agg(*aggs)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # at most ``n_parts`` rows: the single-partition window and the broadcast are bounded

@@ -66,8 +66,7 @@ GROUP BY CustomerID
 """))
 def q_top_customers_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _year_sales(spark, sf_dir, ["OrderNumber", "OrderDate", "CustomerID", "NetRevenue"])
-    top = segment.top_customers(orders, 0.25)
-    return segment.rfm_features(top, REFERENCE_DATE)
+    return segment.top_fraction_rfm(orders, REFERENCE_DATE, 0.25)
 
 
 @register("customer_revenue_shares", with_sales(f"""
@@ -645,7 +644,7 @@ def q_prepare_sales_tpch(spark, sf_dir):
 
 def _flagship_rfm(spark, sf_dir):
     orders = _year_sales(spark, sf_dir, ["OrderNumber", "OrderDate", "CustomerID", "NetRevenue"])
-    return segment.rfm_features(segment.top_customers(orders, 0.25), REFERENCE_DATE)
+    return segment.top_fraction_rfm(orders, REFERENCE_DATE, 0.25)
 
 
 _RFM_SQL = with_sales(f"""
@@ -752,13 +751,13 @@ def q_sample_lines(spark, sf_dir):
 @register("customer_segments")
 def q_customer_segments(spark, sf_dir):
     orders = _year_sales(spark, sf_dir, ["OrderNumber", "OrderDate", "CustomerID", "NetRevenue"])
-    return jobs.segment_customers(segment.top_customers(orders, 0.25), REFERENCE_DATE)
+    return jobs.segment_customers(orders, REFERENCE_DATE)
 
 
 @register("customer_k_scores")
 def q_customer_k_scores(spark, sf_dir):
     orders = _year_sales(spark, sf_dir, ["OrderNumber", "OrderDate", "CustomerID", "NetRevenue"])
-    return jobs.segment_customers(segment.top_customers(orders, 0.25), REFERENCE_DATE, with_scores=True)[1]
+    return jobs.segment_customers(orders, REFERENCE_DATE, with_scores=True)[1]
 
 
 @register("item_segments")

@@ -68,15 +68,19 @@ def top_customers(df: DataFrame, fraction: float = 0.25) -> DataFrame:
     return segment.top_customers(df.select("OrderNumber", "OrderDate", "CustomerID", "NetRevenue"), fraction)
 
 
-def segment_customers(orders_top: DataFrame, reference_date: str, ks=None, seed: int = 45,
-                      with_scores: bool = False):
-    """JOB-3: RFM -> robust scale (q15..q85) -> k by silhouette -> k-means.
+def segment_customers(orders: DataFrame, reference_date: str, ks=None, seed: int = 45,
+                      with_scores: bool = False, fraction: float | None = 0.25):
+    """JOB-2 + JOB-3: RFM of the top ``fraction`` customers (one pass over the
+    lines, see :func:`segment.top_fraction_rfm`; ``fraction=None`` when the
+    lines are already the top customers') -> robust scale (q15..q85) -> k by
+    silhouette -> k-means.
 
     Returns (CustomerID, cluster) with 1-based ids ordered by descending
     revenue, plus the raw RFM features; with ``with_scores`` also the
     (k, silhouette, inertia) table.
     """
-    rfm = segment.rfm_features(orders_top, reference_date)
+    rfm = (segment.top_fraction_rfm(orders, reference_date, fraction) if fraction
+           else segment.rfm_features(orders, reference_date))
     scaled = scale.robust_scale(rfm, RFM_COLS)
     scaled = scaled.select("CustomerID", *[F.col(c).alias(f"{c}_s") for c in RFM_COLS])
     assigned, scores = cluster.segment(scaled, ["CustomerID"], [f"{c}_s" for c in RFM_COLS],
@@ -136,7 +140,7 @@ def forecast_customers(df: DataFrame, year: int, reference_date: str, horizon: i
     """JOB-6: year filter -> top customers -> clusters -> weekly series of all
     years' orders per cluster -> forecast."""
     yr = clean.year_equals(df, year)
-    clusters = segment_customers(top_customers(yr), reference_date, ks)
+    clusters = segment_customers(yr, reference_date, ks)
     series = cluster_weekly_series(clusters, df.select("CustomerID", "OrderDate", "NetRevenue"))
     if method == "lag":
         return forecast.lag_model_forecast(series, ["cluster"], "NetRevenue", horizon=horizon,
