@@ -165,6 +165,18 @@ def null_where_equal(actual, predicted) -> Column:
     return F.when(a == col_(predicted), F.lit(None).cast("double")).otherwise(a)
 
 
+def attach_row(df, one_row):
+    """Add the columns of a one-row frame (totals, parameters) to every row.
+
+    An equi-join on a constant key with the one-row side broadcast: a
+    broadcast hash join whose build side is a single row, never a cross
+    product.
+    """
+    key = "__one"
+    return (df.withColumn(key, F.lit(1))
+              .join(F.broadcast(one_row.withColumn(key, F.lit(1))), key).drop(key))
+
+
 def _sql(c) -> str:
     if isinstance(c, str):
         return f"`{c}`"

@@ -47,18 +47,23 @@ def simple_exp_smoothing(series: DataFrame, keys: list[str], value: str, alpha:
 
 def ses_best_alpha(series: DataFrame, keys: list[str], value: str,
                    alphas: list[float]) -> DataFrame:
-    """FC-7 with α chosen per key by the smallest squared one-step error
-    (grid cross-joined as a broadcast of ``len(alphas)`` rows)."""
-    spark = series.sparkSession
-    grid = spark.createDataFrame([(float(x),) for x in alphas], "alpha double")
-    agg = _ordered_values(series, keys, value).crossJoin(F.broadcast(grid))
-    a = F.col("alpha")
-    init = F.struct(F.element_at("_ys", 1).alias("l"), F.lit(0.0).alias("e"))
-    fold = F.aggregate(F.slice("_ys", 2, F.size("_ys")), init, lambda acc, y: F.struct(
-        (a * y + (1 - a) * acc["l"]).alias("l"), (acc["e"] + (y - acc["l"]) * (y - acc["l"])).alias("e")))
-    sse = agg.select(*keys, "alpha", fold["e"].alias("sse"))
-    return sse.groupBy(*keys).agg(F.min_by("alpha", F.struct("sse", "alpha")).alias("alpha"),
-                                  F.min("sse").alias("sse"))
+    """FC-7 with α chosen per key by the smallest squared one-step error.
+
+    Every α of the grid is evaluated inside the key's row (``transform`` over
+    the α array, one fold each) -- no join with the grid.
+    """
+    agg = _ordered_values(series, keys, value)
+    grid = F.array(*[F.lit(float(a)) for a in alphas])
+
+    def sse(a):
+        init = F.struct(F.element_at("_ys", 1).alias("l"), F.lit(0.0).alias("e"))
+        fold = F.aggregate(F.slice("_ys", 2, F.size("_ys")), init, lambda acc, y: F.struct(
+            (a * y + (1 - a) * acc["l"]).alias("l"),
+            (acc["e"] + (y - acc["l"]) * (y - acc["l"])).alias("e")))
+        return F.struct(fold["e"].alias("sse"), a.alias("alpha"))
+
+    best = F.array_min(F.transform(grid, sse))
+    return agg.select(*keys, best["alpha"].alias("alpha"), best["sse"].alias("sse"))
 
 
 def holt(series: DataFrame, keys: list[str], value: str, alpha: float, beta: float,

@@ -60,7 +60,7 @@ def value_share_pct(df: DataFrame, col: str) -> DataFrame:
     """AGG-11: value counts as percent of **all** rows (nulls in the denominator)."""
     per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     total = per_value.agg(F.sum("count").alias("_all"))
-    return (per_value.where(F.col(col).isNotNull()).crossJoin(F.broadcast(total))
+    return (RF.attach_row(per_value.where(F.col(col).isNotNull()), total)
             .select(col, "count",
                     (F.col("count") / F.col("_all") * 100).alias("percent"),
                     RF.format_percent(F.col("count") / F.col("_all") * 100, 2).alias("label")))
@@ -80,7 +80,7 @@ def top_n_plus_others(df: DataFrame, col: str, n: int = 15, other: str = "Others
                  .agg(F.lit(other).alias(col), F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("count")))
     # the remainder row is always present (0 when every value is in the top n)
     both = top.unionByName(rest)
-    return (both.crossJoin(F.broadcast(total))
+    return (RF.attach_row(both, total)
                 .select(col, "count", (F.col("count") / F.col("_all") * 100).alias("percent")))
 
 
@@ -113,7 +113,7 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
         q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
         qs = q.agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
                      for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
-        parts.append(moments.crossJoin(qs).select(F.lit(c).alias("column"), "*"))
+        parts.append(RF.attach_row(moments, qs).select(F.lit(c).alias("column"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -144,7 +144,7 @@ def histogram(df: DataFrame, value: str, bins: int, hue: str | None = None) -> D
     width = (F.col("_hi") - F.col("_lo")) / bins
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
-    keyed = nums.crossJoin(F.broadcast(bounds)).withColumn("bin", b)
+    keyed = RF.attach_row(nums, bounds).withColumn("bin", b)
     return keyed.groupBy(*([hue] if hue else []), "bin").agg(
         F.count(F.lit(1)).alias("count"),
         F.min(F.col("_lo") + F.col("bin") * width).alias("bin_start"))
@@ -168,3 +168,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """SET-3."""
     return df.select(col).where(F.col(col).isNotNull()).distinct()
+
+
+def attribute_left_join(features: DataFrame, lines: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """JOIN-7: attach one deterministic row of attributes per key (the smallest
+    by the attribute values) to a per-key feature table."""
+    first = lines.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.min(F.struct(*[F.col(a) for a in attrs])).alias("_a"))
+    return features.join(first.select(key, *[F.col(f"_a.{a}").alias(a) for a in attrs]), key, "left")

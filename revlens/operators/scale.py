@@ -1,7 +1,7 @@
 """Feature scalers (ML-1..4) as column arithmetic over a one-row parameter frame.
 
 Parameters are computed by aggregations (exact quantiles through a
-distributed sort), cross-joined as a single broadcast row, and applied as
+distributed sort), attached as a single broadcast row, and applied as
 plain projections -- the scaled frame keeps every other column (keys).
 """
 
@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import functions as RF
 from .ordered import exact_quantiles
 
 
@@ -28,7 +29,7 @@ def robust_params(df: DataFrame, cols: list[str], q_low: float = 0.15,
         rows.append(row.select(f"{c}_median",
                                F.when(F.col(f"{c}_iqr") == 0, F.lit(1.0))
                                 .otherwise(F.col(f"{c}_iqr")).alias(f"{c}_scale")))
-    return reduce(lambda a, b: a.crossJoin(b), rows)
+    return reduce(lambda a, b: RF.attach_row(a, b), rows)
 
 
 def robust_scale(df: DataFrame, cols: list[str], q_low: float = 0.15, q_high: float = 0.85,
@@ -36,7 +37,7 @@ def robust_scale(df: DataFrame, cols: list[str], q_low: float = 0.15, q_high: fl
     """ML-1: (x - median) / (q_high - q_low), exact linear-interpolated quantiles;
     a zero range divides by 1."""
     params = params if params is not None else robust_params(df, cols, q_low, q_high)
-    out = df.crossJoin(F.broadcast(params))
+    out = RF.attach_row(df, params)
     out = out.withColumns({c: (F.col(c) - F.col(f"{c}_median")) / F.col(f"{c}_scale") for c in cols})
     return out.drop(*[f"{c}_{s}" for c in cols for s in ("median", "scale")])
 
@@ -45,7 +46,7 @@ def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
     """ML-2: (x - mean) / population std (std 0 -> 1)."""
     params = df.agg(*[a for c in cols for a in (F.avg(c).alias(f"{c}_mu"),
                                                  F.stddev_pop(c).alias(f"{c}_sd"))])
-    out = df.crossJoin(F.broadcast(params))
+    out = RF.attach_row(df, params)
     out = out.withColumns({c: (F.col(c) - F.col(f"{c}_mu")) /
                            F.when(F.col(f"{c}_sd") == 0, F.lit(1.0)).otherwise(F.col(f"{c}_sd"))
                            for c in cols})
@@ -55,7 +56,7 @@ def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
 def maxabs_scale(df: DataFrame, cols: list[str]) -> DataFrame:
     """ML-4: x / max(|x|) (max 0 -> 1)."""
     params = df.agg(*[F.max(F.abs(c)).alias(f"{c}_ma") for c in cols])
-    out = df.crossJoin(F.broadcast(params))
+    out = RF.attach_row(df, params)
     out = out.withColumns({c: F.col(c) / F.when(F.col(f"{c}_ma") == 0, F.lit(1.0))
                            .otherwise(F.col(f"{c}_ma")) for c in cols})
     return out.drop(*[f"{c}_ma" for c in cols])

@@ -51,7 +51,7 @@ def revenue_shares(df: DataFrame, keys: list[str], value: str = "NetRevenue",
     per_key = per_key_all.where(_not_null(keys)).withColumn("_units", to_units(F.col("_dec")))
     order = [F.col("_units").desc()] + [F.col(k).asc() for k in keys]
     ranked = ordered_prefix(per_key, order, value_col="_units")
-    out = ranked.crossJoin(F.broadcast(total))  # one row
+    out = RF.attach_row(ranked, total)  # one row
     tot = F.col("_total").cast("double")
     return out.select(
         *keys,

@@ -519,7 +519,7 @@ def q_top_quarter_share(spark, sf_dir):
     top = segment.top_fraction_keys(sh, ["CustomerID"], 0.25)
     tot = segment.global_total(orders, "NetRevenue", "_t")
     return top.agg(F.sum(RF.money("NetRevenue")).alias("_s"), F.count(F.lit(1)).alias("customers")) \
-        .crossJoin(tot).select((F.col("_s").cast("double") / F.col("_t").cast("double") * 100)
+        .transform(lambda d: RF.attach_row(d, tot)).select((F.col("_s").cast("double") / F.col("_t").cast("double") * 100)
                                .alias("topShare"), "customers")
 
 
@@ -912,6 +912,68 @@ def q_seasonal_decompose(spark, sf_dir):
     return d.withColumn("seasonal", F.round("seasonal", 6)).withColumn("resid", F.round("resid", 6))
 
 
+# ---------------------------------------------------------------------------
+# Neighbours, density clustering, tree model, grid search (ML-14..18), JOIN-7
+# ---------------------------------------------------------------------------
+
+def _item_rfc_scaled(spark, sf_dir):
+    rfc = segment.rfc_features(_item_dataset(spark, sf_dir), REFERENCE_DATE)
+    sc = scale.robust_scale(rfc, ["daysSinceLastOrder", "orderCount", "sumQuantity"])
+    return sc.select(F.concat_ws("|", "ProductSubgroup", "DistributionCenter").alias("item"),
+                     "daysSinceLastOrder", "orderCount", "sumQuantity")
+
+
+_RFC = ["daysSinceLastOrder", "orderCount", "sumQuantity"]
+
+
+@register("item_knn_distance")
+def q_item_knn(spark, sf_dir):
+    return cluster.knn_distances(_item_rfc_scaled(spark, sf_dir), "item", _RFC, k=3)
+
+
+@register("item_dbscan")
+def q_item_dbscan(spark, sf_dir):
+    return cluster.dbscan(_item_rfc_scaled(spark, sf_dir), "item", _RFC, eps=0.5, min_samples=4)
+
+
+@register("item_dbscan_grid")
+def q_item_dbscan_grid(spark, sf_dir):
+    return cluster.dbscan_grid(_item_rfc_scaled(spark, sf_dir), "item", _RFC, [0.3, 0.6], [3, 5])
+
+
+@register("random_forest_revenue")
+def q_random_forest(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderDate", "Quantity", "NetRevenue"])
+    train, test = clean.date_split(s, f"{ANALYSIS_YEAR}-01-01")
+    return cluster.random_forest_regression(train, test, ["Quantity"], "NetRevenue", trees=100, seed=42)[1]
+
+
+@register("grid_search_lag_regression")
+def q_grid_search(spark, sf_dir):
+    series = _weekly(spark, sf_dir, ["DistributionCenter"])
+    scaled = scale.minmax_scale(series, ["DistributionCenter"], "NetRevenue", "y")
+    samples = timeaxis.lag_frame(scaled.select("DistributionCenter", "week", "y"), ["DistributionCenter"], "y", 10)
+    samples = timeaxis.add_position(samples, ["DistributionCenter"])
+    samples = samples.withColumn("fold", F.floor(F.col("pos") * 3 / F.col("n")))
+    samples = samples.select("fold", "target", *[F.col("lags")[i].alias(f"l{i}") for i in range(10)])
+    return cluster.grid_search_cv(samples, [f"l{i}" for i in range(10)], "target", "fold",
+                                  [0.0, 0.01, 0.1], [0.0, 0.5])
+
+
+@register("customer_rfm_with_attributes", _RFM_SQL + """,
+attrs AS (SELECT CustomerID, IndustryGroup, City FROM (
+  SELECT CustomerID, IndustryGroup, City,
+         row_number() OVER (PARTITION BY CustomerID ORDER BY IndustryGroup, City) AS rn
+  FROM yr WHERE CustomerID IS NOT NULL) WHERE rn = 1)
+SELECT r.*, a.IndustryGroup, a.City FROM rfm r LEFT JOIN attrs a USING (CustomerID)
+""")
+def q_rfm_attrs(spark, sf_dir):
+    lines = _year_sales(spark, sf_dir, ["OrderNumber", "OrderDate", "CustomerID", "NetRevenue",
+                                        "IndustryGroup", "City"])
+    rfm = segment.top_fraction_rfm(lines, REFERENCE_DATE, 0.25)
+    return explore.attribute_left_join(rfm, lines, "CustomerID", ["IndustryGroup", "City"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
