@@ -39,37 +39,53 @@ def silhouette(predictions: DataFrame, features: str = "features",
 
 
 def select_k(vectors: DataFrame, ks: list[int], seed: int = 45, init: str = "k-means||",
-             features: str = "features", max_iter: int = 100) -> DataFrame:
+             features: str = "features", max_iter: int = 100, parallelism: int = 1) -> DataFrame:
     """ML-9 + ML-10: (k, silhouette, inertia) for every candidate k.
 
-    ``vectors`` should be materialised (see :func:`materialise`); every fit
-    is a distributed MLlib job, only the list of scores returns to the driver.
+    ``vectors`` should be materialised (see :func:`materialise`).  Every fit
+    is a distributed MLlib job; up to ``parallelism`` candidate k run as
+    concurrent jobs (as ``CrossValidator(parallelism=...)`` does), and only
+    the list of scores returns to the driver.
     """
+    from concurrent.futures import ThreadPoolExecutor
     spark = vectors.sparkSession
     data = vectors.select(features)
     n = data.count()
-    rows = []
-    for k in ks:
-        if k >= n:
-            continue
+
+    def score(k):
         model = kmeans_fit(data, k, seed, init, features=features, max_iter=max_iter)
         pred = model.transform(data)
-        rows.append((k, silhouette(pred, features), float(model.summary.trainingCost)))
+        return (k, silhouette(pred, features), float(model.summary.trainingCost))
+
+    todo = [k for k in ks if k < n]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(todo) or 1))) as pool:
+        rows = list(pool.map(score, todo))
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType()),
                            T.StructField("inertia", T.DoubleType())])
     return spark.createDataFrame(rows, schema)
 
 
-def materialise(df: DataFrame) -> DataFrame:
+ROWS_PER_PARTITION = 1_000_000
+
+
+def materialise(df: DataFrame, rows_per_partition: int | None = None) -> DataFrame:
     """Write ``df`` once to the checkpoint folder and cut its lineage.
 
     Iterative jobs (k-means over several k) then read the saved rows instead
     of recomputing the whole upstream plan, and a lost executor does not
-    force a recomputation from the raw tables.
+    force a recomputation from the raw tables.  With ``rows_per_partition``
+    the saved rows are read back in ``ceil(rows / rows_per_partition)``
+    partitions (a narrow coalesce): each of the many small jobs of an
+    iterative fit then has as many tasks as the data needs, no more.
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    saved = df.checkpoint(eager=True)
+    if rows_per_partition:
+        want = max(1, -(-saved.count() // rows_per_partition))
+        if want < saved.rdd.getNumPartitions():
+            saved = saved.coalesce(want)
+    return saved
 
 
 def best_k(scores: DataFrame) -> int:
@@ -141,14 +157,20 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 def segment(features: DataFrame, key: list[str], cols: list[str], ks: list[int], seed: int,
             value: str) -> tuple[DataFrame, DataFrame]:
     """Cluster rows of ``features`` on the (already scaled) ``cols``:
-    k by silhouette, refit at the best k, stable 1-based labels.
+    k by silhouette, the best k's model, stable 1-based labels.
 
+    All candidate k are fitted together (one data pass per iteration, see
+    :mod:`kselect`) over the features written once to the checkpoint folder.
     Returns (assignments with key + cols + cluster, score table)."""
-    vec = materialise(assemble(features, cols))
-    scores = select_k(vec, ks, seed)
+    from . import kselect
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(c)
+    pts = materialise(features.select(*key, *[F.col(c).cast("double") for c in cols]).where(ok),
+                      ROWS_PER_PARTITION)
+    scores, centres = kselect.select_k(pts, cols, ks, seed)
     k = best_k(scores)
-    model = kmeans_fit(vec, k, seed)
-    pred = model.transform(vec).drop("features")
+    pred = kselect.assign(pts, cols, centres[k])
     return relabel_by(pred, value), scores
 
 
@@ -174,8 +196,9 @@ def _distinct_points(df: DataFrame, id_col: str, cols: list[str]) -> tuple[DataF
     coords = [F.col(c).cast("double").alias(c) for c in cols]
     base = df.select(id_col, *coords)
     # written once: iterative callers then never recompute the upstream plan
-    base = materialise(base)
-    pts = materialise(base.groupBy(*cols).agg(F.min(id_col).alias("pid"), F.count(F.lit(1)).alias("w")))
+    base = materialise(base, ROWS_PER_PARTITION)
+    pts = materialise(base.groupBy(*cols).agg(F.min(id_col).alias("pid"), F.count(F.lit(1)).alias("w")),
+                      ROWS_PER_PARTITION)
     ids = base.join(pts.select(*cols, "pid"), cols)   # equi-join on coordinates
     return pts, ids.select(id_col, "pid")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as RF
-from .ordered import exact_quantiles
+from .ordered import exact_quantiles_multi
 
 
 
@@ -105,16 +105,17 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     Quartiles are exact (linear interpolation) and computed with a
     distributed sort, not a single-task percentile buffer.
     """
+    q = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])
+    qs = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
+                                   for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
     parts = []
     for c in cols:
-        moments = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"),
+        moments = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
                          F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
                          F.max(c).cast("double").alias("max"))
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        qs = q.agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
-                     for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
-        parts.append(RF.attach_row(moments, qs).select(F.lit(c).alias("column"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(moments)
+    return reduce(DataFrame.unionByName, parts).join(qs, "column", "left") \
+        .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

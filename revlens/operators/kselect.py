@@ -1,0 +1,175 @@
+"""k-means for several k at once (ML-7..10 for k selection).
+
+Choosing k by silhouette fits one model per candidate k.  Fitting them one
+after another costs (number of k) x (iterations) passes over the data.
+Here every Lloyd iteration is **one** pass for all candidate k: each
+partition assigns its points to the nearest centre of every model with
+numpy and emits only per-cluster partial sums (sum of k values x dim
+numbers), which Spark adds up.  Silhouette (squared Euclidean, from
+per-cluster count / vector sum / squared-norm sum, as MLlib's evaluator does)
+and inertia for all k take one more pass.
+
+Starting centres come from k-means++ on a bounded, seeded sample of the
+points -- the same local step MLlib's k-means|| ends with.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SAMPLE_ROWS = 20_000
+
+
+def _kmeanspp(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    n = len(sample)
+    centres = [sample[rng.integers(n)]]
+    d2 = ((sample - centres[0]) ** 2).sum(1)
+    for _ in range(1, k):
+        tot = d2.sum()
+        idx = int(rng.choice(n, p=d2 / tot)) if tot > 0 else int(rng.integers(n))
+        centres.append(sample[idx])
+        d2 = np.minimum(d2, ((sample - sample[idx]) ** 2).sum(1))
+    return np.array(centres, dtype=float)
+
+
+def _matrix(pdf: pd.DataFrame, cols: list[str]) -> np.ndarray:
+    return pdf[cols].to_numpy(dtype=float)
+
+
+def _sq_dist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    return (X * X).sum(1)[:, None] - 2 * X @ C.T + (C * C).sum(1)[None, :]
+
+
+def _partial_sums(cols, centres: dict):
+    """mapInPandas body: per (k, cluster) count, coordinate sums, squared-norm
+    sum and within-cluster squared distance, for every model."""
+    def run(batches):
+        acc = {}
+        for pdf in batches:
+            X = _matrix(pdf, cols)
+            if not len(X):
+                continue
+            sq = (X * X).sum(1)
+            for k, C in centres.items():
+                D = np.maximum(_sq_dist(X, C), 0.0)
+                lab = D.argmin(1)
+                for c in np.unique(lab):
+                    m = lab == c
+                    row = acc.setdefault((k, int(c)), [0, np.zeros(X.shape[1]), 0.0, 0.0])
+                    row[0] += int(m.sum())
+                    row[1] += X[m].sum(0)
+                    row[2] += float(sq[m].sum())
+                    row[3] += float(D[m, c].sum())
+        yield pd.DataFrame([{"k": k, "c": c, "n": v[0], "s": v[1].tolist(), "q": v[2], "sse": v[3]}
+                            for (k, c), v in acc.items()],
+                           columns=["k", "c", "n", "s", "q", "sse"])
+    return run
+
+
+_SUM_SCHEMA = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("c", T.IntegerType()),
+                            T.StructField("n", T.LongType()), T.StructField("s", T.ArrayType(T.DoubleType())),
+                            T.StructField("q", T.DoubleType()), T.StructField("sse", T.DoubleType())])
+
+
+def _cluster_sums(points: DataFrame, cols: list[str], centres: dict) -> dict:
+    parts = points.mapInPandas(_partial_sums(cols, centres), _SUM_SCHEMA)
+    dim = len(cols)
+    agg = parts.groupBy("k", "c").agg(
+        F.sum("n").alias("n"), F.sum("q").alias("q"), F.sum("sse").alias("sse"),
+        *[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(dim)])
+    out = {}
+    for r in agg.collect():   # sum of k rows: bounded by the candidate list
+        out[(r["k"], r["c"])] = (r["n"], np.array([r[f"s{i}"] for i in range(dim)]), r["q"], r["sse"])
+    return out
+
+
+def fit_many(points: DataFrame, cols: list[str], ks: list[int], seed: int = 45, max_iter: int = 100,
+             tol: float = 1e-4) -> dict:
+    """Lloyd's algorithm for every k in ``ks`` with one data pass per iteration.
+
+    Returns {k: centres (k x dim)}.  ``points`` should be materialised."""
+    n = points.count()
+    ks = [k for k in ks if k < n]
+    sample = (points.select(*cols).orderBy(F.xxhash64(F.lit(seed), *cols), *cols)
+                    .limit(SAMPLE_ROWS).toPandas())
+    S = _matrix(sample, cols)
+    centres = {k: _kmeanspp(S, k, np.random.default_rng(seed + k)) for k in ks}
+    active = set(ks)
+    for _ in range(max_iter):
+        if not active:
+            break
+        sums = _cluster_sums(points, cols, {k: centres[k] for k in active})
+        for k in list(active):
+            new = centres[k].copy()
+            for c in range(k):
+                if (k, c) in sums and sums[(k, c)][0] > 0:
+                    new[c] = sums[(k, c)][1] / sums[(k, c)][0]
+            shift = float(((new - centres[k]) ** 2).sum(1).max())
+            centres[k] = new
+            if shift <= tol * tol:
+                active.discard(k)
+    return centres
+
+
+def _silhouette_sums(cols, centres: dict, stats: dict):
+    """mapInPandas body: per k, the sum of point silhouettes (squared
+    Euclidean, point excluded from its own cluster's mean)."""
+    def run(batches):
+        tot = {k: 0.0 for k in centres}
+        cnt = {k: 0 for k in centres}
+        for pdf in batches:
+            X = _matrix(pdf, cols)
+            if not len(X):
+                continue
+            sq = (X * X).sum(1)
+            for k, C in centres.items():
+                lab = np.maximum(_sq_dist(X, C), 0.0).argmin(1)
+                nc = np.array([stats[k][c][0] for c in range(k)], dtype=float)
+                Sc = np.array([stats[k][c][1] for c in range(k)], dtype=float)
+                Qc = np.array([stats[k][c][2] for c in range(k)], dtype=float)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    total = sq[:, None] * nc[None, :] - 2 * X @ Sc.T + Qc[None, :]   # Σ_y |x-y|² per cluster
+                    own_n = nc[lab]
+                    a = np.where(own_n > 1, total[np.arange(len(X)), lab] / (own_n - 1), 0.0)
+                    mean = np.where(nc[None, :] > 0, total / nc[None, :], np.inf)
+                    mean[np.arange(len(X)), lab] = np.inf
+                    b = mean.min(1)
+                    s = np.where(own_n > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
+                tot[k] += float(np.nansum(s))
+                cnt[k] += len(X)
+        yield pd.DataFrame({"k": list(tot), "s": [tot[k] for k in tot], "m": [cnt[k] for k in tot]})
+    return run
+
+
+def select_k(points: DataFrame, cols: list[str], ks: list[int], seed: int = 45,
+             max_iter: int = 100) -> tuple[DataFrame, dict]:
+    """(k, silhouette, inertia) for every candidate k, plus the fitted centres."""
+    spark = points.sparkSession
+    centres = fit_many(points, cols, ks, seed, max_iter)
+    sums = _cluster_sums(points, cols, centres)
+    stats = {k: {c: sums.get((k, c), (0, np.zeros(len(cols)), 0.0, 0.0)) for c in range(k)} for k in centres}
+    sil = (points.mapInPandas(_silhouette_sums(cols, centres, stats), "k int, s double, m long")
+                 .groupBy("k").agg((F.sum("s") / F.sum("m")).alias("silhouette")).collect())
+    score = {r["k"]: float(r["silhouette"]) for r in sil}
+    rows = [(int(k), score.get(k), float(sum(stats[k][c][3] for c in range(k)))) for k in sorted(centres)]
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType()),
+                           T.StructField("inertia", T.DoubleType())])
+    return spark.createDataFrame(rows, schema), centres
+
+
+def assign(points: DataFrame, cols: list[str], centres: np.ndarray, label: str = "cluster") -> DataFrame:
+    """Nearest-centre label for every point (one narrow pass)."""
+    C = np.asarray(centres, dtype=float)
+    schema = T.StructType(list(points.schema.fields) + [T.StructField(label, T.IntegerType())])
+
+    def run(batches):
+        for pdf in batches:
+            X = _matrix(pdf, cols)
+            lab = np.maximum(_sq_dist(X, C), 0.0).argmin(1) if len(X) else np.array([], dtype=int)
+            yield pdf.assign(**{label: lab.astype("int32")})
+
+    return points.mapInPandas(run, schema)

@@ -20,6 +20,7 @@ units of 1e-4), so the result does not depend on partitioning.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -40,37 +41,60 @@ def from_units(c: Column) -> Column:
     return (c.cast("decimal(38,0)") / MONEY_UNITS).cast("decimal(38,4)")
 
 
-def _local_prefix(value_col: str | None):
+def _local_prefix(value_col: str | None, group_col: str | None):
     def run(batches):
         pid = TaskContext.get().partitionId()
-        rows = 0
-        carry = 0
+        last_group, rows, carry = None, 0, 0
         for pdf in batches:
             n = len(pdf)
-            out = pd.DataFrame({
-                "_pid": pd.Series([pid] * n, dtype="int32"),
-                "_lrn": pd.RangeIndex(rows + 1, rows + n + 1).to_numpy(dtype="int64"),
-            })
+            if group_col is None:
+                lrn = np.arange(rows + 1, rows + n + 1, dtype="int64")
+                rows += n
+                if value_col is not None:
+                    cs = pdf[value_col].fillna(0).astype("int64").to_numpy().cumsum() + carry
+                    carry = int(cs[-1]) if n else carry
+            else:
+                g = pdf[group_col]
+                # rows arrive sorted by group: number them within each group run,
+                # continuing the run carried over from the previous batch
+                new_run = (g != g.shift()).to_numpy()
+                if n:
+                    new_run[0] = not (last_group is not None and g.iloc[0] == last_group)
+                run_id = new_run.cumsum()
+                lrn = pd.Series(1, index=pdf.index).groupby(run_id).cumsum().to_numpy(dtype="int64")
+                if n and not new_run[0]:
+                    lrn[run_id == run_id[0]] += rows
+                if value_col is not None:
+                    v = pd.Series(pdf[value_col].fillna(0).astype("int64").to_numpy())
+                    cs = v.groupby(run_id).cumsum().to_numpy()
+                    if n and not new_run[0]:
+                        cs[run_id == run_id[0]] += carry
+                if n:
+                    last_group = g.iloc[-1]
+                    rows = int(lrn[-1])
+                    carry = int(cs[-1]) if value_col is not None else 0
+            out = pd.DataFrame({"_pid": np.full(n, pid, dtype="int32"), "_lrn": lrn})
             if value_col is not None:
-                vals = pdf[value_col].fillna(0).astype("int64").to_numpy()
-                cs = vals.cumsum() + carry
                 out["_lsum"] = cs
-                if n:
-                    carry = int(cs[-1])
-            rows += n
             yield pd.concat([pdf.reset_index(drop=True), out], axis=1)
     return run
 
 
 def ordered_prefix(df: DataFrame, order_by: list[Column], value_col: str | None = None,
-                   num_partitions: int | None = None) -> DataFrame:
-    """Add ``_rownum`` (1-based global position), ``_n`` (row count) and, when
+                   num_partitions: int | None = None, group_col: str | None = None) -> DataFrame:
+    """Add ``_rownum`` (1-based position), ``_n`` (row count) and, when
     ``value_col`` (a long column) is given, ``_prefix`` (running sum up to and
     including the row) following ``order_by``.  ``order_by`` must be a total
-    order (end it with a unique key)."""
+    order (end it with a unique key).
+
+    With ``group_col`` positions and sums restart for every group value
+    (several columns or keys ranked in one pass); a large group still spans
+    several partitions, a small one shares a partition with its neighbours.
+    """
     spark = df.sparkSession
     n_parts = num_partitions or shuffle_partitions(spark)
-    ranged = df.repartitionByRange(n_parts, *order_by).sortWithinPartitions(*order_by)
+    order = ([F.col(group_col).asc()] if group_col else []) + list(order_by)
+    ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
 
     fields = list(ranged.schema.fields) + [
         T.StructField("_pid", T.IntegerType(), False),
@@ -78,7 +102,7 @@ def ordered_prefix(df: DataFrame, order_by: list[Column], value_col: str | None
     ]
     if value_col is not None:
         fields.append(T.StructField("_lsum", T.LongType(), False))
-    local = ranged.mapInPandas(_local_prefix(value_col), T.StructType(fields))
+    local = ranged.mapInPandas(_local_prefix(value_col, group_col), T.StructType(fields))
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         # without exchange reuse the two consumers below could each sample
         # their own range bounds: write the local frame once instead
@@ -92,22 +116,24 @@ def ordered_prefix(df: DataFrame, order_by: list[Column], value_col: str | None
     # (ReusedExchange): the offsets always describe exactly the partitions
     # the local prefixes were computed on, even when the range bounds come
     # from sampling.
+    gk = [group_col] if group_col else []
     aggs = [F.max("_lrn").alias("_pcnt")]
     if value_col is not None:
         aggs.append(F.max_by("_lsum", "_lrn").alias("_psum"))
-    per_part = local.select("_pid", "_lrn", *(["_lsum"] if value_col is not None else [])) \
-                    .groupBy("_pid").agg(*aggs)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # at most ``n_parts`` rows: the single-partition window and the broadcast are bounded
+    per_part = local.select("_pid", *gk, "_lrn", *(["_lsum"] if value_col is not None else [])) \
+                    .groupBy("_pid", *gk).agg(*aggs)
+    base = Window.partitionBy(*gk).orderBy("_pid") if gk else Window.orderBy("_pid")
+    before = base.rowsBetween(Window.unboundedPreceding, -1)
+    whole = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one row per (partition[, group]) present: bounded by partitions + groups
     offsets = per_part.select(
-        "_pid",
+        "_pid", *gk,
         F.coalesce(F.sum("_pcnt").over(before), F.lit(0)).alias("_cbefore"),
         F.sum("_pcnt").over(whole).alias("_n"),
         *([F.coalesce(F.sum("_psum").over(before), F.lit(0)).alias("_sbefore")]
           if value_col is not None else []),
     )
-    out = local.join(F.broadcast(offsets), "_pid")
+    out = local.join(F.broadcast(offsets) if not gk else offsets, ["_pid", *gk])
     out = out.withColumn("_rownum", F.col("_lrn") + F.col("_cbefore"))
     drop = ["_pid", "_lrn", "_cbefore"]
     if value_col is not None:
@@ -116,24 +142,24 @@ def ordered_prefix(df: DataFrame, order_by: list[Column], value_col: str | None
     return out.drop(*drop)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float],
-                    num_partitions: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (numpy's default), nulls ignored.
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
+                          num_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles (linear interpolation, numpy's default, nulls ignored)
+    of several columns in one distributed sort: rows ``(column, prob, value)``.
 
-    Returns one row per probability: ``(prob, value)``.  Positions are found
-    with ``ordered_prefix``, so no task ever holds more than one range of the
-    sorted values.
+    The columns are stacked to (column, value) and ranked with a grouped
+    ``ordered_prefix``, so no task holds more than one range of one column.
     """
-    vals = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    # a unique tie-break keeps the order total; the id only orders equal values
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s"))
+    vals = stacked.select("_s._c", "_s._v").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     vals = vals.withColumn("_tie", F.monotonically_increasing_id())
     ranked = ordered_prefix(vals, [F.col("_v").asc(), F.col("_tie").asc()],
-                            num_partitions=num_partitions)
+                            num_partitions=num_partitions, group_col="_c")
     pos = []
     for p in probs:
         h = F.lit(float(p)) * (F.col("_n") - 1)
-        lo = F.floor(h) + 1
-        pos.append((p, h, lo))
+        pos.append((p, h, F.floor(h) + 1))
     wanted = F.lit(False)
     for _, _, lo in pos:
         wanted = wanted | (F.col("_rownum") == lo) | (F.col("_rownum") == lo + 1)
@@ -143,9 +169,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
         aggs += [F.max(F.when(F.col("_rownum") == lo, F.col("_v"))).alias(f"_lo{i}"),
                  F.max(F.when(F.col("_rownum") == lo + 1, F.col("_v"))).alias(f"_hi{i}"),
                  F.max(h - F.floor(h)).alias(f"_fr{i}")]
-    one = picked.agg(*aggs)
+    per_col = picked.groupBy(F.col("_c").alias("column")).agg(*aggs)
     rows = []
     for i, (p, _, _) in enumerate(pos):
         lo_v, hi_v, fr = F.col(f"_lo{i}"), F.coalesce(F.col(f"_hi{i}"), F.col(f"_lo{i}")), F.col(f"_fr{i}")
         rows.append(F.struct(F.lit(float(p)).alias("prob"), (lo_v + (hi_v - lo_v) * fr).alias("value")))
-    return one.select(F.inline(F.array(*rows)))
+    return per_col.select("column", F.inline(F.array(*rows)))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: list[float],
+                    num_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles of one column: rows ``(prob, value)``."""
+    return exact_quantiles_multi(df, [value], probs, num_partitions).drop("column")

@@ -7,29 +7,25 @@ plain projections -- the scaled frame keeps every other column (keys).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as RF
-from .ordered import exact_quantiles
+from .ordered import exact_quantiles_multi
 
 
 def robust_params(df: DataFrame, cols: list[str], q_low: float = 0.15,
                   q_high: float = 0.85) -> DataFrame:
-    """One row: ``<c>_median`` and ``<c>_scale`` = q_high - q_low (1 when 0)."""
-    rows = []
+    """One row: ``<c>_median`` and ``<c>_scale`` = q_high - q_low (1 when 0);
+    the quantiles of all columns come from one distributed sort."""
+    q = exact_quantiles_multi(df, cols, [q_low, 0.5, q_high])
+    aggs = []
     for c in cols:
-        q = exact_quantiles(df, c, [q_low, 0.5, q_high])
-        row = q.agg(
-            F.max(F.when(F.col("prob") == 0.5, F.col("value"))).alias(f"{c}_median"),
-            (F.max(F.when(F.col("prob") == q_high, F.col("value")))
-             - F.max(F.when(F.col("prob") == q_low, F.col("value")))).alias(f"{c}_iqr"))
-        rows.append(row.select(f"{c}_median",
-                               F.when(F.col(f"{c}_iqr") == 0, F.lit(1.0))
-                                .otherwise(F.col(f"{c}_iqr")).alias(f"{c}_scale")))
-    return reduce(lambda a, b: RF.attach_row(a, b), rows)
+        at = lambda p: F.max(F.when((F.col("column") == c) & (F.col("prob") == p), F.col("value")))
+        iqr = at(q_high) - at(q_low)
+        aggs += [at(0.5).alias(f"{c}_median"),
+                 F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias(f"{c}_scale")]
+    return q.agg(*aggs)
 
 
 def robust_scale(df: DataFrame, cols: list[str], q_low: float = 0.15, q_high: float = 0.85,

@@ -974,6 +974,26 @@ def q_rfm_attrs(spark, sf_dir):
     return explore.attribute_left_join(rfm, lines, "CustomerID", ["IndustryGroup", "City"])
 
 
+# ---------------------------------------------------------------------------
+# Streaming: weekly sums of the events table replayed as a file stream
+# ---------------------------------------------------------------------------
+
+@register("weekly_events_stream", """
+SELECT event_type, CAST(date_trunc('week', CAST(ts AS DATE) - 1) AS DATE) AS week,
+       CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS value, count(*) AS events
+FROM events GROUP BY ALL
+""")
+def q_weekly_events_stream(spark, sf_dir):
+    from ..streaming import weekly
+    schema = read_table(spark, sf_dir, "events").schema
+    # a glob (not a file path): the file stream source lists a folder
+    stream = weekly.read_parquet_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet", schema)
+    stream = stream.withColumn("events", F.lit(1))
+    res = weekly.weekly_sum_stream(stream, ["event_type"], "ts", ["value", "events"], money=("value",))
+    return weekly.run_available(res, name="weekly-events").select(
+        "event_type", "week", "value", F.col("events").cast("long").alias("events"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -102,3 +102,33 @@ def test_scalers(spark):
     mm = scale.minmax_scale(df.withColumn("key", F.lit(1)), ["key"], "x")
     back = mm.select(scale.minmax_inverse("scaled").alias("b"), "x").collect()
     assert all(abs(r.b - r.x) < 1e-9 for r in back)
+
+
+def test_grouped_prefix_across_partitions_and_batches(spark):
+    rnd = random.Random(3)
+    # group 'hot' holds most rows (spans partitions); small groups share partitions
+    rows = [("hot", i, rnd.randint(0, 9)) for i in range(2500)] + \
+           [(f"g{j}", i, rnd.randint(0, 9)) for j in range(40) for i in range(rnd.randint(1, 30))]
+    df = spark.createDataFrame(rows, "g string, k long, v long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = ordered.ordered_prefix(df, [F.col("v").asc(), F.col("k").asc()], "v",
+                                     num_partitions=9, group_col="g").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    w = Window.partitionBy("g").orderBy(F.col("v").asc(), F.col("k").asc())
+    ref = df.select("g", "k", F.row_number().over(w).alias("rn"),
+                    F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cs"),
+                    F.count(F.lit(1)).over(Window.partitionBy("g")).alias("n")).collect()
+    assert {(r.g, r.k): (r._rownum, r._prefix, r._n) for r in got} == \
+           {(r.g, r.k): (r.rn, r.cs, r.n) for r in ref}
+
+
+def test_multi_column_quantiles(spark):
+    rnd = np.random.default_rng(5)
+    a, b = rnd.normal(size=200), rnd.integers(0, 5, size=200).astype(float)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    got = {(r.column, r.prob): r.value for r in ordered.exact_quantiles_multi(df, ["a", "b"], [0.15, 0.5, 0.85]).collect()}
+    for col, arr in (("a", a), ("b", b)):
+        for p in (0.15, 0.5, 0.85):
+            assert abs(got[(col, p)] - np.percentile(arr, p * 100)) < 1e-12
