@@ -80,6 +80,24 @@ def _local_prefix(value_col: str | None, group_col: str | None):
     return run
 
 
+def _partition_totals(value_col: str | None, group_col: str | None):
+    def run(batches):
+        pid = TaskContext.get().partitionId()
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            v = (pdf[value_col].fillna(0).astype("int64") if value_col is not None
+                 else pd.Series(0, index=pdf.index, dtype="int64"))
+            if group_col is None:
+                yield pd.DataFrame({"_pid": [pid], "_pcnt": [len(pdf)], "_psum": [int(v.sum())]})
+            else:
+                g = pd.DataFrame({"g": pdf[group_col], "v": v}).groupby("g", sort=False, dropna=False)
+                agg = g["v"].agg(["size", "sum"]).reset_index()
+                yield pd.DataFrame({"_pid": pid, group_col: agg["g"], "_pcnt": agg["size"].astype("int64"),
+                                    "_psum": agg["sum"].astype("int64")})
+    return run
+
+
 def ordered_prefix(df: DataFrame, order_by: list[Column], value_col: str | None = None,
                    num_partitions: int | None = None, group_col: str | None = None) -> DataFrame:
     """Add ``_rownum`` (1-based position), ``_n`` (row count) and, when
@@ -94,7 +112,8 @@ def ordered_prefix(df: DataFrame, order_by: list[Column], value_col: str | None
     spark = df.sparkSession
     n_parts = num_partitions or shuffle_partitions(spark)
     order = ([F.col(group_col).asc()] if group_col else []) + list(order_by)
-    ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    exchanged = df.repartitionByRange(n_parts, *order)
+    ranged = exchanged.sortWithinPartitions(*order)
 
     fields = list(ranged.schema.fields) + [
         T.StructField("_pid", T.IntegerType(), False),
@@ -110,18 +129,21 @@ def ordered_prefix(df: DataFrame, order_by: list[Column], value_col: str | None
         ensure_checkpoint_dir(spark)
         local = local.checkpoint(eager=True)
 
-    # Per-partition totals are read from the same ``local`` frame as the rows
-    # they offset.  ``mapInPandas`` needs every input column, so both
-    # consumers sit on one identical range exchange, which Spark runs once
-    # (ReusedExchange): the offsets always describe exactly the partitions
-    # the local prefixes were computed on, even when the range bounds come
-    # from sampling.
+    # Per-partition totals come from a second, count-only Python pass over the
+    # same range exchange.  ``mapInPandas`` needs every input column, so
+    # column pruning cannot give this branch a narrower exchange: both
+    # branches sit on one identical exchange, which Spark runs once
+    # (ReusedExchange), and the offsets describe exactly the partitions the
+    # local prefixes were computed on even though range bounds are sampled.
+    # (A JVM aggregate here would be pruned to fewer columns and would sample
+    # its own bounds.)
     gk = [group_col] if group_col else []
-    aggs = [F.max("_lrn").alias("_pcnt")]
-    if value_col is not None:
-        aggs.append(F.max_by("_lsum", "_lrn").alias("_psum"))
-    per_part = local.select("_pid", *gk, "_lrn", *(["_lsum"] if value_col is not None else [])) \
-                    .groupBy("_pid", *gk).agg(*aggs)
+    tot_fields = [T.StructField("_pid", T.IntegerType(), False)] + \
+        ([df.schema[group_col]] if group_col else []) + \
+        [T.StructField("_pcnt", T.LongType(), False), T.StructField("_psum", T.LongType(), False)]
+    per_part = (exchanged.mapInPandas(_partition_totals(value_col, group_col), T.StructType(tot_fields))
+                         .groupBy("_pid", *gk).agg(F.sum("_pcnt").alias("_pcnt"),
+                                                   F.sum("_psum").alias("_psum")))
     base = Window.partitionBy(*gk).orderBy("_pid") if gk else Window.orderBy("_pid")
     before = base.rowsBetween(Window.unboundedPreceding, -1)
     whole = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
