@@ -285,6 +285,11 @@ def dbscan(df: DataFrame, id_col: str, cols: list[str], eps: float, min_samples:
     """
     pts, ids = _distinct_points(df, id_col, cols)
     pairs = materialise(_neighbour_pairs(pts, cols, eps))
+    return _dbscan_from_pairs(pts, ids, pairs, id_col, min_samples, max_iter, checkpoint_every)
+
+
+def _dbscan_from_pairs(pts: DataFrame, ids: DataFrame, pairs: DataFrame, id_col: str, min_samples: int,
+                       max_iter: int = 100, checkpoint_every: int = 5) -> DataFrame:
     counts = (pairs.join(pts.select(F.col("pid").alias("b"), "w"), "b").groupBy("a")
                    .agg(F.sum("w").alias("_nw")))
     core = (pts.join(counts.withColumnRenamed("a", "pid"), "pid", "left")
@@ -324,13 +329,19 @@ def dbscan_grid(df: DataFrame, id_col: str, cols: list[str], eps_values: list[fl
                 max_clusters: int = 50) -> DataFrame:
     """ML-16: every (eps, min_samples) scored by silhouette; fewer than
     ``min_clusters`` or more than ``max_clusters`` clusters score -10.
-    Returns the score table (eps, min_samples, clusters, noise, score, label)."""
+
+    The distinct points and the neighbour join at the largest eps are
+    computed once and filtered for every smaller eps.  Returns the score
+    table (eps, min_samples, clusters, noise, score, label)."""
     spark = df.sparkSession
-    feats = materialise(assemble(df.select(id_col, *cols), cols))
+    pts, ids = _distinct_points(df, id_col, cols)
+    all_pairs = materialise(_neighbour_pairs(pts, cols, float(max(eps_values))))
+    feats = materialise(assemble(df.select(id_col, *cols), cols), ROWS_PER_PARTITION)
     rows = []
     for eps in eps_values:
+        pairs = materialise(all_pairs.where(F.col("dist") <= float(eps)))
         for ms in min_samples_values:
-            lab = dbscan(df, id_col, cols, float(eps), int(ms))
+            lab = _dbscan_from_pairs(pts, ids, pairs, id_col, int(ms))
             stats = lab.agg(F.countDistinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("c"),
                             F.sum((F.col("cluster") < 0).cast("int")).alias("noise")).first()
             n_clusters = int(stats["c"])
