@@ -175,3 +175,24 @@ def test_sources_and_sinks(spark):
     assert prev.count() == 1
     assert files.read_sql_table(spark, "revlens_test_table", 5).count() == 1
     assert not math.isnan(1.0)
+
+
+def test_publish_forecasts_job(spark):
+    from revlens.plans import jobs
+    d = tempfile.mkdtemp(prefix="revlens-pub-")
+    for sub in ("lstm", "items", "products"):
+        os.makedirs(f"{d}/{sub}")
+    header = "Date,Revenue,Train,Test,Predict\n"
+    open(f"{d}/lstm/aCluster1.csv", "w").write(header + "2024-01-01,5.0,,,6.0\n")
+    open(f"{d}/lstm/aCluster3.csv", "w").write(header + "2024-01-01,2.0,,,2.0\n")
+    hdr = ["Date", "Quantity", "Train", "Test", "Predict"]
+    open(f"{d}/items/2024predictionsBayern.xlsx", "wb").write(_xlsx([hdr, [45292, 3, None, None, None]]))
+    open(f"{d}/products/2024predictionsNailsNordrhein-Westfalen.xlsx", "wb").write(
+        _xlsx([hdr, [45292, 1, None, None, 2]]))
+    out = jobs.publish_forecasts(spark, f"{d}/lstm/*.csv", f"{d}/items/*.xlsx", f"{d}/products/*.xlsx")
+    assert set(out) == {"predictions_LSTM", "predictions_LSTM_Items", "predictions_LSTM_Items_SpecificProducts"}
+    lstm = {(r.Cluster, r.Revenue) for r in spark.table("predictions_LSTM").collect()}
+    assert lstm == {("1", 5.0), ("3", None)}
+    prod = spark.table("predictions_LSTM_Items_SpecificProducts").first()
+    assert (prod.ItemType, prod.Location, prod.Quantity) == ("Nails", "Nordrhein-Westfalen", 1.0)
+    assert spark.table("predictions_LSTM_Items").first().Location == "Bayern"
