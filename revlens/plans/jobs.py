@@ -48,8 +48,9 @@ def prepare_sales(invoices: DataFrame, customers: DataFrame, postal_ref: DataFra
     blended = blended.withColumn("PostalCode", RF.pad_postal("PostalCodeInt"))
     # fan-out rows of one line: prefer the town that was matched, then by name
     blended = blended.withColumn("_miss", (F.col("City_correct") != F.col("Final_City")).cast("int"))
-    rest = [c for c in blended.columns if c not in clean.DEDUPE_KEYS + ["_miss", "City_correct", "State"]]
-    deduped = clean.dedupe_first(blended, clean.DEDUPE_KEYS, ["_miss", "City_correct", "State"] + rest)
+    order = [c for c in PREPARE_TIE_ORDER if c in blended.columns]
+    order += [c for c in blended.columns if c not in clean.DEDUPE_KEYS + order]
+    deduped = clean.dedupe_first(blended, clean.DEDUPE_KEYS, order)
     deduped = deduped.withColumn("Final_City", RF.first_part("Final_City", ","))
     deduped = geo.apply_state_overrides(deduped)
     out = deduped.drop("City_inconsistent", "City_correct", "_miss", "PostalCodeInt") \
@@ -57,6 +58,13 @@ def prepare_sales(invoices: DataFrame, customers: DataFrame, postal_ref: DataFra
     return out.select(*CANONICAL_ORDER)
 
 
+# Which of several lines with one dedupe key is kept: the smallest by these
+# columns, in this order (nulls first): the matched town first, then by name.
+PREPARE_TIE_ORDER = ["_miss", "City_correct", "State", "Final_City", "City_inconsistent", "PostalCodeInt",
+                     "PostalCode", "Company", "RevenueType", "PricePackagingUnit", "Quantity", "NetRevenue",
+                     "ProductGroup", "ProductSubgroup", "BusinessArea", "Type", "IndustryGroup",
+                     "SalesChannelCategory", "SalesChannel", "Season"]
+
 CANONICAL_ORDER = ["OrderNumber", "Company", "ArticleID", "OrderDate", "CustomerID", "RevenueType",
                    "PricePackagingUnit", "Quantity", "NetRevenue", "ProductGroup", "ProductSubgroup",
                    "BusinessArea", "Type", "City", "PostalCode", "IndustryGroup",
