@@ -851,19 +851,36 @@ def q_ses(spark, sf_dir):
                                             "NetRevenue", _ALPHA)
 
 
-@register("ses_best_alpha_by_center")
+@register("ses_best_alpha_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+, ordered AS (SELECT DistributionCenter, week, NetRevenue AS y,
+                     row_number() OVER (PARTITION BY DistributionCenter ORDER BY week) AS i FROM series),
+grid AS (SELECT CAST(g AS DOUBLE) / 10 AS alpha FROM range(1, 10) t(g)),
+rec AS (
+  SELECT o.DistributionCenter, g.alpha, o.i, o.y AS lvl, 0.0::DOUBLE AS e FROM ordered o, grid g WHERE o.i = 1
+  UNION ALL
+  SELECT r.DistributionCenter, r.alpha, o.i, r.alpha * o.y + (1 - r.alpha) * r.lvl AS lvl,
+         r.e + (o.y - r.lvl) * (o.y - r.lvl) AS e
+  FROM rec r JOIN ordered o ON o.DistributionCenter = r.DistributionCenter AND o.i = r.i + 1),
+fin AS (SELECT DistributionCenter, alpha, e AS sse FROM (
+          SELECT *, row_number() OVER (PARTITION BY DistributionCenter, alpha ORDER BY i DESC) AS rn FROM rec)
+        WHERE rn = 1)
+SELECT DistributionCenter, alpha, sse FROM (
+  SELECT *, row_number() OVER (PARTITION BY DistributionCenter ORDER BY sse, alpha) AS rn FROM fin) WHERE rn = 1
+""").replace("WITH sales AS", "WITH RECURSIVE sales AS", 1))
 def q_ses_best(spark, sf_dir):
     return diagnostics.ses_best_alpha(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
                                       "NetRevenue", [i / 10 for i in range(1, 10)])
 
 
-@register("holt_additive_by_center")
+@register("holt_additive_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + "\n, ordered AS (SELECT DistributionCenter, week, NetRevenue AS y,\n                     row_number() OVER (PARTITION BY DistributionCenter ORDER BY week) AS i FROM series),\nfirst2 AS (SELECT DistributionCenter, max(CASE WHEN i = 1 THEN y END) AS y1, max(CASE WHEN i = 2 THEN y END) AS y2\n           FROM ordered GROUP BY 1),\nrec AS (\n  SELECT o.DistributionCenter, o.i, o.week, o.y AS fitted, o.y AS lvl, y2 - y1 AS tr\n  FROM ordered o JOIN first2 f USING (DistributionCenter) WHERE o.i = 1\n  UNION ALL\n  SELECT x.DistributionCenter, x.i, x.week, x.fc AS fitted, x.lvl, CAST('{b}' AS DOUBLE) * (x.lvl - r.lvl) + CAST('{ob}' AS DOUBLE) * r.tr AS tr\n  FROM rec r JOIN LATERAL (\n    SELECT o.DistributionCenter, o.i, o.week, r.lvl + r.tr AS fc,\n           CAST('{a}' AS DOUBLE) * o.y + CAST('{oa}' AS DOUBLE) * (r.lvl + r.tr) AS lvl\n    FROM ordered o WHERE o.DistributionCenter = r.DistributionCenter AND o.i = r.i + 1) x ON TRUE)\nSELECT DistributionCenter, week, fitted FROM rec\n".format(
+    a=repr(0.3), oa=repr(1 - 0.3), b=repr(0.1), ob=repr(1 - 0.1))).replace("WITH sales AS", "WITH RECURSIVE sales AS", 1))
 def q_holt(spark, sf_dir):
     return diagnostics.holt(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
                             "NetRevenue", 0.3, 0.1)
 
 
-@register("holt_multiplicative_by_center")
+@register("holt_multiplicative_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + "\n, ordered AS (SELECT DistributionCenter, week, NetRevenue AS y,\n                     row_number() OVER (PARTITION BY DistributionCenter ORDER BY week) AS i FROM series),\nfirst2 AS (SELECT DistributionCenter, max(CASE WHEN i = 1 THEN y END) AS y1, max(CASE WHEN i = 2 THEN y END) AS y2\n           FROM ordered GROUP BY 1),\nrec AS (\n  SELECT o.DistributionCenter, o.i, o.week, o.y AS fitted, o.y AS lvl, y2 / y1 AS tr\n  FROM ordered o JOIN first2 f USING (DistributionCenter) WHERE o.i = 1\n  UNION ALL\n  SELECT x.DistributionCenter, x.i, x.week, x.fc AS fitted, x.lvl, CAST('{b}' AS DOUBLE) * (x.lvl / r.lvl) + CAST('{ob}' AS DOUBLE) * r.tr AS tr\n  FROM rec r JOIN LATERAL (\n    SELECT o.DistributionCenter, o.i, o.week, r.lvl * r.tr AS fc,\n           CAST('{a}' AS DOUBLE) * o.y + CAST('{oa}' AS DOUBLE) * (r.lvl * r.tr) AS lvl\n    FROM ordered o WHERE o.DistributionCenter = r.DistributionCenter AND o.i = r.i + 1) x ON TRUE)\nSELECT DistributionCenter, week, fitted FROM rec\n".format(
+    a=repr(0.3), oa=repr(1 - 0.3), b=repr(0.1), ob=repr(1 - 0.1))).replace("WITH sales AS", "WITH RECURSIVE sales AS", 1))
 def q_holt_mul(spark, sf_dir):
     return diagnostics.holt(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
                             "NetRevenue", 0.3, 0.1, multiplicative=True)
@@ -929,9 +946,32 @@ def _item_rfc_scaled(spark, sf_dir):
 _RFC = ["daysSinceLastOrder", "orderCount", "sumQuantity"]
 
 
-@register("item_knn_distance")
+def _item_rfc_scaled_sql() -> str:
+    stats = ", ".join(f"quantile_cont({c}, 0.5) AS {c}_m, "
+                      f"CASE WHEN quantile_cont({c}, 0.85) - quantile_cont({c}, 0.15) = 0 THEN 1.0 "
+                      f"ELSE quantile_cont({c}, 0.85) - quantile_cont({c}, 0.15) END AS {c}_s" for c in _RFC)
+    cols = ", ".join(f"({c} - {c}_m) / {c}_s AS {c}" for c in _RFC)
+    return with_sales(f"""
+rfc AS (SELECT ProductSubgroup || '|' || DistributionCenter AS item,
+               CAST(datediff('day', max(OrderDate), DATE '{REFERENCE_DATE}') AS DOUBLE) AS daysSinceLastOrder,
+               CAST(count(OrderNumber) AS DOUBLE) AS orderCount, sum(coalesce(Quantity, 1.0)) AS sumQuantity
+        FROM sales WHERE {_ITEM_WHERE} AND ProductSubgroup IS NOT NULL AND DistributionCenter IS NOT NULL
+        GROUP BY ProductSubgroup, DistributionCenter),
+p AS (SELECT {stats} FROM rfc),
+sc AS (SELECT item, {cols} FROM rfc, p)
+""")
+
+
+# brute force over all pairs: the item table has one row per (subgroup, centre)
+@register("item_knn_distance", _item_rfc_scaled_sql() + """
+, d AS (SELECT a.item, sqrt(""" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _RFC) + """) AS dist
+       FROM sc a, sc b)
+SELECT item, round(dist, 9) AS kdist FROM (
+  SELECT item, dist, row_number() OVER (PARTITION BY item ORDER BY dist) AS rn FROM d) WHERE rn = 3
+""")
 def q_item_knn(spark, sf_dir):
-    return cluster.knn_distances(_item_rfc_scaled(spark, sf_dir), "item", _RFC, k=3)
+    k = cluster.knn_distances(_item_rfc_scaled(spark, sf_dir), "item", _RFC, k=3)
+    return k.withColumn("kdist", F.round("kdist", 9))
 
 
 @register("item_dbscan")
