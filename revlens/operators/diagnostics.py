@@ -73,13 +73,15 @@ def holt(series: DataFrame, keys: list[str], value: str, alpha: float, beta: flo
     agg = _ordered_values(series, keys, value)
     a, b = F.lit(float(alpha)), F.lit(float(beta))
     y0, y1 = F.element_at("_ys", 1), F.element_at("_ys", 2)
-    trend0 = (y1 / y0) if multiplicative else (y1 - y0)
+    # a multiplicative trend needs positive values: a zero level makes the
+    # trend (and every later fitted value) null instead of failing
+    trend0 = F.try_divide(y1, y0) if multiplicative else (y1 - y0)
     init = F.struct(y0.alias("l"), trend0.alias("b"), F.array().cast("array<double>").alias("f"))
 
     def step(acc, y):
         fc = acc["l"] * acc["b"] if multiplicative else acc["l"] + acc["b"]
         lvl = a * y + (1 - a) * fc
-        tr = (b * (lvl / acc["l"]) + (1 - b) * acc["b"]) if multiplicative else \
+        tr = (b * F.try_divide(lvl, acc["l"]) + (1 - b) * acc["b"]) if multiplicative else \
             (b * (lvl - acc["l"]) + (1 - b) * acc["b"])
         return F.struct(lvl.alias("l"), tr.alias("b"), F.concat(acc["f"], F.array(fc)).alias("f"))
 

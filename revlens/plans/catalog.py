@@ -879,7 +879,7 @@ def q_holt(spark, sf_dir):
                             "NetRevenue", 0.3, 0.1)
 
 
-@register("holt_multiplicative_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + "\n, ordered AS (SELECT DistributionCenter, week, NetRevenue AS y,\n                     row_number() OVER (PARTITION BY DistributionCenter ORDER BY week) AS i FROM series),\nfirst2 AS (SELECT DistributionCenter, max(CASE WHEN i = 1 THEN y END) AS y1, max(CASE WHEN i = 2 THEN y END) AS y2\n           FROM ordered GROUP BY 1),\nrec AS (\n  SELECT o.DistributionCenter, o.i, o.week, o.y AS fitted, o.y AS lvl, y2 / y1 AS tr\n  FROM ordered o JOIN first2 f USING (DistributionCenter) WHERE o.i = 1\n  UNION ALL\n  SELECT x.DistributionCenter, x.i, x.week, x.fc AS fitted, x.lvl, CAST('{b}' AS DOUBLE) * (x.lvl / r.lvl) + CAST('{ob}' AS DOUBLE) * r.tr AS tr\n  FROM rec r JOIN LATERAL (\n    SELECT o.DistributionCenter, o.i, o.week, r.lvl * r.tr AS fc,\n           CAST('{a}' AS DOUBLE) * o.y + CAST('{oa}' AS DOUBLE) * (r.lvl * r.tr) AS lvl\n    FROM ordered o WHERE o.DistributionCenter = r.DistributionCenter AND o.i = r.i + 1) x ON TRUE)\nSELECT DistributionCenter, week, fitted FROM rec\n".format(
+@register("holt_multiplicative_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + "\n, ordered AS (SELECT DistributionCenter, week, NetRevenue AS y,\n                     row_number() OVER (PARTITION BY DistributionCenter ORDER BY week) AS i FROM series),\nfirst2 AS (SELECT DistributionCenter, max(CASE WHEN i = 1 THEN y END) AS y1, max(CASE WHEN i = 2 THEN y END) AS y2\n           FROM ordered GROUP BY 1),\nrec AS (\n  SELECT o.DistributionCenter, o.i, o.week, o.y AS fitted, o.y AS lvl, CASE WHEN y1 = 0 THEN NULL ELSE y2 / y1 END AS tr\n  FROM ordered o JOIN first2 f USING (DistributionCenter) WHERE o.i = 1\n  UNION ALL\n  SELECT x.DistributionCenter, x.i, x.week, x.fc AS fitted, x.lvl, CAST('{b}' AS DOUBLE) * (CASE WHEN r.lvl = 0 THEN NULL ELSE x.lvl / r.lvl END) + CAST('{ob}' AS DOUBLE) * r.tr AS tr\n  FROM rec r JOIN LATERAL (\n    SELECT o.DistributionCenter, o.i, o.week, r.lvl * r.tr AS fc,\n           CAST('{a}' AS DOUBLE) * o.y + CAST('{oa}' AS DOUBLE) * (r.lvl * r.tr) AS lvl\n    FROM ordered o WHERE o.DistributionCenter = r.DistributionCenter AND o.i = r.i + 1) x ON TRUE)\nSELECT DistributionCenter, week, fitted FROM rec\n".format(
     a=repr(0.3), oa=repr(1 - 0.3), b=repr(0.1), ob=repr(1 - 0.1))).replace("WITH sales AS", "WITH RECURSIVE sales AS", 1))
 def q_holt_mul(spark, sf_dir):
     return diagnostics.holt(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
