@@ -986,7 +986,9 @@ def q_item_dbscan_grid(spark, sf_dir):
 
 @register("random_forest_revenue")
 def q_random_forest(spark, sf_dir):
-    s = sales(spark, sf_dir, ["OrderDate", "Quantity", "NetRevenue"])
+    # the forest reads its input several times (metadata, split candidates,
+    # cached tree input): write the three needed columns once
+    s = cluster.materialise(sales(spark, sf_dir, ["OrderDate", "Quantity", "NetRevenue"]))
     train, test = clean.date_split(s, f"{ANALYSIS_YEAR}-01-01")
     return cluster.random_forest_regression(train, test, ["Quantity"], "NetRevenue", trees=100, seed=42)[1]
 
