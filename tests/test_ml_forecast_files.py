@@ -196,3 +196,20 @@ def test_publish_forecasts_job(spark):
     prod = spark.table("predictions_LSTM_Items_SpecificProducts").first()
     assert (prod.ItemType, prod.Location, prod.Quantity) == ("Nails", "Nordrhein-Westfalen", 1.0)
     assert spark.table("predictions_LSTM_Items").first().Location == "Bayern"
+
+
+def test_run_all_on_table_derived_raw_data(spark):
+    from revlens.plans import catalog, jobs
+    from conftest import SF_SMALL
+    inv, cust, ref = catalog._tpch_raw(spark, SF_SMALL)
+    stage = tempfile.mkdtemp(prefix="revlens-stage-")
+    res = jobs.run_all(spark, inv, cust, ref, catalog.ANALYSIS_YEAR, catalog.REFERENCE_DATE, stage, horizon=4)
+    cust_fc = spark.read.parquet(f"{stage}/forecast_customers")
+    items_fc = spark.read.parquet(f"{stage}/forecast_items")
+    assert set(res) == {"customers", "items"}
+    assert {"cluster", "Date", "Revenue", "Train", "Test", "Predict"} <= set(cust_fc.columns)
+    # every cluster gets exactly 4 future weeks
+    fut = cust_fc.where("Predict IS NOT NULL").groupBy("cluster").count().collect()
+    assert fut and all(r["count"] == 4 for r in fut)
+    assert items_fc.where("Predict IS NOT NULL").count() > 0
+    assert spark.read.parquet(f"{stage}/cleaned").count() > 0
