@@ -1039,8 +1039,21 @@ def q_weekly_events_stream(spark, sf_dir):
         "event_type", "week", "value", F.col("events").cast("long").alias("events"))
 
 
+def _prepared(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ..session import ensure_checkpoint_dir, ship_package
+        ensure_checkpoint_dir(spark)
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    """Registered queries; each makes sure the session has a checkpoint folder
+    and that the package is shipped to the Python workers."""
+    return {k: _prepared(v) for k, v in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -38,6 +38,7 @@ def get_spark(master: str | None = None, app_name: str = "revlens",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -64,3 +65,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``revlens`` importable in every Python worker (``addPyFile``).
+
+    Pandas functions run in executor processes that do not share the
+    driver's ``sys.path``; the package is zipped once per session and shipped
+    by Spark itself to every executor (local or cluster).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_revlens_shipped", False):
+        return
+    import revlens
+    pkg = os.path.dirname(os.path.abspath(revlens.__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="revlens-pkg-"), "revlens.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._revlens_shipped = True
