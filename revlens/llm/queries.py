@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, ngram_join, substring_dedup, toxicity
+from . import decontaminate, mixing, ngram_join, substring_dedup, toxicity, weak_supervision
 from ._text import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op1(spark, sf_dir):
     return substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
 
 
+@register("op2_mix_sources")
+def op2(spark, sf_dir):
+    return mixing.taken_words(read_table(spark, sf_dir, "documents"))
+
+
 @register("op3_toxicity")
 def op3(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,6 +52,12 @@ def op3(spark, sf_dir):
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@register("op5_quality_rules")
+def op5(spark, sf_dir):
+    return weak_supervision.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 @register("op6_ngram_jaccard_join")
 def op6(spark, sf_dir):
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), k=4, threshold=85)

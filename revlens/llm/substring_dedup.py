@@ -33,7 +33,7 @@ _GEAR = np.random.default_rng(77).integers(0, 2**16, 256, dtype=np.uint16)
 RADIUS = 3
 MIN_WORDS = 20
 # Runs of one repeated word have no smallest hash: cut them at this many words.
-MAX_WORDS = 24
+MAX_WORDS = 16
 
 
 def gear_hashes(b: np.ndarray) -> np.ndarray:
@@ -65,6 +65,8 @@ def chunk_cuts(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.n
     for d in range(1, radius + 1):
         low[d:] &= at[d:] < at[:-d]
         low[:-d] &= at[:-d] <= at[d:]
+    # the head of a run of one word has equal hashes ahead and another one behind
+    low[1:-1] |= (at[1:-1] == at[2:]) & (at[1:-1] != at[:-2])
     cut = np.flatnonzero(low | new_row)
     since = np.arange(n) - np.repeat(cut, np.diff(np.append(cut, n)))
     return since % MAX_WORDS == 0
