@@ -2,7 +2,7 @@
 
 Each rule looks at a few counts of a text and votes good (1), bad (-1) or
 abstains (0).  Expectation-maximisation over the vote patterns of the whole
-corpus estimates how often each rule is right, on good and on bad texts, and
+texts that pass the base rule estimates how often each rule is right, on good and on bad texts, and
 how common good texts are;
 a text is kept when its posterior probability of being good is at least one
 half.  No labels are used.
@@ -36,9 +36,12 @@ RULES = [
     ("brevity", "-n_words", -50, -20),
 ]
 # Where the iterations start, and the bounds that keep an estimate from 0 and 1:
-# share of good texts, right votes on good texts, right votes on bad texts.
-START = (0.9, 0.95, 0.5)
-BOUNDS = ((0.5, 0.99), (0.6, 0.999), (0.1, 0.99))
+# share of good texts, right votes on good texts, right votes on bad texts.  The
+# rules condemn only clear cases, so each may be wrong on two good texts in a
+# thousand at most, and none may define a bad text alone; without these bounds
+# the largest kind of bad text would stand for all of them.
+START = (0.9, 0.998, 0.5)
+BOUNDS = ((0.5, 0.99), (0.998, 0.9999), (0.05, 0.7))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -143,11 +146,12 @@ def judge(docs: DataFrame) -> DataFrame:
     names = ["base_failed", "quality", "kept"]
     docs = docs.drop(*[c for c in names if c in docs.columns])
     counted = stage(base_counts(docs).withColumn("__v", votes()), "quality-counts")
-    params = estimate(counted.groupBy(F.col("__v").alias("v")).agg(F.count("*").alias("n")))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    # texts that the base rule has decided say nothing about the others
+    params = estimate(counted.where(~failed).groupBy(F.col("__v").alias("v")).agg(F.count("*").alias("n")))
     # the estimate is one row; its few numbers join each row as constants
     p = params.first()["params"]
     fixed = F.struct(F.lit(float(p["good"])).alias("good"),
                      *[F.array(*[F.lit(float(x)) for x in p[c]]).alias(c) for c in ("on_good", "on_bad")])
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (counted.withColumn("base_failed", failed).withColumn("quality", _posterior(F.col("__v"), fixed))
             .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5)).drop("__v"))
