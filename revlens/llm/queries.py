@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,13 +10,16 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, mixing, ngram_join, substring_dedup, toxicity, weak_supervision
+from . import decontaminate, language_id, licenses, mixing, ngram_join, substring_dedup, token_counts, toxicity, weak_supervision, zip_warc
 from ._text import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 # Texts are long: few rows per Arrow batch keep a Python worker's memory small.
 ARROW_ROWS = 500
+TOKENIZER_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# Fixed value: the splitting pattern that belongs to this vocabulary.
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def register(name: str, sql: str | None = None):
@@ -52,6 +56,11 @@ def op3(spark, sf_dir):
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@register("op4_license_scan")
+def op4(spark, sf_dir):
+    return licenses.find_licenses(read_table(spark, sf_dir, "documents"))
+
+
 @register("op5_quality_rules")
 def op5(spark, sf_dir):
     return weak_supervision.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -63,11 +72,31 @@ def op6(spark, sf_dir):
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), k=4, threshold=85)
 
 
+@register("op7_language_id")
+def op7(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = crc_remainder("doc_id", 3) == 1
+    model = language_id.train(docs, ~held)
+    return language_id.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 @register("op8_benchmark_decontamination")
 def op8(spark, sf_dir):
     return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@register("op9_warc_zip")
+def op9(spark, sf_dir):
+    return zip_warc.round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op10_token_counts")
+def op10(spark, sf_dir):
+    ranks = token_counts.load_ranks(os.environ.get("REVLENS_TOKENIZER", TOKENIZER_PATH))
+    return token_counts.count_documents(read_table(spark, sf_dir, "documents"), ranks, SPLIT_PATTERN)
+
+
 def _prepared(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
