@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ID_BITS = 21
+
+
+def id_bitmap(ids: DataFrame) -> np.ndarray:
+    """Bit table of fixed size (``2**ID_BITS`` bits) with the crc32 of every id of ``ids(doc_id)``.
+
+    A scan can drop most other rows with it before any shuffle; an exact join
+    has to follow.
+    """
+    slot = F.shiftright(F.crc32(F.col("doc_id").cast("string").cast("binary")), 32 - ID_BITS)
+    rows = (ids.select(F.shiftright(slot, 5).alias("w"), slot.alias("slot")).groupBy("w")
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 31 as int))")).alias("m")).collect())
+    out = np.zeros(1 << (ID_BITS - 5), np.uint32)
+    for w, m in rows:
+        out[w] = m
+    return out
+
+
+def in_bitmap(table: np.ndarray, ids) -> np.ndarray:
+    """Mask over a list of ids (None gives False)."""
+    slot = np.array([0 if i is None else zlib.crc32(str(i).encode()) >> (32 - ID_BITS) for i in ids], np.int64)
+    known = np.array([i is not None for i in ids], bool)
+    return known & ((table[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1) == 1)
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """Rows ``(id, component)`` for every id in ``links(a, b)``; component = smallest id.
 
