@@ -159,4 +159,5 @@ def count_documents(docs: DataFrame, ranks: bytes, pattern: str, separator: int
     blocks = stage(list_blocks(spark, places, block_tokens), "token-blocks")
     spread = blocks.repartition(spark.sparkContext.defaultParallelism, "file", "block")
     counted = documents(scan_blocks(spread, separator))
-    return places.join(counted, ["file", "ordinal"], "left").select("doc_id", "n_tokens", "file", "ordinal", "start")
+    # both sides grow with the corpus: never broadcast one on the size of its compressed files
+    return places.join(counted.hint("merge"), ["file", "ordinal"], "left").select("doc_id", "n_tokens", "file", "ordinal", "start")
