@@ -128,8 +128,9 @@ def format_percent(c, decimals: int = 2) -> Column:
 
 
 def pad_postal(c) -> Column:
-    """Postal code as five-character text (leading zeros kept)."""
-    return F.lpad(col_(c).cast("string"), 5, "0")
+    """Postal code as text of five characters at least (leading zeros kept, longer codes left whole)."""
+    s = col_(c).cast("string")
+    return F.when(F.length(s) < 5, F.lpad(s, 5, "0")).otherwise(s)
 
 
 # --- numbers ---------------------------------------------------------------

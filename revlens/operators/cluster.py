@@ -270,26 +270,24 @@ def knn_distances(df: DataFrame, id_col: str, cols: list[str], k: int = 3,
     return ids.join(done.select(F.col("a").alias("pid"), "kdist"), "pid").select(id_col, "kdist")
 
 
-def dbscan(df: DataFrame, id_col: str, cols: list[str], eps: float, min_samples: int,
-           max_iter: int = 100, checkpoint_every: int = 5) -> DataFrame:
+def dbscan(df: DataFrame, id_col: str, cols: list[str], eps: float, min_samples: int) -> DataFrame:
     """ML-15: density clusters with noise = -1.
 
     Neighbour counts come from a grid-cell equi-join at radius ``eps`` over
     distinct weighted points (identical points never pair up); core points
     are those with at least ``min_samples`` points within ``eps`` (self
     included).  Clusters are the connected components of core points, found
-    by iterative min-label propagation over core-core edges, with the lineage
-    checkpointed every few rounds; a border point joins the cluster with the
+    by min-label propagation with pointer jumping over core-core edges, each
+    round written, until no label changes; a border point joins the cluster with the
     smallest label among its core neighbours.  Clusters are numbered 0, 1, ...
     in the order of their smallest member.
     """
     pts, ids = _distinct_points(df, id_col, cols)
     pairs = materialise(_neighbour_pairs(pts, cols, eps))
-    return _dbscan_from_pairs(pts, ids, pairs, id_col, min_samples, max_iter, checkpoint_every)
+    return _dbscan_from_pairs(pts, ids, pairs, id_col, min_samples)
 
 
-def _dbscan_from_pairs(pts: DataFrame, ids: DataFrame, pairs: DataFrame, id_col: str, min_samples: int,
-                       max_iter: int = 100, checkpoint_every: int = 5) -> DataFrame:
+def _dbscan_from_pairs(pts: DataFrame, ids: DataFrame, pairs: DataFrame, id_col: str, min_samples: int) -> DataFrame:
     counts = (pairs.join(pts.select(F.col("pid").alias("b"), "w"), "b").groupBy("a")
                    .agg(F.sum("w").alias("_nw")))
     core = (pts.join(counts.withColumnRenamed("a", "pid"), "pid", "left")
@@ -298,19 +296,18 @@ def _dbscan_from_pairs(pts: DataFrame, ids: DataFrame, pairs: DataFrame, id_col:
     edges = (pairs.join(core.select(F.col("pid").alias("a")), "a", "left_semi")
                   .join(core.select(F.col("pid").alias("b")), "b", "left_semi").select("a", "b"))
     edges = materialise(edges)
-    labels = core.select("pid", F.col("pid").alias("label"))
-    for i in range(max_iter):
+    labels = materialise(core.select("pid", F.col("pid").alias("label")))
+    while True:  # until nothing changes; jumping to a label's own label shortens chains
         prop = (edges.join(labels.select(F.col("pid").alias("a"), F.col("label").alias("_la")), "a")
                      .groupBy(F.col("b").alias("pid")).agg(F.min("_la").alias("_m")))
         new = (labels.join(prop, "pid", "left")
                      .select("pid", F.least("label", F.coalesce("_m", "label")).alias("label")))
-        new = materialise(new) if (i + 1) % checkpoint_every == 0 else new.persist()
+        up = labels.select(F.col("pid").alias("label"), F.col("label").alias("_up"))
+        new = materialise(new.join(up, "label").select("pid", F.least("label", "_up").alias("label")))
         changed = new.join(labels.withColumnRenamed("label", "_old"), "pid").where(F.col("label") != F.col("_old"))
         if changed.limit(1).count() == 0:
-            labels = new
             break
         labels = new
-    labels = materialise(labels)
     border = (pairs.join(labels.select(F.col("pid").alias("b"), F.col("label").alias("_lb")), "b")
                    .join(core.select(F.col("pid").alias("a")), "a", "left_anti")
                    .groupBy(F.col("a").alias("pid")).agg(F.min("_lb").alias("label")))

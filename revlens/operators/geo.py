@@ -12,15 +12,6 @@ from pyspark.sql import functions as F
 
 from .. import functions as RF
 
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint only after the row count is checked; otherwise a plain
-    (shuffled) join side.  Use for reference tables whose size is not fixed."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def postal_reference(ref: DataFrame, city: str = "ort", code: str = "plz",
                      state: str = "bundesland") -> DataFrame:
     """SRC-3 projection: (City, PostalCode int, State)."""
@@ -33,13 +24,14 @@ def postal_left_join(df: DataFrame, ref: DataFrame) -> DataFrame:
 
     Clashing ``City`` columns become ``City_inconsistent`` (input) and
     ``City_correct`` (reference); a code with several reference towns fans
-    out, one row per town.  ``PostalCodeInt`` carries the joined code.
+    out, one row per town.  Whether the reference is broadcast is left to its
+    measured size.  ``PostalCodeInt`` carries the joined code.
     """
     left = (df.withColumnRenamed("City", "City_inconsistent")
               .withColumn("PostalCodeInt", F.expr("try_cast(PostalCode as int)")))
     right = ref.select(F.col("PostalCode").alias("PostalCodeInt"),
                        F.col("City").alias("City_correct"), "State")
-    return left.join(broadcast_if_small(right), "PostalCodeInt", "left")
+    return left.join(right, "PostalCodeInt", "left")
 
 
 def collect_candidates(pairs: DataFrame, key: str = "PostalCodeInt",

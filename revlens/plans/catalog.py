@@ -622,7 +622,7 @@ def _tpch_raw(spark, sf_dir):
     cust = (cu.join(na, cu.c_nationkey == na.n_nationkey)
               .select(F.col("c_custkey").cast("string").alias("Kunde_SK"),
                       F.lower(F.col("n_name")).alias("Ort"),
-                      F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("PLZ-Code"),
+                      RF.pad_postal("c_custkey").alias("PLZ-Code"),
                       F.col("c_mktsegment").alias("Branchengruppe"),
                       F.concat(channel, F.lit("_"), F.col("c_mktsegment")).alias("Vertriebskanalkategorie"),
                       F.lit(None).cast("string").alias("Vertriebskanal")))
@@ -632,7 +632,7 @@ def _tpch_raw(spark, sf_dir):
     return inv, cust, ref
 
 
-_PREPARE_SQL = "WITH __REF__,\ninv AS (SELECT CAST(o.o_orderkey AS VARCHAR) AS OrderNumber, CAST(l.l_suppkey AS VARCHAR) AS Company,\n               l.l_partkey AS ArticleID, CAST(strftime(o.o_orderdate, '%Y%m%d') AS INTEGER) AS d_raw,\n               CAST(o.o_custkey AS VARCHAR) AS CustomerID, l.l_returnflag AS RevenueType,\n               p.p_retailprice AS PricePackagingUnit, l.l_quantity AS Quantity,\n               l.l_extendedprice * (1 - l.l_discount) AS NetRevenue, p.p_type AS ProductGroup,\n               p.p_brand AS ProductSubgroup, o.o_orderpriority AS BusinessArea, l.l_linestatus AS Type\n        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey),\ncust AS (SELECT CAST(c.c_custkey AS VARCHAR) AS CustomerID, lower(n.n_name) AS City_inconsistent,\n                lpad(CAST(c.c_custkey AS VARCHAR), 5, '0') AS PostalCode, c.c_mktsegment AS IndustryGroup,\n                CASE WHEN c.c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'B2B'\n                     WHEN c.c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') THEN 'B2C' ELSE 'B2B2C' END\n                  || '_' || c.c_mktsegment AS SalesChannelCategory\n         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),\nm AS (SELECT i.*, c.City_inconsistent, c.PostalCode, c.IndustryGroup, c.SalesChannelCategory,\n             CAST(try_strptime(CAST(i.d_raw AS VARCHAR), '%Y%m%d') AS DATE) AS OrderDate,\n             split_part(c.SalesChannelCategory, '_', 1) AS SalesChannel\n      FROM inv i JOIN cust c USING (CustomerID)),\ncl AS (SELECT * EXCLUDE (d_raw),\n              CASE ((month(OrderDate) % 12 + 2) // 3) % 4 + 1\n                   WHEN 1 THEN 'Winter' WHEN 2 THEN 'Spring' WHEN 3 THEN 'Summer' ELSE 'Autumn' END AS Season,\n              CAST(PostalCode AS INTEGER) AS PostalCodeInt\n       FROM m WHERE City_inconsistent IS NOT NULL AND PostalCode IS NOT NULL AND length(PostalCode) = 5\n         AND PostalCode <> '00000' AND regexp_full_match(PostalCode, '[0-9]{5}') AND OrderDate IS NOT NULL\n         AND SalesChannel IN ('B2B', 'B2C', 'B2B2C') AND NetRevenue IS NOT NULL AND NOT isnan(NetRevenue)),\nbl AS (SELECT cl.*, coalesce(r.City, cl.City_inconsistent) AS City_correct, r.State AS State\n       FROM cl LEFT JOIN ref r ON cl.PostalCodeInt = r.PostalCode),\npairs AS (SELECT DISTINCT PostalCodeInt, City_inconsistent FROM bl),\ncands AS (SELECT DISTINCT PostalCode AS PostalCodeInt, City AS cand FROM ref WHERE City IS NOT NULL),\nbest AS (SELECT PostalCodeInt, City_inconsistent, cand AS Final_City FROM (\n           SELECT p.*, c.cand, row_number() OVER (PARTITION BY p.PostalCodeInt, p.City_inconsistent\n             ORDER BY 1.0 - levenshtein(lower(p.City_inconsistent), lower(c.cand))\n                      / greatest(length(lower(p.City_inconsistent)), length(lower(c.cand)), 1) DESC, c.cand) AS rn\n           FROM pairs p JOIN cands c USING (PostalCodeInt)) WHERE rn = 1\n         UNION ALL\n         SELECT PostalCodeInt, City_inconsistent, City_inconsistent FROM pairs\n         WHERE PostalCodeInt NOT IN (SELECT PostalCodeInt FROM cands)),\nst AS (SELECT PostalCode AS rc, min(State) AS rs FROM ref WHERE State IS NOT NULL AND PostalCode >= 0 GROUP BY 1),\nmissing AS (SELECT DISTINCT PostalCodeInt FROM bl WHERE State IS NULL),\nexact AS (SELECT m.PostalCodeInt, st.rs AS fill FROM missing m JOIN st ON m.PostalCodeInt = st.rc),\nnear AS (SELECT PostalCodeInt, rs AS fill FROM (\n           SELECT m.PostalCodeInt, st.rs, row_number() OVER (PARTITION BY m.PostalCodeInt\n                  ORDER BY abs(m.PostalCodeInt - st.rc), st.rc) AS rn\n           FROM missing m JOIN st ON abs(m.PostalCodeInt - st.rc) <= 200\n           WHERE m.PostalCodeInt NOT IN (SELECT PostalCodeInt FROM exact)) WHERE rn = 1),\nfills AS (SELECT * FROM exact UNION ALL SELECT * FROM near),\nfull_ AS (SELECT b.* EXCLUDE (State, PostalCode), coalesce(b.State, f.fill) AS State,\n                 lpad(CAST(b.PostalCodeInt AS VARCHAR), 5, '0') AS PostalCode, x.Final_City,\n                 CAST(b.City_correct <> x.Final_City AS INTEGER) AS _miss\n          FROM bl b LEFT JOIN best x USING (PostalCodeInt, City_inconsistent)\n          LEFT JOIN fills f USING (PostalCodeInt)),\ndd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY OrderNumber, ArticleID, OrderDate, CustomerID\n                                 ORDER BY _miss NULLS FIRST, City_correct NULLS FIRST, State NULLS FIRST, Final_City NULLS FIRST, City_inconsistent NULLS FIRST, PostalCodeInt NULLS FIRST, PostalCode NULLS FIRST, Company NULLS FIRST, RevenueType NULLS FIRST, PricePackagingUnit NULLS FIRST, Quantity NULLS FIRST, NetRevenue NULLS FIRST, ProductGroup NULLS FIRST, ProductSubgroup NULLS FIRST, BusinessArea NULLS FIRST, Type NULLS FIRST, IndustryGroup NULLS FIRST, SalesChannelCategory NULLS FIRST, SalesChannel NULLS FIRST, Season NULLS FIRST) AS rn FROM full_) WHERE rn = 1)\nSELECT OrderNumber, Company, ArticleID, OrderDate, CustomerID, RevenueType, PricePackagingUnit, Quantity,\n       NetRevenue, ProductGroup, ProductSubgroup, BusinessArea, Type, split_part(Final_City, ',', 1) AS City,\n       PostalCode, IndustryGroup, SalesChannelCategory, SalesChannel, Season,\n       CASE WHEN State IS NULL AND PostalCode = '69966' THEN 'Baden-Württemberg'\n            WHEN State IS NULL AND PostalCode = '08312' THEN 'Sachsen'\n            WHEN State IS NULL AND PostalCode = '40002' THEN 'Nordrhein-Westfalen'\n            WHEN State IS NULL AND PostalCode = '07801' THEN 'Thüringen' ELSE State END AS State\nFROM dd\n".replace("__REF__", _SUPPLIER_REF_SQL.strip())
+_PREPARE_SQL = "WITH __REF__,\ninv AS (SELECT CAST(o.o_orderkey AS VARCHAR) AS OrderNumber, CAST(l.l_suppkey AS VARCHAR) AS Company,\n               l.l_partkey AS ArticleID, CAST(strftime(o.o_orderdate, '%Y%m%d') AS INTEGER) AS d_raw,\n               CAST(o.o_custkey AS VARCHAR) AS CustomerID, l.l_returnflag AS RevenueType,\n               p.p_retailprice AS PricePackagingUnit, l.l_quantity AS Quantity,\n               l.l_extendedprice * (1 - l.l_discount) AS NetRevenue, p.p_type AS ProductGroup,\n               p.p_brand AS ProductSubgroup, o.o_orderpriority AS BusinessArea, l.l_linestatus AS Type\n        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey),\ncust AS (SELECT CAST(c.c_custkey AS VARCHAR) AS CustomerID, lower(n.n_name) AS City_inconsistent,\n                lpad(CAST(c.c_custkey AS VARCHAR), CAST(greatest(5, length(CAST(c.c_custkey AS VARCHAR))) AS INTEGER), '0') AS PostalCode, c.c_mktsegment AS IndustryGroup,\n                CASE WHEN c.c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'B2B'\n                     WHEN c.c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') THEN 'B2C' ELSE 'B2B2C' END\n                  || '_' || c.c_mktsegment AS SalesChannelCategory\n         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),\nm AS (SELECT i.*, c.City_inconsistent, c.PostalCode, c.IndustryGroup, c.SalesChannelCategory,\n             CAST(try_strptime(CAST(i.d_raw AS VARCHAR), '%Y%m%d') AS DATE) AS OrderDate,\n             split_part(c.SalesChannelCategory, '_', 1) AS SalesChannel\n      FROM inv i JOIN cust c USING (CustomerID)),\ncl AS (SELECT * EXCLUDE (d_raw),\n              CASE ((month(OrderDate) % 12 + 2) // 3) % 4 + 1\n                   WHEN 1 THEN 'Winter' WHEN 2 THEN 'Spring' WHEN 3 THEN 'Summer' ELSE 'Autumn' END AS Season,\n              CAST(PostalCode AS INTEGER) AS PostalCodeInt\n       FROM m WHERE City_inconsistent IS NOT NULL AND PostalCode IS NOT NULL AND length(PostalCode) = 5\n         AND PostalCode <> '00000' AND regexp_full_match(PostalCode, '[0-9]{5}') AND OrderDate IS NOT NULL\n         AND SalesChannel IN ('B2B', 'B2C', 'B2B2C') AND NetRevenue IS NOT NULL AND NOT isnan(NetRevenue)),\nbl AS (SELECT cl.*, coalesce(r.City, cl.City_inconsistent) AS City_correct, r.State AS State\n       FROM cl LEFT JOIN ref r ON cl.PostalCodeInt = r.PostalCode),\npairs AS (SELECT DISTINCT PostalCodeInt, City_inconsistent FROM bl),\ncands AS (SELECT DISTINCT PostalCode AS PostalCodeInt, City AS cand FROM ref WHERE City IS NOT NULL),\nbest AS (SELECT PostalCodeInt, City_inconsistent, cand AS Final_City FROM (\n           SELECT p.*, c.cand, row_number() OVER (PARTITION BY p.PostalCodeInt, p.City_inconsistent\n             ORDER BY 1.0 - levenshtein(lower(p.City_inconsistent), lower(c.cand))\n                      / greatest(length(lower(p.City_inconsistent)), length(lower(c.cand)), 1) DESC, c.cand) AS rn\n           FROM pairs p JOIN cands c USING (PostalCodeInt)) WHERE rn = 1\n         UNION ALL\n         SELECT PostalCodeInt, City_inconsistent, City_inconsistent FROM pairs\n         WHERE PostalCodeInt NOT IN (SELECT PostalCodeInt FROM cands)),\nst AS (SELECT PostalCode AS rc, min(State) AS rs FROM ref WHERE State IS NOT NULL AND PostalCode >= 0 GROUP BY 1),\nmissing AS (SELECT DISTINCT PostalCodeInt FROM bl WHERE State IS NULL),\nexact AS (SELECT m.PostalCodeInt, st.rs AS fill FROM missing m JOIN st ON m.PostalCodeInt = st.rc),\nnear AS (SELECT PostalCodeInt, rs AS fill FROM (\n           SELECT m.PostalCodeInt, st.rs, row_number() OVER (PARTITION BY m.PostalCodeInt\n                  ORDER BY abs(m.PostalCodeInt - st.rc), st.rc) AS rn\n           FROM missing m JOIN st ON abs(m.PostalCodeInt - st.rc) <= 200\n           WHERE m.PostalCodeInt NOT IN (SELECT PostalCodeInt FROM exact)) WHERE rn = 1),\nfills AS (SELECT * FROM exact UNION ALL SELECT * FROM near),\nfull_ AS (SELECT b.* EXCLUDE (State, PostalCode), coalesce(b.State, f.fill) AS State,\n                 lpad(CAST(b.PostalCodeInt AS VARCHAR), CAST(greatest(5, length(CAST(b.PostalCodeInt AS VARCHAR))) AS INTEGER), '0') AS PostalCode, x.Final_City,\n                 CAST(b.City_correct <> x.Final_City AS INTEGER) AS _miss\n          FROM bl b LEFT JOIN best x USING (PostalCodeInt, City_inconsistent)\n          LEFT JOIN fills f USING (PostalCodeInt)),\ndd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY OrderNumber, ArticleID, OrderDate, CustomerID\n                                 ORDER BY _miss NULLS FIRST, City_correct NULLS FIRST, State NULLS FIRST, Final_City NULLS FIRST, City_inconsistent NULLS FIRST, PostalCodeInt NULLS FIRST, PostalCode NULLS FIRST, Company NULLS FIRST, RevenueType NULLS FIRST, PricePackagingUnit NULLS FIRST, Quantity NULLS FIRST, NetRevenue NULLS FIRST, ProductGroup NULLS FIRST, ProductSubgroup NULLS FIRST, BusinessArea NULLS FIRST, Type NULLS FIRST, IndustryGroup NULLS FIRST, SalesChannelCategory NULLS FIRST, SalesChannel NULLS FIRST, Season NULLS FIRST) AS rn FROM full_) WHERE rn = 1)\nSELECT OrderNumber, Company, ArticleID, OrderDate, CustomerID, RevenueType, PricePackagingUnit, Quantity,\n       NetRevenue, ProductGroup, ProductSubgroup, BusinessArea, Type, split_part(Final_City, ',', 1) AS City,\n       PostalCode, IndustryGroup, SalesChannelCategory, SalesChannel, Season,\n       CASE WHEN State IS NULL AND PostalCode = '69966' THEN 'Baden-Württemberg'\n            WHEN State IS NULL AND PostalCode = '08312' THEN 'Sachsen'\n            WHEN State IS NULL AND PostalCode = '40002' THEN 'Nordrhein-Westfalen'\n            WHEN State IS NULL AND PostalCode = '07801' THEN 'Thüringen' ELSE State END AS State\nFROM dd\n".replace("__REF__", _SUPPLIER_REF_SQL.strip())
 
 
 @register("prepare_sales_tpch", _PREPARE_SQL)
@@ -781,7 +781,7 @@ def q_cluster_centers(spark, sf_dir):
 def q_embedding_pca(spark, sf_dir):
     from pyspark.ml.functions import array_to_vector  # noqa: F401
     emb = read_table(spark, sf_dir, "embeddings")
-    n = 8
+    n = len(emb.select("embedding").first()[0])
     wide = emb.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(n)])
     out, _ = cluster.pca(wide, [f"e{i}" for i in range(n)], 2)
     return out.select("vec_id", "pc_1", "pc_2")
@@ -794,7 +794,7 @@ def q_embedding_pca(spark, sf_dir):
 @register("forecast_lag_by_center")
 def q_forecast_lag(spark, sf_dir):
     return forecast.lag_model_forecast(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
-                                       "NetRevenue", horizon=52, max_weeks=130, value_name="Revenue")
+                                       "NetRevenue", horizon=52, value_name="Revenue")
 
 
 @register("forecast_differenced_ar_by_center")

@@ -128,12 +128,12 @@ def segment_items(items: DataFrame, reference_date: str, ks=None, seed: int = 1,
     return (out, scores) if with_scores else out
 
 
-def cluster_weekly_series(clusters: DataFrame, orders: DataFrame, max_weeks: int = 130) -> DataFrame:
+def cluster_weekly_series(clusters: DataFrame, orders: DataFrame, max_weeks: int | None = None) -> DataFrame:
     """FC-1 for every cluster at once: semi-join orders to clustered customers,
-    weekly revenue per cluster, dense, first ``max_weeks`` weeks."""
+    weekly revenue per cluster, dense; ``max_weeks`` keeps that many first weeks."""
     tagged = orders.join(clusters.select("CustomerID", "cluster"), "CustomerID", "inner")
     weekly = timeaxis.weekly_sum(tagged, ["cluster"], ["NetRevenue"])
-    return timeaxis.first_n(weekly, ["cluster"], max_weeks)
+    return timeaxis.first_n(weekly, ["cluster"], max_weeks) if max_weeks else weekly
 
 
 def center_weekly_series(item_clusters: DataFrame, items: DataFrame) -> DataFrame:

@@ -44,10 +44,31 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return (r.schema(schema) if schema else r).parquet(path)
 
 
+def _by_header(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",",
+               path_column: str | None = None) -> DataFrame:
+    """CSV columns found by their header name, whatever their order; other columns are left out.
+
+    A missing column is an error; text that does not fit its type becomes null.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    raw = spark.read.option("enforceSchema", False).csv(path, sep=sep, header=True, encoding="UTF-8")
+    names = [c.lstrip("\ufeff") for c in raw.columns]
+    if path_column:
+        raw = raw.select("*", F.col("_metadata.file_path"))
+        names = [*names, path_column]
+    raw = raw.toDF(*names)
+    missing = [f.name for f in schema if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}, found {raw.columns}")
+    return raw.select(*[F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})").alias(f.name) for f in schema],
+                      *([path_column] if path_column else []))
+
+
 def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
     """SRC-2: ';' separated, UTF-8 (a BOM is dropped by the reader), all text so
     postal codes keep leading zeros."""
-    return spark.read.csv(path, sep=";", header=True, schema=CUSTOMER_SCHEMA, encoding="UTF-8")
+    return _by_header(spark, path, CUSTOMER_SCHEMA, sep=";")
 
 
 def read_postal_reference(spark: SparkSession, path: str) -> DataFrame:
@@ -63,7 +84,7 @@ def read_postal_reference(spark: SparkSession, path: str) -> DataFrame:
 def read_plain_csv(spark: SparkSession, path: str, schema: T.StructType | str,
                    sep: str = ",") -> DataFrame:
     """SRC-4 / SRC-6 (``sep=';'``)."""
-    return spark.read.csv(path, sep=sep, header=True, schema=schema)
+    return _by_header(spark, path, schema, sep)
 
 
 def read_csv_renamed(spark: SparkSession, path: str, names: list[str], sep: str = ",") -> DataFrame:
@@ -83,8 +104,7 @@ def read_forecast_csv_dir(spark: SparkSession, pattern: str) -> DataFrame:
     """SRC-7: every CSV of a glob, tagged with the cluster named in its file
     name (first tag found, else ``Unknown``); actual revenue equal to the
     prediction becomes null (PRJ-9)."""
-    df = (spark.read.csv(pattern, header=True, schema=FORECAST_CSV_SCHEMA)
-               .withColumn("_path", F.col("_metadata.file_path")))
+    df = _by_header(spark, pattern, FORECAST_CSV_SCHEMA, path_column="_path")
     tag = F.lit("Unknown")
     for needle, label in reversed(CLUSTER_TAGS):
         tag = F.when(F.col("_path").contains(needle), F.lit(label)).otherwise(tag)

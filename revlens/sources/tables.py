@@ -123,7 +123,7 @@ sales AS (
          split_part(c.c_mktsegment, '_', 1) AS SalesChannel,
          n.n_name AS State,
          n.n_name AS City,
-         lpad(CAST(o.o_custkey AS VARCHAR), 5, '0') AS PostalCode,
+         lpad(CAST(o.o_custkey AS VARCHAR), CAST(greatest(5, length(CAST(o.o_custkey AS VARCHAR))) AS INTEGER), '0') AS PostalCode,
          r.r_name AS DistributionCenter,
          CASE ((month(o.o_orderdate) % 12 + 2) // 3) % 4 + 1
               WHEN 1 THEN 'Winter' WHEN 2 THEN 'Spring' WHEN 3 THEN 'Summer' ELSE 'Autumn' END AS Season

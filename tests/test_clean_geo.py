@@ -162,3 +162,19 @@ def test_prepare_sales_end_to_end(spark):
     assert rows[("A8", 13)].State == "Sachsen"          # manual rule on '08312'
     assert rows[("A8", 13)].PostalCode == "08312"
     assert rows[("A1", 11)].Quantity is None
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    import pytest
+    from revlens.sources import files
+    p = tmp_path / "c.csv"
+    p.write_text("extra;b;a\n9;2;x\n", encoding="utf-8")
+    assert [tuple(r) for r in files.read_plain_csv(spark, str(p), "a string, b int", sep=";").collect()] == [("x", 2)]
+    with pytest.raises(ValueError):
+        files.read_plain_csv(spark, str(p), "a string, missing int", sep=";")
+
+
+def test_long_postal_codes_stay_whole(spark):
+    from revlens import functions as RF
+    df = spark.createDataFrame([("77",), ("123456",)], "c string").select(RF.pad_postal("c").alias("p"))
+    assert [r.p for r in df.collect()] == ["00077", "123456"]

@@ -51,3 +51,9 @@ def test_knn_and_dbscan_match_brute_force(spark):
 
     grid = cluster.dbscan_grid(df, "id", ["a", "b"], [0.3, 0.6], [4])
     assert grid.count() == 2 and set(r.clusters for r in grid.collect()) <= set(range(0, 60))
+
+
+def test_dbscan_follows_a_long_chain(spark):
+    pts = spark.createDataFrame([(i, 0.4 * i) for i in range(140)], "id long, x double")
+    out = cluster.dbscan(pts, "id", ["x"], 0.5, 2)
+    assert {r.cluster for r in out.collect()} == {0}
