@@ -619,10 +619,13 @@ def _tpch_raw(spark, sf_dir):
                      F.col("o_orderpriority").alias("Business Area"), F.col("l_linestatus").alias("Type")))
     channel = (F.when(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"), "B2B")
                 .when(F.col("c_mktsegment").isin("AUTOMOBILE", "HOUSEHOLD"), "B2C").otherwise("B2B2C"))
+    # bounded stand-in of five digits: c_custkey itself up to 99,999, then from 1 again
+    plz = (F.when(F.col("c_custkey") < 100_000, F.col("c_custkey"))
+            .otherwise(F.pmod(F.col("c_custkey") - 1, F.lit(99_999)) + 1))
     cust = (cu.join(na, cu.c_nationkey == na.n_nationkey)
               .select(F.col("c_custkey").cast("string").alias("Kunde_SK"),
                       F.lower(F.col("n_name")).alias("Ort"),
-                      RF.pad_postal("c_custkey").alias("PLZ-Code"),
+                      RF.pad_postal(plz).alias("PLZ-Code"),
                       F.col("c_mktsegment").alias("Branchengruppe"),
                       F.concat(channel, F.lit("_"), F.col("c_mktsegment")).alias("Vertriebskanalkategorie"),
                       F.lit(None).cast("string").alias("Vertriebskanal")))

@@ -178,3 +178,18 @@ def test_long_postal_codes_stay_whole(spark):
     from revlens import functions as RF
     df = spark.createDataFrame([("77",), ("123456",)], "c string").select(RF.pad_postal("c").alias("p"))
     assert [r.p for r in df.collect()] == ["00077", "123456"]
+
+
+def test_lines_of_customers_from_100000_on_stay(spark, tmp_path):
+    from conftest import SF_SMALL
+    from revlens.plans import catalog
+    shift = {"customer": "c_custkey", "orders": "o_custkey"}
+    for t in ("lineitem", "orders", "part", "customer", "nation", "region", "supplier"):
+        df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        if t in shift:
+            df = df.withColumn(shift[t], F.col(shift[t]) + 2 * 99_999)
+        df.write.parquet(f"{tmp_path}/{t}.parquet")
+    run = catalog.queries()["prepare_sales_tpch"]
+    plain, far = (dict(map(tuple, run(spark, d).groupBy("PostalCode").count().collect())) for d in (SF_SMALL, str(tmp_path)))
+    assert far.pop("99999") > 0  # customer 0, whose own code 00000 is no valid one
+    assert plain and far == plain
