@@ -3,18 +3,18 @@
 A 16-byte gear hash runs over the text (ASCII letters lower-cased, every run
 of white space one blank).  A word start is a cut where the hash over the
 bytes before it is the smallest among its neighbours within ``radius`` words,
-so cuts depend on nearby text alone: an insertion moves a cut or two and the
-following chunks keep their digests.
+so cuts depend on nearby text of the same row alone: an insertion moves a cut
+or two and the following chunks keep their digests.
 
 A single short chunk may repeat by chance.  A chunk is a repeat when its
 digest together with a neighbour's (the pair digest) occurs in a document with
 a smaller id; a passage is a run of repeated chunks with ``min_words`` words or
-more.  The copy in the smallest ``doc_id`` stays, repeats inside that same
+more.  A text of fewer than ``min_words`` words is compared as a whole as well:
+where it is repeated, all of it is one passage whatever its length.  The copy in the smallest ``doc_id`` stays, repeats inside that same
 document stay too.
 
 Defined results: null, empty and blank texts have no chunk; a text without a
-cut is one chunk, paired with nothing, so texts of one chunk are compared by
-that chunk's digest; rows with one ``doc_id`` are one document and keep their
+cut is one chunk, paired with nothing, and compared as a whole; rows with one ``doc_id`` are one document and keep their
 texts; a null ``doc_id`` is never changed and never a first copy; extra
 columns pass through.
 """
@@ -34,11 +34,13 @@ RADIUS = 3
 MIN_WORDS = 20
 # Runs of one repeated word have no smallest hash: cut them at this many words.
 MAX_WORDS = 16
+_WHOLE = np.uint64(0xA0761D6478BD642F)  # tells whole texts from pairs
 
 
-def gear_hashes(b: np.ndarray) -> np.ndarray:
-    """Rolling hash of the 16 bytes that end at each byte: ``h = 2 h + gear[byte]`` modulo 2**16."""
+def gear_hashes(b: np.ndarray, void: np.ndarray) -> np.ndarray:
+    """Rolling hash of the 16 bytes that end at each byte: ``h = 2 h + gear[byte]`` modulo 2**16; ``void`` bytes add nothing."""
     h = _GEAR[b]
+    h[void] = 0
     for step in (1, 2, 4, 8):
         more = h.copy()
         more[step:] += h[:-step] << np.uint16(step)
@@ -50,34 +52,36 @@ def chunk_cuts(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.n
     """Mask over the words of a block: True where a chunk begins."""
     n = len(starts)
     lens = ends - starts
-    size = lens + 1  # a word and one blank
-    first = np.cumsum(size) - size
+    new_row = np.ones(n, bool)
+    new_row[1:] = rows[1:] != rows[:-1]
+    size = lens + 1 + 16 * new_row  # a word and one blank; void bytes keep the row before out of the hash
+    first = np.cumsum(size) - lens - 1
     flat = np.full(int(size.sum()), 32, np.uint8)
     pos = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
     flat[pos + np.repeat(first, lens)] = T.LOWER[buf[pos + np.repeat(starts, lens)]]
-    h = gear_hashes(flat)
+    h = gear_hashes(flat, (first[new_row][:, None] - np.arange(1, 17)).ravel())
     at = np.zeros(n, np.uint64)  # hash of the bytes before each word
     at[1:] = h[first[1:] - 1]
-    new_row = np.ones(n, bool)
-    new_row[1:] = rows[1:] != rows[:-1]
     at[new_row] = np.iinfo(np.uint64).max
     low = np.ones(n, bool)
     for d in range(1, radius + 1):
-        low[d:] &= at[d:] < at[:-d]
-        low[:-d] &= at[:-d] <= at[d:]
+        other = rows[d:] != rows[:-d]
+        low[d:] &= (at[d:] < at[:-d]) | other
+        low[:-d] &= (at[:-d] <= at[d:]) | other
     # the head of a run of one word has equal hashes ahead and another one behind
-    low[1:-1] |= (at[1:-1] == at[2:]) & (at[1:-1] != at[:-2])
+    low[1:-1] |= (at[1:-1] == at[2:]) & (at[1:-1] != at[:-2]) & ~new_row[2:]
     cut = np.flatnonzero(low | new_row)
     since = np.arange(n) - np.repeat(cut, np.diff(np.append(cut, n)))
     return since % MAX_WORDS == 0
 
 
-def chunks(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def chunks(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS) -> DataFrame:
     """One row per pair of adjacent chunks: ``doc_id, seq, pair`` (digest) and the place of both.
 
     ``start`` is the first character of the first chunk, ``end`` the end of
-    the second one, ``words`` and ``words2`` their sizes.  A text of one chunk
-    gives that chunk alone with ``words2 = 0``.
+    the second one, ``words`` and ``words2`` their sizes.  A text of one chunk or
+    of fewer than ``min_words`` words gives a row for the whole of it too, with
+    ``words2 = 0`` and ``seq`` the negative number of its chunks.
     """
     def run(batches):
         for batch in batches:
@@ -96,20 +100,31 @@ def chunks(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
                     r = rows[cut]
                     nxt = np.append(r[1:] == r[:-1], False)
                     after = np.append(digest[1:], np.uint64(0))
-                    pair = T.mix64(digest * np.uint64(0x9E3779B97F4A7C15) + np.where(nxt, after, np.uint64(1)))
-                alone = ~nxt & np.insert(~nxt[:-1], 0, True)
-                keep = np.flatnonzero(nxt | alone)
+                    pair = T.mix64(digest * np.uint64(0x9E3779B97F4A7C15) + after)
+                keep = np.flatnonzero(nxt)
                 chars = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # characters before each byte
                 b1 = ends[np.append(cut[1:], len(w)) - 1]
-                second = np.minimum(keep + nxt[keep], len(cut) - 1)
-                base = chars[off[r[keep]]]
                 head = np.flatnonzero(np.insert(r[1:] != r[:-1], 0, True))
-                seq = np.arange(len(cut)) - np.repeat(head, np.diff(np.append(head, len(r))))
+                n_chunks = np.diff(np.append(head, len(r)))
+                seq = np.arange(len(cut)) - np.repeat(head, n_chunks)
+                n_words = np.add.reduceat(lens, head)
+                whole = np.flatnonzero((n_words < min_words) | (n_chunks == 1))
+                begin = cut[head[whole]]
+                size = n_words[whole]
+                at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+                text = np.zeros(0, np.uint64)
+                if len(whole):
+                    with np.errstate(over="ignore"):
+                        text = T.mix64(np.add.reduceat(w[at + np.repeat(begin, size)] * T._power_table(int(size.max()) + 1)[at + 1],
+                                                       np.cumsum(size) - size) + size.astype(np.uint64) + _WHOLE)
+                base, base2 = chars[off[r[keep]]], chars[off[r[head[whole]]]]
+                both = lambda a, b, kind: pa.array(np.concatenate([a, b]).astype(kind))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(r[keep] + lo)), pa.array(seq[keep], pa.int32()),
-                     pa.array(chars[starts[cut[keep]]] - base, pa.int32()), pa.array(chars[b1[second]] - base, pa.int32()),
-                     pa.array(lens[keep], pa.int32()), pa.array(np.where(nxt[keep], lens[second], 0), pa.int32()),
-                     pa.array(pair[keep].view(np.int64), pa.int64())],
+                    [ids.take(both(r[keep] + lo, r[head[whole]] + lo, np.int64)), both(seq[keep], -n_chunks[whole], np.int32),
+                     both(chars[starts[cut[keep]]] - base, chars[starts[begin]] - base2, np.int32),
+                     both(chars[b1[keep + 1]] - base, chars[ends[begin + size - 1]] - base2, np.int32),
+                     both(lens[keep], size, np.int32), both(lens[keep + 1], np.zeros(len(whole)), np.int32),
+                     both(pair[keep].view(np.int64), text.view(np.int64), np.int64)],
                     ["doc_id", "seq", "start", "end", "words", "words2", "pair"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
@@ -122,7 +137,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, radius: int =
     ``start`` and ``end`` count characters (end exclusive).  ``first_doc_id``
     is the smallest document that holds the passage's first chunk pair.
     """
-    c = stage(chunks(docs.where("doc_id IS NOT NULL"), radius), "substring-chunks")
+    c = stage(chunks(docs.where("doc_id IS NOT NULL"), min_words, radius), "substring-chunks")
     firsts = (c.groupBy("pair").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
               .where("first_doc < last_doc").select("pair", "first_doc"))
     hit = c.join(firsts, "pair").where("first_doc < doc_id").drop("pair")
@@ -138,6 +153,10 @@ def _runs(min_words):
             out = []
             for d, hits in zip(batch.column("doc_id").to_pylist(), batch.column("hits").to_pylist()):
                 i = 0
+                while i < len(hits) and hits[i]["seq"] < 0:  # whole texts; an equal text is a repeated row
+                    if i == 0 or hits[i] != hits[i - 1]:
+                        out.append((d, hits[i]["first_doc"], hits[i]["start"], hits[i]["end"], hits[i]["words"], -hits[i]["seq"]))
+                    i += 1
                 while i < len(hits):
                     j, words = i, hits[i]["words"]
                     while j + 1 < len(hits) and hits[j + 1]["seq"] <= hits[j]["seq"] + 1:
@@ -146,7 +165,7 @@ def _runs(min_words):
                     words += hits[j]["words2"]
                     if words >= min_words:
                         out.append((d, hits[i]["first_doc"], hits[i]["start"], hits[j]["end"], words,
-                                    hits[j]["seq"] - hits[i]["seq"] + 1 + (hits[j]["words2"] > 0)))
+                                    hits[j]["seq"] - hits[i]["seq"] + 2))
                     i = j + 1
             cols = list(zip(*out)) if out else [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]

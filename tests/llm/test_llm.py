@@ -15,6 +15,7 @@ from conftest import SF_SMALL  # noqa: E402
 
 from revlens.llm import (decontaminate, language_id, licenses, mixing, ngram_join, queries, substring_dedup,  # noqa: E402
                          token_counts, toxicity, weak_supervision, zip_warc)
+from revlens.llm import _text as T  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [f"w{i}x" for i in range(400)]
@@ -73,6 +74,32 @@ def test_passage_is_cut_from_later_documents_only(spark):
     assert shared not in out[2].text and out[2].n_chars == len(out[2].text) < len(texts[1][1])
 
 
+def test_copies_of_10_to_40_words_are_found_in_any_order(spark):
+    copied = [words(700 + n, n) for n in range(10, 41)]
+    texts = [(i, t) for i, t in enumerate(copied)] + [(100 + i, "\n " + t.upper().replace(" ", "  ")) for i, t in enumerate(copied)]
+    texts += [(200 + i, words(800 + i, 10 + i)) for i in range(30)] + [(300, "ok"), (301, "OK"), (302, "single")]
+    expected = {(100 + i, i, 2, len(texts[len(copied) + i][1]), 10 + i) for i in range(len(copied))} | {(301, 300, 0, 2, 1)}
+    for seed, parts in ((1, 1), (2, 3), (3, 7)):
+        order = np.random.default_rng(seed).permutation(len(texts))
+        docs = frame(spark, [texts[i] for i in order]).coalesce(1).repartition(parts)
+        found = substring_dedup.repeated_passages(docs)
+        assert {(r.doc_id, r.first_doc_id, r.start, r.end, r.n_words) for r in found.collect()} == expected
+
+
+def test_cuts_depend_on_the_text_alone():
+    def cuts(texts):
+        buf = np.frombuffer("".join(texts).encode(), np.uint8)
+        off = np.cumsum([0, *(len(t.encode()) for t in texts)])
+        starts, ends, rows = T.find_words(buf, off)
+        mask = substring_dedup.chunk_cuts(buf, starts, ends, rows, substring_dedup.RADIUS)
+        return [mask[rows == i].tolist() for i in range(len(texts))]
+    texts = [words(900 + n, n) for n in (1, 2, 3, 5, 9, 30, 200)] + ["a a a a a b b b", "a " * 40]
+    alone = [cuts([t])[0] for t in texts]
+    for seed in range(5):
+        order = np.random.default_rng(seed).permutation(len(texts))
+        assert cuts([texts[i] for i in order]) == [alone[i] for i in order]
+
+
 def test_targets_and_mix(spark):
     rows = [(i, words(i, 5 + i % 40), "en", s, 0) for i in range(300) for s in [["b", "a", None][i % 3] if i > 5 else "tiny"]]
     docs = spark.createDataFrame([*rows, (900, None, None, "a", None)], DOCS)
