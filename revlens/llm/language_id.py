@@ -3,8 +3,10 @@
 For each language a suffix automaton of a bounded sample of labelled text is
 built.  A text is parsed against it greedily: from the current place the
 longest string that occurs in the sample is one phrase, then the next phrase
-begins.  The entropy estimate is phrases * log2(sample length) per character;
-the language with the fewest normalised phrases wins.
+begins.  The entropy estimate is phrases * log2(sample length) per character,
+by each language's own sample length; a letter that the sample lacks costs as
+much as the dearest phrase of any language, so a short sample gains nothing by
+it.  The language with the smallest estimate wins.
 
 The automaton is a dense transition table over a small alphabet (letters of
 the samples, everything else folded into a blank or an unknown mark), and a
@@ -12,12 +14,16 @@ walk from the root finds the longest match without suffix links.  All texts of
 a block are walked in step, in pieces of ``PIECE`` characters; pieces cover the
 whole text, and a phrase ends with its piece in every language alike.
 
-Bounds: ``SAMPLE_CHARS`` per language, at most ``SAMPLE_DOCS`` documents each;
-one table has at most ``2 * SAMPLE_CHARS * ALPHABET`` cells of four bytes.
+Bounds: ``SAMPLE_CHARS`` characters per language, taken from documents in the
+order of a hash of their text.  A document gives ``SHARE_CHARS`` characters
+(from a hashed place on, going round at its end) as long as that fills the
+sample; where all texts together do not, the share rises until the sample is
+full or every text is in it.  Equal texts count once.  One table has at most
+``2 * SAMPLE_CHARS * ALPHABET`` cells of four bytes.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 ties go to the smaller language name; without any labelled text all is
-``und``; repeated rows are predicted row by row; extra columns are not read.
+``und``; rows with a null id are learnt from too; repeated rows are predicted row by row; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -25,11 +31,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SAMPLE_CHARS = 12_000
-SAMPLE_DOCS = 40
+SHARE_CHARS = 300
+MERGE_TASKS = 16
 PIECE = 512
 ALPHABET = 64
 BLOCK_CHARS = 1 << 20
@@ -88,19 +94,85 @@ def has_letter(text: str, points: np.ndarray) -> bool:
     return bool(_is_letter[low].any()) or (len(low) < len(points) and any(ch.isalpha() for ch in text))
 
 
-def train(docs: DataFrame, usable, sample_chars: int = SAMPLE_CHARS, sample_docs: int = SAMPLE_DOCS):
-    """``(languages, folding table, transitions, root of each language)`` from labelled documents."""
-    lab = docs.where(usable).where("lang IS NOT NULL AND text IS NOT NULL")
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # a rank of at most sample_docs is cut in every task before the shuffle
-    ids = (lab.select("lang", "doc_id").withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs))
-    rows = (lab.select("doc_id", "lang", "text").join(F.broadcast(ids), ["lang", "doc_id"])
-            .select("lang", "r", F.lower(F.substring("text", 1, sample_chars)).alias("text"))
-            .orderBy("lang", "r", "text").collect())
-    texts: dict[str, str] = {}
-    for r in rows:  # at most sample_chars characters per language are kept
-        if len(texts.get(r.lang, "")) < sample_chars:
-            texts[r.lang] = (texts.get(r.lang, "") + " " + r.text)[:sample_chars + 1]
+def level(lengths, budget: int, share: int) -> int:
+    """Characters that each document gives: ``share``, or more where that does not fill ``budget``."""
+    left, n = budget, len(lengths)
+    for x in sorted(lengths):
+        if x * n >= left:
+            return max(share, -(-left // n))
+        left, n = left - x, n - 1
+    return max([share, *lengths])
+
+
+def choose(found: dict, budget: int, share: int) -> dict:
+    """Of ``(hash, letters) -> characters`` the first by hash that fill the sample, cut to their share."""
+    order, total = sorted(found), 0
+    for n, x in enumerate(order):
+        total += min(len(found[x]) + 1, share)
+        if total >= budget:
+            order = order[:n + 1]
+            break
+    cut = level([len(found[x]) + 1 for x in order], budget, share)
+    return {x: found[x][:cut] for x in order}
+
+
+def _letters(text: str) -> str:
+    """Lower-case letters, every run of other characters one blank."""
+    return " ".join("".join(ch if ch.isalpha() else " " for ch in text.lower()).split())
+
+
+def _pick(budget: int, share: int):
+    """Per language those rows ``lang, h, text`` of the task that its sample may need.
+
+    A choice from part of the documents keeps, of each, no less than a choice
+    from all of them would, so choices may be merged in any order.
+    """
+    def run(batches):
+        found: dict[str, dict] = {}
+        last: dict[str, int] = {}
+        total: dict[str, int] = {}
+        for batch in batches:
+            for lang, h, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "text"))):
+                own = found.setdefault(lang, {})
+                if h > last.get(lang, h):
+                    continue
+                if "piece" not in batch.schema.names:
+                    text = _letters(text)
+                    # from a hashed word on, going round
+                    at = text.find(" ", (h & 0xFFFFFFFF) % max(1, len(text))) + 1
+                    text = (text[at:] + " " + text[:at]).strip()[:budget]
+                if not text:
+                    continue
+                total[lang] = total.get(lang, 0) + (0 if h in own else min(len(text) + 1, share))
+                own[h] = max(own.get(h, ""), text, key=lambda x: (len(x), x))
+                if total[lang] >= 2 * budget:
+                    found[lang] = own = choose(own, budget, share)
+                    last[lang] = max(own)
+                    total[lang] = sum(min(len(x) + 1, share) for x in own.values())
+        rows = [(lang, h, text, True) for lang, own in sorted(found.items()) for h, text in choose(own, budget, share).items()]
+        cols = list(zip(*rows)) if rows else [[]] * 4
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["lang", "h", "text", "piece"])
+    return run
+
+
+def samples(docs: DataFrame, usable, sample_chars: int = SAMPLE_CHARS, share_chars: int = SHARE_CHARS) -> dict[str, str]:
+    """Sample text of each language; the same for every order and partitioning of ``docs``."""
+    lab = docs.where(usable).where("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("text").alias("h"), "text")
+    kind = "lang string, h long, text string, piece boolean"
+    picked = lab.mapInArrow(_pick(sample_chars, share_chars), kind)
+    rows = picked.repartition(MERGE_TASKS).mapInArrow(_pick(sample_chars, share_chars), kind).collect()
+    found: dict[str, dict] = {}
+    for r in rows:
+        own = found.setdefault(r.lang, {})
+        own[r.h] = max(own.get(r.h, ""), r.text, key=lambda x: (len(x), x))
+    chosen = {x: choose(own, sample_chars, share_chars) for x, own in found.items() if own}
+    return {x: " ".join(own[h] for h in sorted(own))[:sample_chars] for x, own in chosen.items()}
+
+
+def train(docs: DataFrame, usable, sample_chars: int = SAMPLE_CHARS, share_chars: int = SHARE_CHARS):
+    """``(languages, folding table, transitions, root of each language, bits of a phrase)`` from labelled documents."""
+    texts = samples(docs, usable, sample_chars, share_chars)
     langs = sorted(texts)
     points = {x: code_points(texts[x]) for x in langs}
     table = np.full(0x10000, UNKNOWN, np.uint8)
@@ -110,12 +182,9 @@ def train(docs: DataFrame, usable, sample_chars: int = SAMPLE_CHARS, sample_docs
         letters = used[_is_letter[used]]
         top = letters[np.argsort(-n[_is_letter[used]], kind="stable")][:ALPHABET - 2]
         table[top] = np.arange(2, 2 + len(top))
-    # equal sample lengths keep the normalisation the same for all languages
     folded = {x: fold(points[x], table) for x in langs}
-    shortest = min((len(v) for v in folded.values()), default=0)
-    shortest = max(shortest, min(1000, max((len(v) for v in folded.values()), default=0)))
-    automata = [suffix_automaton(folded[x][:shortest]) for x in langs]
-    bits = [float(np.log2(max(2, len(folded[x][:shortest])))) for x in langs]
+    automata = [suffix_automaton(folded[x]) for x in langs]
+    bits = [float(np.log2(max(2, len(folded[x])))) for x in langs]
     roots, parts, base = [], [], 0
     for a in automata:
         roots.append(base)
@@ -124,24 +193,27 @@ def train(docs: DataFrame, usable, sample_chars: int = SAMPLE_CHARS, sample_docs
     return langs, table, np.concatenate(parts) if parts else np.zeros((0, ALPHABET), np.int32), np.array(roots, np.int32), np.array(bits)
 
 
-def count_phrases(pieces: np.ndarray, lengths: np.ndarray, nxt: np.ndarray, roots: np.ndarray) -> np.ndarray:
-    """Phrases of each piece (row) against each language; pieces sorted by length, longest first."""
+def count_phrases(pieces: np.ndarray, lengths: np.ndarray, nxt: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases, and letters that no phrase can hold, of each piece against each language; pieces sorted by length, longest first."""
     n, k = len(lengths), len(roots)
     flat = nxt.ravel()
     root = np.repeat(roots[:, None], n, 1)
     state = root.copy()
-    phrases = np.zeros((k, n), np.int32)
+    phrases, lacking = np.zeros((k, n), np.int32), np.zeros((k, n), np.int32)
     for t in range(int(lengths[0]) if n else 0):
         m = int(np.searchsorted(-lengths, -t, "left"))  # pieces longer than t
         c = pieces[t, :m]
         to = flat[state[:, :m] * ALPHABET + c]
         ended = to < 0
+        fresh = state[:, :m] == root[:, :m]
+        phrases[:, :m] += fresh & ~ended  # a phrase begins
         if ended.any():
-            phrases[:, :m] += ended
             again = flat[root[:, :m] * ALPHABET + c]
+            phrases[:, :m] += ended & (again >= 0)
+            lacking[:, :m] += ended & (again < 0)
             to = np.where(ended, np.where(again < 0, root[:, :m], again), to)
         state[:, :m] = to
-    return phrases + (lengths > 0)
+    return phrases, lacking
 
 
 def predict_block(texts: list[str | None], model) -> tuple[list[str], np.ndarray]:
@@ -163,9 +235,9 @@ def predict_block(texts: list[str | None], model) -> tuple[list[str], np.ndarray
     grid = np.zeros((PIECE, len(codes)), np.uint8)
     for j, o in enumerate(order):
         grid[:lengths[o], j] = codes[o]
-    phrases = count_phrases(grid, lengths[order], nxt, roots)
+    phrases, lacking = count_phrases(grid, lengths[order], nxt, roots)
     who = np.array(owner)[order]
-    cost = np.array([np.bincount(who, p, minlength=len(texts)) for p in phrases]) * bits[:, None]
+    cost = np.array([np.bincount(who, b * p + bits.max() * q, minlength=len(texts)) for b, p, q in zip(bits, phrases, lacking)])
     total = np.bincount(np.array(owner), lengths, minlength=len(texts))
     for i in np.flatnonzero(total):
         best = int(np.argmin(cost[:, i]))

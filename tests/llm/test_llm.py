@@ -9,6 +9,7 @@ import zipfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from conftest import SF_SMALL  # noqa: E402
@@ -180,6 +181,40 @@ def test_language_and_automaton(spark):
     assert got[90].lang_pred == got[91].lang_pred == "und"
 
 
+def labelled(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_a_rare_label_leaves_the_other_samples_whole(spark):
+    rng = np.random.default_rng(5)
+    letters = {"aa": "abcdefgh ", "bb": "ijklmnop "}
+    rows = [(i, "".join(rng.choice(list(letters[x]), 600)), x) for i in range(80) for x in (["aa", "bb"][i % 2],)]
+    rare = [(900, "tiny text", "cc")]
+    plain, more = (language_id.samples(labelled(spark, r), F.lit(True)) for r in (rows, rows + rare))
+    assert len(plain["aa"]) == len(plain["bb"]) == language_id.SAMPLE_CHARS
+    assert sorted(more["cc"].split()) == ["text", "tiny"] and more == plain | {"cc": more["cc"]}
+    model = language_id.train(labelled(spark, rows + rare), F.lit(True))
+    assert model[4].tolist()[:2] == pytest.approx([np.log2(language_id.SAMPLE_CHARS)] * 2, rel=0.01)
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(labelled(spark, rows + rare), model).collect()}
+    assert all(got[i] == x for i, _, x in rows)
+
+
+def test_samples_are_filled_from_many_documents(spark):
+    rng = np.random.default_rng(6)
+    short = [(i, "".join(rng.choice(list("abcdefghij"), 30)), "short") for i in range(1000)]
+    long = [(2000 + i, f"{chr(97 + i)}" * 20_000, "long") for i in range(26)] + [(2100 + i, "z" * (i + 1), "long") for i in range(5)]
+    few = [(3000, "q" * 900, "few"), (3001, "r" * 50, "few"), (None, "s" * 70, "few"), (3002, "12", "few"), (3000, "q" * 900, "few")]
+    rows = short + long + few
+    first = language_id.samples(labelled(spark, rows).repartition(1), F.lit(True))
+    assert len(first["short"]) == len(first["long"]) == language_id.SAMPLE_CHARS
+    share = {ch: first["long"].count(ch) for ch in map(chr, range(97, 122))}
+    assert min(share.values()) > 300 and max(share.values()) < 600  # no document has more than its share
+    assert sorted(map(len, first["few"].split())) == [50, 70, 900]
+    for parts in (3, 7):
+        order = rng.permutation(len(rows))
+        assert language_id.samples(labelled(spark, [rows[i] for i in order]).repartition(parts), F.lit(True)) == first
+
+
 def test_leaks_match_brute_force(spark):
     items = [(0, words(50, 20)), (1, words(51, 70)), (2, "too short"), (3, None)]
     texts = [(1, words(52, 3000) + " " + items[0][1].upper() + " " + words(53, 500)), (2, items[1][1]), (3, words(54, 400)),
