@@ -8,9 +8,11 @@ by each language's own sample length; a letter that the sample lacks costs as
 much as the dearest phrase of any language, so a short sample gains nothing by
 it.  The language with the smallest estimate wins.
 
-The automaton is a dense transition table over a small alphabet (letters of
-the samples, everything else folded into a blank or an unknown mark), and a
-walk from the root finds the longest match without suffix links.  All texts of
+The alphabet has every letter of the samples; runs of characters that are no
+letters are one blank, and a letter that no sample has is an unknown mark.  The
+automaton is a dense transition table over the ``ALPHABET`` most frequent codes
+and a sorted list of the transitions by all others, and a walk from the root
+finds the longest match without suffix links.  All texts of
 a block are walked in step, in pieces of ``PIECE`` characters; pieces cover the
 whole text, and a phrase ends with its piece in every language alike.
 
@@ -19,7 +21,8 @@ order of a hash of their text.  A document gives ``SHARE_CHARS`` characters
 (from a hashed place on, going round at its end) as long as that fills the
 sample; where all texts together do not, the share rises until the sample is
 full or every text is in it.  Equal texts count once.  One table has at most
-``2 * SAMPLE_CHARS * ALPHABET`` cells of four bytes.
+``2 * SAMPLE_CHARS * ALPHABET`` cells of four bytes, one list at most
+``3 * SAMPLE_CHARS`` transitions.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 ties go to the smaller language name; without any labelled text all is
@@ -41,39 +44,53 @@ ALPHABET = 64
 BLOCK_CHARS = 1 << 20
 BLANK, UNKNOWN = 0, 1
 
-_is_letter = np.array([chr(c).isalpha() for c in range(0x10000)])
+_is_letter = np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def suffix_automaton(codes: np.ndarray) -> np.ndarray:
-    """Transitions of the automaton of all substrings; -1 where none (state 0 is the root)."""
-    size = 2 * len(codes) + 1
-    nxt = np.full((size, ALPHABET), -1, np.int32)
-    link, length = np.full(size, -1, np.int64), np.zeros(size, np.int64)
-    last, count = 0, 1
+def automaton_states(codes: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of each state of the automaton of all substrings (state 0 is the root)."""
+    nxt: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
     for c in codes.tolist():
-        cur = count
-        count += 1
-        length[cur] = length[last] + 1
+        cur = len(nxt)
+        nxt.append({})
+        link.append(0)
+        length.append(length[last] + 1)
         p = last
-        while p != -1 and nxt[p, c] == -1:
-            nxt[p, c] = cur
+        while p != -1 and c not in nxt[p]:
+            nxt[p][c] = cur
             p = link[p]
-        if p == -1:
-            link[cur] = 0
-        else:
-            q = nxt[p, c]
+        if p != -1:
+            q = nxt[p][c]
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                clone = count
-                count += 1
-                nxt[clone], link[clone], length[clone] = nxt[q], link[q], length[p] + 1
-                while p != -1 and nxt[p, c] == q:
-                    nxt[p, c] = clone
+                clone = len(nxt)
+                nxt.append(dict(nxt[q]))
+                link.append(link[q])
+                length.append(length[p] + 1)
+                while p != -1 and nxt[p].get(c) == q:
+                    nxt[p][c] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    return nxt[:count]
+    return nxt
+
+
+def tables(states: list[dict[int, int]], base: int, n_codes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Dense transitions by the frequent codes (-1 where none), and keys and targets of those by all others."""
+    s, c, to = (np.array(x, np.int64) for x in zip(*((i, c, t) for i, row in enumerate(states) for c, t in row.items()))) \
+        if any(states) else (np.zeros(0, np.int64),) * 3
+    dense, often = np.full((len(states), ALPHABET), -1, np.int32), c < ALPHABET
+    dense[s[often], c[often]] = to[often] + base
+    keys = (s[~often] + base) * n_codes + c[~often]
+    order = np.argsort(keys)
+    return dense, keys[order], (to[~often] + base)[order].astype(np.int32)
+
+
+def suffix_automaton(codes: np.ndarray) -> np.ndarray:
+    """Dense transitions of the automaton of ``codes``; -1 where none (state 0 is the root)."""
+    return tables(automaton_states(codes), 0, int(codes.max(initial=0)) + 1)[0]
 
 
 def code_points(text: str) -> np.ndarray:
@@ -82,18 +99,12 @@ def code_points(text: str) -> np.ndarray:
 
 def fold(points: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Alphabet codes; runs of characters that are no letters become one blank."""
-    codes = table[np.minimum(points, 0xFFFF)]
-    codes[points > 0xFFFF] = UNKNOWN
+    codes = table[points]
     keep = np.ones(len(codes), bool)
     keep[1:] = (codes[1:] != BLANK) | (codes[:-1] != BLANK)
     return codes[keep]
 
 
-def has_letter(text: str, points: np.ndarray) -> bool:
-    low = points[points <= 0xFFFF]
-    return bool(_is_letter[low].any()) or (len(low) < len(points) and any(ch.isalpha() for ch in text))
-
-
 def level(lengths, budget: int, share: int) -> int:
     """Characters that each document gives: ``share``, or more where that does not fill ``budget``."""
     left, n = budget, len(lengths)
@@ -175,40 +186,53 @@ def train(docs: DataFrame, usable, sample_chars: int = SAMPLE_CHARS, share_chars
     texts = samples(docs, usable, sample_chars, share_chars)
     langs = sorted(texts)
     points = {x: code_points(texts[x]) for x in langs}
-    table = np.full(0x10000, UNKNOWN, np.uint8)
+    table = np.full(len(_is_letter), UNKNOWN, np.int32)
     table[~_is_letter] = BLANK
+    n_codes = 2
     if langs:
-        used, n = np.unique(np.concatenate([p[p <= 0xFFFF] for p in points.values()]), return_counts=True)
+        used, n = np.unique(np.concatenate(list(points.values())), return_counts=True)
         letters = used[_is_letter[used]]
-        top = letters[np.argsort(-n[_is_letter[used]], kind="stable")][:ALPHABET - 2]
-        table[top] = np.arange(2, 2 + len(top))
-    folded = {x: fold(points[x], table) for x in langs}
-    automata = [suffix_automaton(folded[x]) for x in langs]
-    bits = [float(np.log2(max(2, len(folded[x])))) for x in langs]
-    roots, parts, base = [], [], 0
-    for a in automata:
+        letters = letters[np.argsort(-n[_is_letter[used]], kind="stable")]
+        n_codes += len(letters)
+        table[letters] = np.arange(2, n_codes)
+    folded = [fold(points[x], table) for x in langs]
+    bits = [float(np.log2(max(2, len(f)))) for f in folded]
+    roots, parts, base = [], [tables([], 0, n_codes)], 0
+    for f in folded:
         roots.append(base)
-        parts.append(np.where(a >= 0, a + base, -1).astype(np.int32))
-        base += len(a)
-    return langs, table, np.concatenate(parts) if parts else np.zeros((0, ALPHABET), np.int32), np.array(roots, np.int32), np.array(bits)
+        parts.append(tables(automaton_states(f), base, n_codes))
+        base += len(parts[-1][0])
+    nxt = tuple(np.concatenate(x) for x in zip(*parts))  # keys rise with the state, so they stay sorted
+    return langs, table, (*nxt, n_codes), np.array(roots, np.int32), np.array(bits)
+
+
+def follow(nxt, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Next state of each row and column of ``state`` by the code of its column; -1 where none."""
+    dense, keys, targets, n_codes = nxt
+    to = dense.ravel()[state * ALPHABET + np.minimum(c, ALPHABET - 1)]
+    seldom = np.flatnonzero(c >= ALPHABET)
+    if len(seldom):
+        key = state[:, seldom].astype(np.int64) * n_codes + c[seldom]
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        to[:, seldom] = np.where(keys[at] == key, targets[at], -1)
+    return to
 
 
-def count_phrases(pieces: np.ndarray, lengths: np.ndarray, nxt: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def count_phrases(pieces: np.ndarray, lengths: np.ndarray, nxt, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Phrases, and letters that no phrase can hold, of each piece against each language; pieces sorted by length, longest first."""
     n, k = len(lengths), len(roots)
-    flat = nxt.ravel()
     root = np.repeat(roots[:, None], n, 1)
     state = root.copy()
     phrases, lacking = np.zeros((k, n), np.int32), np.zeros((k, n), np.int32)
     for t in range(int(lengths[0]) if n else 0):
         m = int(np.searchsorted(-lengths, -t, "left"))  # pieces longer than t
         c = pieces[t, :m]
-        to = flat[state[:, :m] * ALPHABET + c]
+        to = follow(nxt, state[:, :m], c)
         ended = to < 0
         fresh = state[:, :m] == root[:, :m]
         phrases[:, :m] += fresh & ~ended  # a phrase begins
         if ended.any():
-            again = flat[root[:, :m] * ALPHABET + c]
+            again = follow(nxt, root[:, :m], c)
             phrases[:, :m] += ended & (again >= 0)
             lacking[:, :m] += ended & (again < 0)
             to = np.where(ended, np.where(again < 0, root[:, :m], again), to)
@@ -223,7 +247,7 @@ def predict_block(texts: list[str | None], model) -> tuple[list[str], np.ndarray
     for i, t in enumerate(texts):
         if t and langs:
             p = code_points(t)
-            if has_letter(t, p):
+            if _is_letter[p].any():
                 f = fold(p, table)
                 for a in range(0, len(f), PIECE):
                     codes.append(f[a:a + PIECE])
@@ -232,7 +256,7 @@ def predict_block(texts: list[str | None], model) -> tuple[list[str], np.ndarray
         return names, scores
     lengths = np.array([len(c) for c in codes])
     order = np.argsort(-lengths, kind="stable")
-    grid = np.zeros((PIECE, len(codes)), np.uint8)
+    grid = np.zeros((PIECE, len(codes)), np.int32)
     for j, o in enumerate(order):
         grid[:lengths[o], j] = codes[o]
     phrases, lacking = count_phrases(grid, lengths[order], nxt, roots)

@@ -199,6 +199,17 @@ def test_a_rare_label_leaves_the_other_samples_whole(spark):
     assert all(got[i] == x for i, _, x in rows)
 
 
+def test_letters_of_large_scripts_are_told_apart(spark):
+    rng = np.random.default_rng(8)
+    alphabet = {"x": range(0x4E00, 0x5400), "y": range(0x5400, 0x5A00), "got": range(0x10330, 0x10340), "per": range(0x10350, 0x10360)}
+    rows = [(i, "".join(map(chr, rng.choice(alphabet[x], 400))), x) for i in range(120) for x in (list(alphabet)[i % 4],)]
+    rows += [(1000 + i, " ".join(rng.choice(["the", "quick", "fox", "jumps", "over", "zebra", "wolf"], 300)), "en") for i in range(40)]
+    docs = labelled(spark, rows)
+    model = language_id.train(docs, F.col("doc_id") % 8 < 4)
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()}
+    assert [got[i] for i, _, _ in rows] == [x for _, _, x in rows]
+
+
 def test_samples_are_filled_from_many_documents(spark):
     rng = np.random.default_rng(6)
     short = [(i, "".join(rng.choice(list("abcdefghij"), 30)), "short") for i in range(1000)]
