@@ -237,6 +237,23 @@ def test_leaks_match_brute_force(spark):
     assert got == {(d, k) for d, t in texts for k, u in items if sh(u) and 100 * len(sh(t) & sh(u)) >= 80 * len(sh(u))} and (1, 0) in got
 
 
+def test_short_items_are_found_in_long_documents(spark):
+    items = [(100 * n + i, words(5000 + 100 * n + i, n)) for n in range(1, 13) for i in range(1 if n < 3 else 40)]
+    text = lambda seed, own: " ".join(
+        x for j, u in enumerate(own) for x in (words(seed + j, 3000 // max(1, len(own))), u.upper()))
+    texts = [(i, text(7000 + 500 * i, [u for k, u in items if k % 8 == i])) for i in range(8)]
+    texts += [(20, items[50][1]), (21, items[1][1]), (22, "unknown"), (23, ""), (24, None)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    def sh(t, k):
+        w = (t or "").lower().split()
+        return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+    expected = set()
+    for k, u in items:
+        n = min(5, len(u.split()))
+        expected |= {(d, k) for d, t in texts if 100 * len(sh(t, n) & sh(u, n)) >= 80 * len(sh(u, n))}
+    assert got == expected and {(k % 8, k) for k, _ in items} <= got
+
+
 def test_license_notices(spark):
     mit = licenses.TEMPLATES["MIT"]
     texts = [(1, words(1, 30) + " Released under the MIT License. " + words(2, 30)), (2, mit.replace("merge, ", "").upper()),
