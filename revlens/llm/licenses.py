@@ -8,9 +8,13 @@ occur once in both are anchors, their longest increasing subsequence is kept,
 and the gaps between anchors are aligned the same way; a gap without anchor is
 settled by the longest common subsequence.  Coverage is the share of template
 words matched.  Templates of 30 words or more need ``threshold``, shorter ones
-every word, since one word tells one short notice from another.
+every word but those of ``FILLERS``, since one word tells one short notice from
+another.  The words of ``SAME`` count as equal.  What tells a template from its
+near-equals (``DECIDING``: kind and version) must stand in the text word by
+word, at half of its places in the template or more.
 
-Where matches overlap, the one with more matched words stays.
+Where matches overlap, the one with more matched words stays, then the one with
+the higher coverage.
 
 Defined results: null and empty texts have no match; several notices in one
 text give a row each; repeated rows are scanned row by row; extra columns are
@@ -19,6 +23,8 @@ not read.
 
 from __future__ import annotations
 
+import os
+import re
 from bisect import bisect_left
 from collections import Counter
 
@@ -66,6 +72,112 @@ TEMPLATES = {
 }
 
 
+_WARRANTY = ("is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+             "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the")
+for _name, _thing, _kind, _version in (
+        ("GPL-2.0", "program", "GNU General Public License", "2"), ("LGPL-2.0", "library", "GNU Library General Public License", "2"),
+        ("LGPL-2.1", "library", "GNU Lesser General Public License", "2.1"), ("LGPL-3.0", "library", "GNU Lesser General Public License", "3"),
+        ("AGPL-3.0", "program", "GNU Affero General Public License", "3")):
+    _head = f"This {_thing} is free software: you can redistribute it and/or modify it under the terms of the {_kind} "
+    TEMPLATES[_name] = (f"{_head}as published by the Free Software Foundation, either version {_version} of the License, or (at your "
+                        f"option) any later version. This {_thing} {_WARRANTY} {_kind} for more details.")
+    TEMPLATES[f"{_name}-only"] = f"{_head}version {_version} as published by the Free Software Foundation. This {_thing} {_WARRANTY} {_kind} for more details."
+TEMPLATES["GPL-3.0-only"] = TEMPLATES["GPL-2.0-only"].replace("version 2", "version 3")
+_BSD = ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution.",
+        "All advertising materials mentioning features or use of this software must display the following acknowledgement: "
+        "This product includes software developed by the organization.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+        "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+        "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+        "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."]
+TEMPLATES |= {
+    "BSD-2-Clause": f"{_BSD[0]} {_BSD[3]}",
+    "BSD-3-Clause": f"{_BSD[0]} {_BSD[2]} {_BSD[3]}",
+    "BSD-4-Clause": " ".join(_BSD),
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+                 "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+                 "purpose, commercial or non-commercial, and by any means.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+               "which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "EPL-1.0": "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse "
+               "Public License v1.0 which accompanies this distribution, and is available at "
+               "http://www.eclipse.org/legal/epl-v10.html",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+            "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+            "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+            "following restrictions",
+    "BSL-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "GPL-2.0-notice": "Licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1-notice": "Licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0-notice": "Licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0-notice": "Licensed under the GNU Affero General Public License, version 3.",
+    "MPL-2.0-notice": "Licensed under the Mozilla Public License, version 2.0.",
+    "EPL-2.0-notice": "Licensed under the Eclipse Public License, version 2.0.",
+    "BSD-2-Clause-notice": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause-notice": "Licensed under the BSD 3-Clause License.",
+    "ISC-notice": "Licensed under the ISC License.",
+    "Unlicense-notice": "Released under the Unlicense.",
+    "CC0-1.0-notice": "Licensed under CC0 1.0.",
+}
+for _short, _long in (("", ""), ("SA", "ShareAlike"), ("NC", "NonCommercial"), ("ND", "NoDerivatives"), ("NC-SA", "NonCommercial-ShareAlike"),
+                      ("NC-ND", "NonCommercial-NoDerivatives")):
+    _name = "-".join(filter(None, ("CC-BY", _short, "4.0")))
+    TEMPLATES[_name] = f"This work is licensed under a Creative Commons {'-'.join(filter(None, ('Attribution', _long)))} 4.0 International License."
+    TEMPLATES[f"{_name}-notice"] = f"Licensed under CC {'-'.join(filter(None, ('BY', _short)))} 4.0."
+TEXTS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
+FILLERS = ("a", "is", "the", "this", "work")
+SAME = {"released": "licensed", "distributed": "licensed", "licence": "license"}
+_GNU = {"GPL": "gnu general public license", "LGPL": "gnu lesser general public license", "AGPL": "gnu affero general public license"}
+DECIDING = {
+    **{x: (_GNU[x.split("-")[0]], f"version {v} of") for x, v in (
+        ("GPL-2.0", "2"), ("GPL-3.0", "3"), ("LGPL-2.1", "2.1"), ("LGPL-3.0", "3"), ("AGPL-3.0", "3"))},
+    **{f"{x}-only": (f"{_GNU[x.split('-')[0]]} version {v} as",) for x, v in (
+        ("GPL-2.0", "2"), ("GPL-3.0", "3"), ("LGPL-2.1", "2.1"), ("LGPL-3.0", "3"), ("AGPL-3.0", "3"))},
+    **{f"{x}-notice": (_GNU[x.split("-")[0]], f"version {v}") for x, v in (
+        ("GPL-2.0", "2"), ("GPL-3.0", "3"), ("LGPL-2.1", "2.1"), ("LGPL-3.0", "3"), ("AGPL-3.0", "3"))},
+    "LGPL-2.0": ("gnu library general public license", "version 2 of"),
+    "LGPL-2.0-only": ("gnu library general public license version 2 as",),
+    "GPL-1.0-text": (_GNU["GPL"], "version 1 february 1989"), "GPL-2.0-text": (_GNU["GPL"], "version 2 june 1991"),
+    "GPL-3.0-text": (_GNU["GPL"], "version 3 29 june 2007"), "LGPL-2.0-text": ("gnu library general public license", "version 2 june 1991"),
+    "LGPL-2.1-text": (_GNU["LGPL"], "version 2.1 february 1999"), "LGPL-3.0-text": (_GNU["LGPL"], "version 3 29 june 2007"),
+    "AGPL-3.0-text": (_GNU["AGPL"], "version 3 19 november 2007"),
+    "MPL-1.1-text": ("version 1.1",), "MPL-2.0-text": ("version 2.0",), "MPL-2.0": ("mozilla public license v 2.0",),
+    "BSD-3-Clause": ("endorse or promote products",), "BSD-4-Clause": ("advertising materials mentioning", "endorse or promote products"),
+    "EPL-1.0": ("eclipse public license v1.0",), "EPL-2.0": ("eclipse public license 2.0",),
+    "MIT-notice": ("mit license",), "ISC-notice": ("isc license",), "Apache-2.0-notice": ("apache license", "2.0"),
+    "MPL-2.0-notice": ("mozilla public license", "2.0"), "EPL-2.0-notice": ("eclipse public license", "2.0"),
+    "BSL-1.0-notice": ("boost software license", "1.0"), "CC0-1.0-notice": ("cc0 1.0",),
+    "BSD-2-Clause-notice": ("bsd 2-clause license",), "BSD-3-Clause-notice": ("bsd 3-clause license",),
+    **{x: (re.search(r"Attribution.* 4\.0|CC BY.* 4\.0", TEMPLATES[x])[0],) for x in TEMPLATES if x.startswith("CC-BY")},
+}
+
+
+def all_templates() -> dict[str, str]:
+    """``TEMPLATES`` and the full texts of ``TEXTS``; read by the driver, sent with the task.
+
+    The AGPL's text is made from that of GPL-3.0, which it follows but for the
+    name, the date and a few paragraphs.
+    """
+    full = {}
+    for name in sorted(os.listdir(TEXTS)):
+        with open(os.path.join(TEXTS, name), encoding="utf-8") as f:
+            kind = name.removesuffix(".txt")
+            kind += ".0" if re.search(r"GPL-\d$", kind) else ""
+            full[f"{kind}-text"] = f.read()
+    agpl = re.sub(r"(?i)gnu\s+general\s+public\s+license", "GNU Affero General Public License", full["GPL-3.0-text"])
+    full["AGPL-3.0-text"] = agpl.replace("29 June 2007", "19 November 2007", 1)
+    return TEMPLATES | full
+
+
 def _common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
     best = np.zeros((len(a) + 1, len(b) + 1), np.int32)
     other = np.array(b)
@@ -129,26 +241,61 @@ def patience_align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _hashes(text: str) -> np.ndarray:
+    buf = np.frombuffer(text.encode(), np.uint8)
+    s, e, _ = T.find_words(buf, np.array([0, len(buf)]), T.IS_ALNUM)
+    return _same(T.hash_words(buf, s, e))
+
+
+def _same(w: np.ndarray) -> np.ndarray:
+    for a, b in _SAME:
+        w[w == a] = b
+    return w
+
+
+_SAME: list = []
+_SAME = [(_hashes(a)[0], _hashes(b)[0]) for a, b in SAME.items()]
+
+
 class Scanner:
     """Templates as word hashes, and the search in one block of texts."""
 
     def __init__(self, templates: dict[str, str], threshold: float):
-        self.names, self.words = sorted(templates), []
-        for name in self.names:
-            buf = np.frombuffer(templates[name].encode(), np.uint8)
-            s, e, _ = T.find_words(buf, np.array([0, len(buf)]), T.IS_ALNUM)
-            self.words.append(T.hash_words(buf, s, e))
+        self.names = sorted(templates)
+        self.words = [_hashes(templates[name]) for name in self.names]
         self.vocabulary = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, np.uint64)
         self.member = [np.append(np.isin(self.vocabulary, w), False) for w in self.words]
-        self.counts = [np.append(np.bincount(np.searchsorted(self.vocabulary, w), minlength=len(self.vocabulary)), 0) for w in self.words]
-        self.need = [len(w) if len(w) < SHORT else int(np.ceil(threshold * len(w))) for w in self.words]
+        fillers = np.array([_hashes(x)[0] for x in FILLERS])
+        core = [~np.isin(w, fillers) if len(w) < SHORT else np.ones(len(w), bool) for w in self.words]
+        self.core = [np.append(np.isin(self.vocabulary, w[c]), False) for w, c in zip(self.words, core)]
+        self.counts = [np.append(np.bincount(np.searchsorted(self.vocabulary, w[c]), minlength=len(self.vocabulary)), 0)
+                       for w, c in zip(self.words, core)]
+        self.need = [int(c.sum()) if len(c) < SHORT else int(np.ceil(threshold * len(c))) for c in core]
+        self.must = [set(np.flatnonzero(c).tolist()) if len(c) < SHORT else set() for c in core]
+        self.deciding = [[self._places(w, _hashes(x)) for x in DECIDING.get(name, ())] for name, w in zip(self.names, self.words)]
+
+    @staticmethod
+    def _places(words: np.ndarray, phrase: np.ndarray) -> tuple[list[int], int]:
+        n = len(phrase)
+        return [j for j in range(len(words) - n + 1) if (words[j:j + n] == phrase).all()], n
+
+    def _decided(self, t: int, pairs: list[tuple[int, int]]) -> bool:
+        """The words that tell template ``t`` from its near-equals stand in the text one after another."""
+        place = {j: i for i, j in pairs}
+        if not self.must[t] <= place.keys():
+            return False
+        for at, n in self.deciding[t]:
+            whole = sum(all(place.get(j + x, -n) == place.get(j, -2 * n) + x for x in range(n)) for j in at)
+            if 2 * whole < len(at):
+                return False
+        return True
 
     def scan(self, buf, off):
         """Yield ``(row, name, matched, template words, first byte, end byte)``."""
         starts, ends, rows = T.find_words(buf, off, T.IS_ALNUM)
         if not len(starts) or not len(self.vocabulary):
             return
-        w = T.hash_words(buf, starts, ends)
+        w = _same(T.hash_words(buf, starts, ends))
         code = np.searchsorted(self.vocabulary, w)
         code[code == len(self.vocabulary)] = 0
         code[self.vocabulary[code] != w] = len(self.vocabulary)
@@ -157,9 +304,12 @@ class Scanner:
             np.diff(np.concatenate([[0], np.flatnonzero(rows[1:] != rows[:-1]) + 1, [len(rows)]])))
         found: dict[int, list] = {}
         for t, name in enumerate(self.names):
+            core = self.core[t][code]
+            if core.sum() < self.need[t]:
+                continue
             hit = self.member[t][code]
             width = int(np.ceil(1.25 * len(self.words[t]))) + 1
-            sums = np.concatenate([[0], np.cumsum(hit)])
+            sums = np.concatenate([[0], np.cumsum(core)])
             at = np.flatnonzero(hit)  # a match begins with a word of the template
             stop = np.minimum(at + width, row_end[at])
             at = at[sums[stop] - sums[at] >= self.need[t]]
@@ -174,13 +324,13 @@ class Scanner:
                     done = i + lack
                     continue
                 pairs = patience_align(w[i:stop].tolist(), template)
-                if len(pairs) >= self.need[t]:
+                if len(pairs) >= self.need[t] and self._decided(t, pairs):
                     a, b = i + pairs[0][0], i + pairs[-1][0]
                     found.setdefault(int(rows[i]), []).append((len(pairs), name, len(template), a, b))
                     done = b + 1
         for row in sorted(found):
             kept = []
-            for m in sorted(found[row], key=lambda x: (-x[0], x[1], x[3])):
+            for m in sorted(found[row], key=lambda x: (-x[0], x[2], x[1], x[3])):
                 if all(m[4] < k[3] or m[3] > k[4] for k in kept):
                     kept.append(m)
             for n, name, size, a, b in sorted(kept, key=lambda x: x[3]):
@@ -189,7 +339,7 @@ class Scanner:
 
 def find_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = 0.8) -> DataFrame:
     """Rows ``doc_id, license, coverage, n_matched, n_template, start, end`` (characters, end exclusive)."""
-    templates = TEMPLATES if templates is None else templates
+    templates = all_templates() if templates is None else templates
 
     def run(batches):
         scanner = Scanner(templates, threshold)

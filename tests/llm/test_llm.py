@@ -263,6 +263,29 @@ def test_license_notices(spark):
     assert licenses.patience_align(list("abcxd"), list("abyd")) == [(0, 0), (1, 1), (4, 3)]
 
 
+def gnu(kind, version, thing="program"):
+    return (f"This {thing} is free software; you can redistribute it and/or modify it under the terms of the {kind} as published by "
+            f"the Free Software Foundation; either version {version} of the License, or (at your option) any later version. This "
+            f"{thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+            f"of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {kind} for more details.")
+
+
+def test_near_equal_licenses_are_told_apart(spark):
+    bsd = licenses.TEMPLATES["BSD-3-Clause"]
+    no_endorsement = re.sub(r"Neither the name.*?permission\.", "", bsd)
+    texts = [gnu("GNU General Public License", "2"), gnu("GNU General Public License", "3"), gnu("GNU Lesser General Public License", "2.1", "library"),
+             gnu("GNU Lesser General Public License", "3"), gnu("GNU Affero General Public License", "3"), gnu("GNU Library General Public License", "2"),
+             bsd.replace("COPYRIGHT HOLDER OR", "REGENTS OR"), no_endorsement, "Released under MIT License.",
+             "Distributed under the GNU General Public License, version 2.", "Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY 4.0"]
+    names = ["GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "LGPL-2.0", "BSD-3-Clause", "BSD-2-Clause", "MIT-notice", "GPL-2.0-notice",
+             "CC-BY-NC-SA-4.0-notice", "CC-BY-4.0-notice"]
+    full = {k: v for k, v in licenses.all_templates().items() if k.endswith("-text")}
+    texts, names = texts + list(full.values()), names + list(full)
+    rows = [(i, f"{words(i, 30)} {t} {words(i + 50, 30)}") for i, t in enumerate(texts)]
+    got = sorted((r.doc_id, r.license) for r in licenses.find_licenses(frame(spark, rows)).collect())
+    assert got == list(enumerate(names))
+
+
 def test_packages_round_trip(spark):
     pages = [(1, "http://a/é", "<p>x</p>"), (2, None, None), (3, "http://b", "<p>x</p>"), (4, "http://c", ""), (None, "http://d", "q"), (5, "u", "<é>")]
     got = {r.page_id: r for r in zip_warc.round_trip(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
