@@ -90,7 +90,7 @@ def materialise(df: DataFrame, rows_per_partition: int | None = None) -> DataFra
 
 def best_k(scores: DataFrame) -> int:
     """SRT-6 on the score table: highest silhouette, smallest k on ties."""
-    row = scores.agg(F.max_by("k", F.struct(F.col("silhouette"), -F.col("k"))).alias("k")).first()
+    row = scores.where("silhouette IS NOT NULL").agg(F.max_by("k", F.struct(F.col("silhouette"), -F.col("k"))).alias("k")).first()
     if row is None or row["k"] is None:
         raise ValueError("no k could be evaluated (too few rows)")
     return int(row["k"])
@@ -231,16 +231,24 @@ def _neighbour_pairs_for(probes: DataFrame, pts: DataFrame, cols: list[str], rad
 
 
 def knn_distances(df: DataFrame, id_col: str, cols: list[str], k: int = 3,
-                  radius: float | None = None, max_rounds: int = 30) -> DataFrame:
+                  radius: float | None = None) -> DataFrame:
     """ML-14: distance to the k-th nearest point (the point itself counts,
     as in the reference's k-distance plot), exact.
 
     Points are searched in grid cells of side r; a point with at least k
     neighbours (weights included) within r is final, the rest retry with r
-    doubled.  Dense regions resolve at small r, so no point meets a whole
-    dense region, and identical points are collapsed with weights.
+    doubled until none is left.  Dense regions resolve at small r, so no point
+    meets a whole dense region, and identical points are collapsed with weights.
+    Every id stays: the distance is null where fewer than k points exist or a
+    coordinate is null or not finite (such rows are nobody's neighbours).
     """
-    pts, ids = _distinct_points(df, id_col, cols)
+    finite = F.lit(True)
+    for c in cols:
+        finite = finite & F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False))
+    apart = df.where(~finite).select(id_col, F.lit(None).cast("double").alias("kdist"))
+    pts, ids = _distinct_points(df.where(finite), id_col, cols)
+    if (pts.agg(F.sum("w")).first()[0] or 0) < k:
+        return ids.select(id_col, F.lit(None).cast("double").alias("kdist")).unionByName(apart)
     if radius is None:
         span = pts.agg(*[(F.max(c) - F.min(c)).alias(c) for c in cols]).first()
         n = pts.count()
@@ -251,7 +259,7 @@ def knn_distances(df: DataFrame, id_col: str, cols: list[str], k: int = 3,
     todo = pts
     done = None
     r = float(radius)
-    for _ in range(max_rounds):
+    while True:
         pairs = _neighbour_pairs_for(todo, pts, cols, r)
         cand = (pairs.join(pts.select(F.col("pid").alias("b"), "w"), "b")
                      .unionByName(todo.select(F.col("pid").alias("a"), F.col("pid").alias("b"),
@@ -267,7 +275,7 @@ def knn_distances(df: DataFrame, id_col: str, cols: list[str], k: int = 3,
         if todo.limit(1).count() == 0:
             break
         r *= 2.0
-    return ids.join(done.select(F.col("a").alias("pid"), "kdist"), "pid").select(id_col, "kdist")
+    return ids.join(done.select(F.col("a").alias("pid"), "kdist"), "pid", "left").select(id_col, "kdist").unionByName(apart)
 
 
 def dbscan(df: DataFrame, id_col: str, cols: list[str], eps: float, min_samples: int) -> DataFrame:
@@ -323,32 +331,35 @@ def _dbscan_from_pairs(pts: DataFrame, ids: DataFrame, pairs: DataFrame, id_col:
 
 def dbscan_grid(df: DataFrame, id_col: str, cols: list[str], eps_values: list[float],
                 min_samples_values: list[int], min_clusters: int = 2,
-                max_clusters: int = 50) -> DataFrame:
+                max_clusters: int = 50, parallelism: int = 6) -> DataFrame:
     """ML-16: every (eps, min_samples) scored by silhouette; fewer than
     ``min_clusters`` or more than ``max_clusters`` clusters score -10.
 
     The distinct points and the neighbour join at the largest eps are
-    computed once and filtered for every smaller eps.  Returns the score
-    table (eps, min_samples, clusters, noise, score, label)."""
+    computed once and filtered for every smaller eps; up to ``parallelism``
+    trials run as concurrent jobs.  Returns the score table (eps,
+    min_samples, clusters, noise, score, label)."""
+    from concurrent.futures import ThreadPoolExecutor
     spark = df.sparkSession
     pts, ids = _distinct_points(df, id_col, cols)
     all_pairs = materialise(_neighbour_pairs(pts, cols, float(max(eps_values))))
     feats = materialise(assemble(df.select(id_col, *cols), cols), ROWS_PER_PARTITION)
-    rows = []
-    for eps in eps_values:
-        pairs = materialise(all_pairs.where(F.col("dist") <= float(eps)))
-        for ms in min_samples_values:
-            lab = _dbscan_from_pairs(pts, ids, pairs, id_col, int(ms))
-            stats = lab.agg(F.countDistinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("c"),
-                            F.sum((F.col("cluster") < 0).cast("int")).alias("noise")).first()
-            n_clusters = int(stats["c"])
-            score = -10.0
-            if min_clusters <= n_clusters <= max_clusters:
-                pred = feats.join(lab, id_col)
-                if pred.select("cluster").distinct().count() >= 2:
-                    score = silhouette(pred)
-            rows.append((float(eps), int(ms), n_clusters, int(stats["noise"] or 0), float(score),
-                         f"eps:{eps} min_sample :{ms}"))
+
+    def trial(eps, ms, pairs):
+        lab = materialise(_dbscan_from_pairs(pts, ids, pairs, id_col, int(ms)))
+        stats = lab.agg(F.countDistinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("c"),
+                        F.sum((F.col("cluster") < 0).cast("int")).alias("noise")).first()
+        n_clusters = int(stats["c"])
+        score = -10.0
+        if min_clusters <= n_clusters <= max_clusters:
+            pred = feats.join(lab, id_col)
+            if pred.select("cluster").distinct().count() >= 2:
+                score = silhouette(pred)
+        return (float(eps), int(ms), n_clusters, int(stats["noise"] or 0), float(score), f"eps:{eps} min_sample :{ms}")
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        near = list(pool.map(lambda eps: materialise(all_pairs.where(F.col("dist") <= float(eps))), eps_values))
+        rows = list(pool.map(lambda x: trial(*x), [(eps, ms, p) for eps, p in zip(eps_values, near) for ms in min_samples_values]))
     return spark.createDataFrame(rows, "eps double, min_samples int, clusters int, noise int, "
                                        "score double, label string")
 

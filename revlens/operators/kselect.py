@@ -9,8 +9,10 @@ numbers), which Spark adds up.  Silhouette (squared Euclidean, from
 per-cluster count / vector sum / squared-norm sum, as MLlib's evaluator does)
 and inertia for all k take one more pass.
 
-Starting centres come from k-means++ on a bounded, seeded sample of the
-points -- the same local step MLlib's k-means|| ends with.
+Starting centres come from k-means++ over all points: directly up to
+``SAMPLE_ROWS`` points, above that by k-means|| (rounds that draw candidates
+from all distinct points by weight and squared distance, then k-means++ over
+the candidates weighted by the points nearest to them).
 """
 
 from __future__ import annotations
@@ -22,17 +24,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE_ROWS = 20_000
+ROUNDS = 5
 
 
-def _kmeanspp(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+def _kmeanspp(sample: np.ndarray, k: int, rng: np.random.Generator, weight: np.ndarray | None = None) -> np.ndarray:
     n = len(sample)
-    centres = [sample[rng.integers(n)]]
-    d2 = ((sample - centres[0]) ** 2).sum(1)
+    if weight is None:
+        centres, weight = [sample[rng.integers(n)]], np.ones(n)
+    else:
+        centres = [sample[rng.choice(n, p=weight / weight.sum())]]
+    d2 = weight * ((sample - centres[0]) ** 2).sum(1)
     for _ in range(1, k):
         tot = d2.sum()
         idx = int(rng.choice(n, p=d2 / tot)) if tot > 0 else int(rng.integers(n))
         centres.append(sample[idx])
-        d2 = np.minimum(d2, ((sample - sample[idx]) ** 2).sum(1))
+        d2 = np.minimum(d2, weight * ((sample - sample[idx]) ** 2).sum(1))
     return np.array(centres, dtype=float)
 
 
@@ -87,6 +93,35 @@ def _cluster_sums(points: DataFrame, cols: list[str], centres: dict) -> dict:
     return out
 
 
+def _far_points(cols, C: np.ndarray):
+    """mapInPandas body: each distinct point with its weight times the squared distance to the nearest candidate."""
+    def run(batches):
+        for pdf in batches:
+            d2 = np.maximum(_sq_dist(_matrix(pdf, cols), C), 0.0).min(1)
+            yield pdf.assign(_d2=d2 * pdf["_w"].to_numpy(dtype=float))
+    return run
+
+
+def _candidates(points: DataFrame, cols: list[str], k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starting candidates drawn from all points (k-means||) and the number of points nearest to each."""
+    from .cluster import ROWS_PER_PARTITION, materialise
+    distinct = materialise(points.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w")), ROWS_PER_PARTITION)
+    schema = T.StructType([*distinct.schema.fields, T.StructField("_d2", T.DoubleType())])
+    C = _matrix(distinct.orderBy(F.xxhash64(F.lit(seed), *cols), *cols).limit(1).toPandas(), cols)
+    for i in range(ROUNDS):
+        far = materialise(distinct.mapInPandas(_far_points(cols, C), schema))
+        total = far.agg(F.sum("_d2")).first()[0]
+        if not total:
+            break
+        # about 4 k points a round, each drawn by its share of the cost
+        u = F.pmod(F.xxhash64(F.lit(seed + i), *cols), F.lit(1 << 52)) / float(1 << 52)
+        drawn = far.where(u * F.lit(float(total)) < F.col("_d2") * 4 * k).select(*cols).orderBy(*cols).toPandas()
+        C = np.concatenate([C, _matrix(drawn, cols)])
+    C = np.unique(C, axis=0)
+    sums = _cluster_sums(points, cols, {1: C})
+    return C, np.array([sums.get((1, c), (0,))[0] for c in range(len(C))], dtype=float)
+
+
 def fit_many(points: DataFrame, cols: list[str], ks: list[int], seed: int = 45, max_iter: int = 100,
              tol: float = 1e-4) -> dict:
     """Lloyd's algorithm for every k in ``ks`` with one data pass per iteration.
@@ -94,10 +129,13 @@ def fit_many(points: DataFrame, cols: list[str], ks: list[int], seed: int = 45,
     Returns {k: centres (k x dim)}.  ``points`` should be materialised."""
     n = points.count()
     ks = [k for k in ks if k < n]
-    sample = (points.select(*cols).orderBy(F.xxhash64(F.lit(seed), *cols), *cols)
-                    .limit(SAMPLE_ROWS).toPandas())
-    S = _matrix(sample, cols)
-    centres = {k: _kmeanspp(S, k, np.random.default_rng(seed + k)) for k in ks}
+    if not ks:
+        return {}
+    if n <= SAMPLE_ROWS:
+        S, weight = _matrix(points.select(*cols).orderBy(F.xxhash64(F.lit(seed), *cols), *cols).toPandas(), cols), None
+    else:
+        S, weight = _candidates(points, cols, max(ks), seed)
+    centres = {k: _kmeanspp(S, k, np.random.default_rng(seed + k), weight) for k in ks}
     active = set(ks)
     for _ in range(max_iter):
         if not active:
@@ -147,7 +185,9 @@ def _silhouette_sums(cols, centres: dict, stats: dict):
 
 def select_k(points: DataFrame, cols: list[str], ks: list[int], seed: int = 45,
              max_iter: int = 100) -> tuple[DataFrame, dict]:
-    """(k, silhouette, inertia) for every candidate k, plus the fitted centres."""
+    """(k, silhouette, inertia) for every candidate k, plus the fitted centres.
+
+    A k that is not smaller than the number of points has no model: its row has nulls."""
     spark = points.sparkSession
     centres = fit_many(points, cols, ks, seed, max_iter)
     sums = _cluster_sums(points, cols, centres)
@@ -155,7 +195,7 @@ def select_k(points: DataFrame, cols: list[str], ks: list[int], seed: int = 45,
     sil = (points.mapInPandas(_silhouette_sums(cols, centres, stats), "k int, s double, m long")
                  .groupBy("k").agg((F.sum("s") / F.sum("m")).alias("silhouette")).collect())
     score = {r["k"]: float(r["silhouette"]) for r in sil}
-    rows = [(int(k), score.get(k), float(sum(stats[k][c][3] for c in range(k)))) for k in sorted(centres)]
+    rows = [(int(k), score.get(k), float(sum(stats[k][c][3] for c in range(k))) if k in centres else None) for k in sorted(set(ks))]
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType()),
                            T.StructField("inertia", T.DoubleType())])
     return spark.createDataFrame(rows, schema), centres

@@ -984,7 +984,9 @@ def q_item_dbscan(spark, sf_dir):
 
 @register("item_dbscan_grid")
 def q_item_dbscan_grid(spark, sf_dir):
-    return cluster.dbscan_grid(_item_rfc_scaled(spark, sf_dir), "item", _RFC, [0.3, 0.6], [3, 5])
+    # the 150 trials of the reference, whose eps belong to its own coordinates, and two eps of these features
+    return cluster.dbscan_grid(_item_rfc_scaled(spark, sf_dir), "item", _RFC,
+                               [0.3, 0.6, *(round(3.1 + i * 5.9 / 29, 5) for i in range(30))], [2, 3, 4, 5, 6])
 
 
 @register("random_forest_revenue")

@@ -1,7 +1,7 @@
 """kNN distance and DBSCAN against brute force on small fixtures."""
 import numpy as np
 
-from revlens.operators import cluster
+from revlens.operators import cluster, kselect
 
 
 def _brute_dbscan(X, eps, ms):
@@ -57,3 +57,40 @@ def test_dbscan_follows_a_long_chain(spark):
     pts = spark.createDataFrame([(i, 0.4 * i) for i in range(140)], "id long, x double")
     out = cluster.dbscan(pts, "id", ["x"], 0.5, 2)
     assert {r.cluster for r in out.collect()} == {0}
+
+
+def test_knn_keeps_every_id(spark):
+    two = spark.createDataFrame([(1, 0.0), (2, 5.0)], "id long, x double")
+    assert {(r.id, r.kdist) for r in cluster.knn_distances(two, "id", ["x"], k=3).collect()} == {(1, None), (2, None)}
+    odd = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 3.0), (4, None), (5, float("nan")), (6, float("inf"))], "id long, x double")
+    got = {r.id: r.kdist for r in cluster.knn_distances(odd, "id", ["x"], k=3).collect()}
+    assert got == {1: 3.0, 2: 2.0, 3: 3.0, 4: None, 5: None, 6: None}
+
+
+def test_knn_goes_on_until_far_points_are_settled(spark):
+    far = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 1e12)], "id long, x double")
+    got = {r.id: r.kdist for r in cluster.knn_distances(far, "id", ["x"], k=3, radius=1.0).collect()}
+    assert got == {1: 1e12, 2: 1e12 - 1, 3: 1e12}
+
+
+def test_starting_centres_come_from_all_points(spark, monkeypatch):
+    monkeypatch.setattr(kselect, "SAMPLE_ROWS", 100)
+    rnd = np.random.default_rng(4)
+    X = np.vstack([rnd.normal(0, 0.1, (4000, 2)), rnd.normal(500, 0.1, (3, 2)), rnd.normal(-500, 0.1, (3, 2))])
+    pts = spark.createDataFrame([(float(a), float(b)) for a, b in X], "a double, b double").localCheckpoint()
+    centres = kselect.fit_many(pts, ["a", "b"], [3], max_iter=1)[3]
+    assert np.allclose(sorted(centres.round(0)[:, 0].tolist()), [-500, 0, 500], atol=1)
+
+
+def test_skipped_k_are_rows(spark):
+    pts = spark.createDataFrame([(0.0,), (1.0,), (9.0,)], "a double").localCheckpoint()
+    rows = {r.k: (r.silhouette, r.inertia) for r in kselect.select_k(pts, ["a"], [2, 3, 5])[0].collect()}
+    assert rows[2][0] is not None and rows[3] == rows[5] == (None, None)
+
+
+def test_registered_grid_has_the_trials_of_the_reference(monkeypatch):
+    from revlens.plans import catalog
+    monkeypatch.setattr(catalog, "_item_rfc_scaled", lambda spark, sf_dir: None)
+    monkeypatch.setattr(cluster, "dbscan_grid", lambda df, id_col, cols, eps, ms: (eps, ms))
+    eps, ms = catalog.QUERIES["item_dbscan_grid"](None, "")
+    assert np.allclose(eps, [0.3, 0.6, *np.linspace(3.1, 9.0, 30)], atol=1e-5) and list(ms) == [2, 3, 4, 5, 6]
