@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, language_id, licenses, mixing, ngram_join, substring_dedup, token_counts, toxicity, weak_supervision, zip_warc
+from . import decontaminate, language_id, licenses, mixing, ngram_join, periodic, substring_dedup, token_counts, toxicity, weak_supervision, zip_warc
 from ._text import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,12 @@ def op10(spark, sf_dir):
     return token_counts.count_documents(read_table(spark, sf_dir, "documents"), ranks, SPLIT_PATTERN)
 
 
+@register("op13_periodic_runs")
+def op13(spark, sf_dir):
+    """Words of every tenth document are made periodic first; the digests are of the operator's runs and texts."""
+    return periodic.run_report(periodic.find_runs(periodic.with_planted_periods(read_table(spark, sf_dir, "documents"))))
+
+
 def _prepared(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
