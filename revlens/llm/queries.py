@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, language_id, licenses, mixing, ngram_join, periodic, substring_dedup, token_counts, toxicity, weak_supervision, zip_warc
+from . import decontaminate, language_id, licenses, mixing, ngram_join, periodic, pivot_search, substring_dedup, token_counts, toxicity, weak_supervision, zip_warc
 from ._text import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,25 @@ def op10(spark, sf_dir):
     return token_counts.count_documents(read_table(spark, sf_dir, "documents"), ranks, SPLIT_PATTERN)
 
 
+@register("op12_pivot_search", """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id
+      WHERE q.vec_id % 100 = 0
+    ), r AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def op12(spark, sf_dir):
+    vectors = pivot_search.integer_vectors(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return pivot_search.top_k(vectors, k=10)
+
+
 @register("op13_periodic_runs")
 def op13(spark, sf_dir):
     """Words of every tenth document are made periodic first; the digests are of the operator's runs and texts."""
