@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, language_id, licenses, mixing, ngram_join, periodic, pivot_search, substring_dedup, token_counts, toxicity, weak_supervision, zip_warc
+from . import decontaminate, k2_treap, language_id, licenses, mixing, ngram_join, periodic, pivot_search, substring_dedup, token_counts, toxicity, weak_supervision, zip_warc
 from ._text import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 # Texts are long: few rows per Arrow batch keep a Python worker's memory small.
 ARROW_ROWS = 500
+# Rows of an index are megabytes.
+ARROW_BYTES = 16 << 20
 TOKENIZER_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the splitting pattern that belongs to this vocabulary.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -35,6 +37,7 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 @register("op1_substring_dedup")
@@ -97,6 +100,36 @@ def op10(spark, sf_dir):
     return token_counts.count_documents(read_table(spark, sf_dir, "documents"), ranks, SPLIT_PATTERN)
 
 
+@register("op11_lexical_search", r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+    ), i AS (
+      SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+    ), c AS (
+      SELECT CAST(count(*) FILTER (len(t) > 0) AS BIGINT) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM d
+    ), p AS (
+      SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d
+    ), q AS (
+      SELECT doc_id, n, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM i) GROUP BY ALL
+    ), w AS (
+      SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(c.n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM q, c GROUP BY term
+    ), s AS (
+      SELECT i.item_id, q.doc_id,
+             CAST(sum(w.w * ((1000000000 * q.tf) // (1000 * q.tf + 20 * (100 - 50 + (50 * q.n * c.n) // c.l)))) AS BIGINT) AS score
+      FROM i JOIN q USING (term) JOIN w USING (term), c GROUP BY ALL
+    ), r AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0
+    )
+    SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+""")
+def op11(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return k2_treap.rank_documents(docs, read_table(spark, sf_dir, "benchmark"), k=50)
+
+
 @register("op12_pivot_search", """
     WITH v AS (
       SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
