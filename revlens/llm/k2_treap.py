@@ -256,7 +256,8 @@ def descend(shard: Shard, queries: np.ndarray, ptr: np.ndarray, row: np.ndarray,
         state, child, r, w = (np.concatenate(p) for p in zip(*parts))
         order = np.argsort(state, kind="stable")
         state, child, r, w = state[order], child[order], r[order], w[order]
-        begin = np.flatnonzero(np.append(True, state[1:] != state[:-1]))
+        # every path may have ended: a cell can be there for its other rows
+        begin = np.flatnonzero(np.append(True, state[1:] != state[:-1])[:len(state)])
         size = np.diff(np.append(begin, len(state)))
         s = state[begin]
         new_query, new_level, new_col = query[now][s >> 1], lev[s >> 1] + 1, 2 * col[now][s >> 1] + (s & 1)

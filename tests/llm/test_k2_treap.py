@@ -75,6 +75,31 @@ def test_empty_tables(spark):
     assert K.rank_documents(blank, asked).collect() == []
 
 
+@pytest.mark.parametrize("beam", [1, 3, 64])
+def test_paths_that_end_before_a_document(beam):
+    """Single queries on a sparse grid: cells are there for other rows only."""
+    rng = np.random.default_rng(8)
+    n = 300
+    points = np.unique(rng.integers(0, n * 500, 900))
+    doc, term = points // 500, (points % 500).astype(np.uint64)
+    doc = np.unique(doc, return_inverse=True)[1]
+    n = doc.max() + 1
+    tf, lengths = rng.integers(1, 4, len(doc)), rng.integers(4, 90, n)
+    shard = K.Shard(K.make_shard(doc, term, tf, np.arange(n), np.zeros(n, bool), lengths, n, int(lengths.sum())))
+    m = 50 + (50 * lengths * n) // lengths.sum()
+    for _ in range(60):
+        asked = np.unique(rng.choice(term, 3))
+        weight = rng.integers(1, 9000, len(asked))
+        best = K.Best(1, 7)
+        K.descend(shard, np.array([0]), np.array([0, len(asked)]), shard.rows[np.searchsorted(shard.terms, asked)].astype(np.int64), weight, best, beam)
+        total = np.zeros(n, np.int64)
+        for t, w in zip(asked, weight):
+            at = term == t
+            np.add.at(total, doc[at], w * K.impacts(tf[at], m[doc[at]]))
+        want = sorted((-s, i) for i, s in enumerate(total.tolist()) if s)[:7]
+        assert [(-s, i) for s, i in zip(best.score.tolist(), best.id.tolist())] == want
+
+
 def test_bounds_stop_the_descent():
     """Documents far below the best ones are not opened one by one."""
     rng = np.random.default_rng(1)
