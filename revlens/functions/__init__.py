@@ -31,6 +31,10 @@ DISTRIBUTION_CENTRES = {
     "Bayern": ["Bayern", "Sachsen", "Thüringen", "Sachsen-Anhalt"],
 }
 DEFAULT_CENTRE = "Brandenburg"
+# The sixteen German states.
+STATES = ["Baden-Württemberg", "Bayern", "Berlin", "Brandenburg", "Bremen", "Hamburg", "Hessen", "Mecklenburg-Vorpommern",
+          "Niedersachsen", "Nordrhein-Westfalen", "Rheinland-Pfalz", "Saarland", "Sachsen", "Sachsen-Anhalt",
+          "Schleswig-Holstein", "Thüringen"]
 # States set by hand for four postal codes whose state stays unknown.
 STATE_OVERRIDES = {
     "69966": "Baden-Württemberg",

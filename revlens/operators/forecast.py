@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from . import scale, timeaxis
 
-RIDGE = 1e-8
+# directions of the scaled columns below this share of the largest one are left out
+RCOND = 1e-10
 
 
 # ---------------------------------------------------------------------------
@@ -37,8 +38,7 @@ def _fit_schema(df: DataFrame, keys: list[str]) -> T.StructType:
 
 
 def fit_linear(samples: DataFrame, keys: list[str], features: str = "lags",
-               target: str = "target", exog: list[str] | None = None,
-               ridge: float = RIDGE) -> DataFrame:
+               target: str = "target", exog: list[str] | None = None) -> DataFrame:
     """Per-key least squares ``target ~ bias + features (+ exog)``.
 
     Returns one row per key: ``weights`` (features then exog), ``bias`` and the
@@ -53,12 +53,12 @@ def fit_linear(samples: DataFrame, keys: list[str], features: str = "lags",
         if exog:
             X = np.hstack([X, pdf[exog].to_numpy(dtype=float)])
         y = pdf[target].to_numpy(dtype=float)
-        A = np.hstack([np.ones((len(y), 1)), X])
-        reg = ridge * np.eye(A.shape[1])
-        reg[0, 0] = 0.0
-        coef = np.linalg.solve(A.T @ A + reg, A.T @ y)
+        # centred and scaled columns: levels of millions beside zeros keep their digits
+        mid, size = X.mean(axis=0), X.std(axis=0)
+        size[size == 0] = 1.0
+        w = np.linalg.lstsq((X - mid) / size, y - y.mean(), rcond=RCOND)[0] / size
         row = {k: [pdf[k].iloc[0]] for k in keys}
-        row.update(weights=[coef[1:].tolist()], bias=[float(coef[0])], samples=[len(y)])
+        row.update(weights=[w.tolist()], bias=[float(y.mean() - mid @ w)], samples=[len(y)])
         return pd.DataFrame(row)
 
     return samples.select(*cols).groupBy(*keys).applyInPandas(solve, schema)
@@ -139,70 +139,14 @@ def lag_model_forecast(series: DataFrame, keys: list[str], value: str, look_back
 
 
 # ---------------------------------------------------------------------------
-# differenced autoregression (the ARIMA path, re-aimed)
+# differenced autoregression (ARIMA without moving-average terms)
 # ---------------------------------------------------------------------------
 
-def difference(series: DataFrame, keys: list[str], value: str, d: int,
-               order: str = "week") -> DataFrame:
-    """d-fold first differences ``_z`` (null for the first d rows of a key)."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    out = series.withColumn("_z", F.col(value).cast("double"))
-    for _ in range(d):
-        out = out.withColumn("_z", F.col("_z") - F.lag("_z", 1).over(w))
-    return out
-
-
 def differenced_ar_forecast(series: DataFrame, keys: list[str], value: str, p: int = 5,
-                            d: int = 2, horizon: int = 52, value_name: str | None = None) -> DataFrame:
-    """FC-6: AR(p) on the d-times differenced series by per-key least squares,
-    in-sample one-step fitted values (``ARIMA``) and an h-step forecast
-    (``predicted_mean``) integrated back to levels.  Moving-average terms of
-    the reference's ARIMA(5,2,5) are not estimated (documented).
-    """
-    value_name = value_name or value
-    w = Window.partitionBy(*keys).orderBy("week")
-    s = difference(series.select(*keys, "week", F.col(value).cast("double").alias("_y")), keys, "_y", d)
-    s = s.withColumn("lags", F.collect_list("_z").over(w.rowsBetween(-p, -1)))
-    s = s.withColumn("_nz", F.count("_z").over(w.rowsBetween(-p, -1)))
-    samples = s.where(F.col("_z").isNotNull() & (F.col("_nz") == p))
-    model = fit_linear(samples.select(*keys, "lags", F.col("_z").alias("target")), keys)
-
-    fitted = (s.join(model, keys, "left")
-               .withColumn("ARIMA", F.when((F.col("_nz") == p) & F.col("_z").isNotNull(),
-                                           F.col("_y") - F.col("_z") + dot(F.col("lags"), F.col("weights"),
-                                                                            F.col("bias")))))
-    hist = fitted.select(*keys, F.col("week").alias("Date"), F.col("_y").alias(value_name), "ARIMA",
-                         F.lit(None).cast("double").alias("predicted_mean"))
-
-    # last p differences and the last level of every lower difference order
-    levels = series.select(*keys, "week", F.col(value).cast("double").alias("_y"))
-    orders = levels
-    last_cols = []
-    for j in range(d):
-        orders = orders.withColumn(f"_d{j}", F.col("_y") if j == 0 else
-                                   F.col(f"_d{j - 1}") - F.lag(f"_d{j - 1}", 1).over(w))
-        last_cols.append(f"_d{j}")
-    orders = orders.withColumn("_z", F.col(f"_d{d - 1}") - F.lag(f"_d{d - 1}", 1).over(w)) if d else \
-        orders.withColumn("_z", F.col("_y"))
-    tail = orders.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("week", "_z"))).alias("_h"),
-        F.max("week").alias("_last"),
-        *[F.max_by(c, "week").alias(f"{c}_last") for c in last_cols])
-    tail = tail.withColumn("_lastP", F.transform(F.slice(F.filter("_h", lambda x: x["_z"].isNotNull()), -p, p),
-                                                 lambda x: x["_z"]))
-    fut = (tail.where(F.size("_lastP") == p).join(model, keys)
-               .select(*keys, "_last", *[f"{c}_last" for c in last_cols],
-                       F.posexplode(recursive_forecast(F.col("_lastP"), F.col("weights"), F.col("bias"),
-                                                       horizon)).alias("_i", "_f")))
-    ws = Window.partitionBy(*keys).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    cur = F.col("_f")
-    fut = fut.withColumn("_lvl", cur)
-    for j in reversed(range(d)):
-        fut = fut.withColumn("_lvl", F.col(f"_d{j}_last") + F.sum("_lvl").over(ws))
-    future = fut.select(*keys, F.date_add("_last", (F.col("_i") + 1) * 7).alias("Date"),
-                        F.lit(None).cast("double").alias(value_name), F.lit(None).cast("double").alias("ARIMA"),
-                        F.col("_lvl").alias("predicted_mean"))
-    return hist.unionByName(future)
+                            d: int = 2, horizon: int = 52, value_name: str | None = None, q: int = 0) -> DataFrame:
+    """FC-6 of order ``(p, d, q)``; see :mod:`arma`."""
+    from .arma import arima_forecast
+    return arima_forecast(series, keys, value, (p, d, q), horizon, value_name)
 
 
 def exog_regression(series: DataFrame, keys: list[str], value: str, exog: list[str],

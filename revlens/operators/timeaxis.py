@@ -31,19 +31,21 @@ def weekly_sum(df: DataFrame, keys: list[str], values: list[str], date_col: str
     the left Monday; with ``dense`` every week between a key's first and last
     week is present, empty weeks as 0.
 
-    Lines are partial-aggregated to (key, week) before the first shuffle; the
-    spine is built from that small frame (min/max week per key, exploded) and
-    merged by a second aggregation, not by a join.
+    Lines are read once and partial-aggregated to (key, week) before the first
+    shuffle; every week then yields itself and the empty weeks up to the key's
+    next one, so the spine needs neither a second scan nor a join.
     """
     weekly = (df.where(F.col(date_col).isNotNull())
                 .groupBy(*keys, RF.week_start(date_col).alias("week"))
                 .agg(*[_sum_expr(v, v in money).alias(v) for v in values]))
     if not dense:
         return weekly
-    span = weekly.groupBy(*keys).agg(F.min("week").alias("_a"), F.max("week").alias("_b"))
-    spine = span.select(*keys, F.explode(F.sequence("_a", "_b", F.expr("interval 7 days"))).alias("week"))
-    spine = spine.select(*keys, "week", *[F.lit(0.0).alias(v) for v in values])
-    return spine.unionByName(weekly).groupBy(*keys, "week").agg(*[F.sum(v).alias(v) for v in values])
+    following = F.lead("week").over(Window.partitionBy(*keys).orderBy("week"))
+    up_to = F.coalesce(F.date_sub(following, 7), F.col("week"))
+    filled = weekly.withColumn("_weeks", F.sequence("week", up_to, F.expr("interval 7 days")))
+    filled = filled.select(*keys, *values, F.posexplode("_weeks").alias("_i", "week"))
+    return filled.select(*keys, "week", *[F.when(F.col("_i") == 0, F.coalesce(F.col(v), F.lit(0.0))).otherwise(0.0).alias(v)
+                                          for v in values])
 
 
 def add_position(series: DataFrame, keys: list[str], order: str = "week",

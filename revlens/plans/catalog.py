@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import SALES_SQL, sales
 from ..functions import year_range
-from ..operators import clean, cluster, diagnostics, evaluate, explore, forecast, geo, scale, segment, timeaxis
+from ..operators import arma, clean, cluster, diagnostics, evaluate, explore, forecast, geo, scale, segment, timeaxis
 from ..sources.tables import read_table
 from . import jobs
 from .. import functions as RF
@@ -479,6 +479,24 @@ FROM ranked, tot
 """)
 
 
+_CENTRE_SQL = "CASE " + " ".join(
+    f"WHEN State IN ({', '.join(repr(x) for x in states)}) THEN '{centre}'" for centre, states in RF.DISTRIBUTION_CENTRES.items()
+) + f" ELSE '{RF.DEFAULT_CENTRE}' END"
+
+
+@register("weekly_quantity_by_distribution_center", with_sales(f"""
+c AS (SELECT {_CENTRE_SQL} AS center, {_WEEK} AS week, Quantity FROM sales),
+w AS (SELECT center, week, sum(Quantity) AS Quantity FROM c GROUP BY ALL),
+spine AS (SELECT center, CAST(unnest(generate_series(min(week), max(week), INTERVAL 7 DAY)) AS DATE) AS week FROM w GROUP BY center)
+SELECT spine.center, spine.week, coalesce(w.Quantity, 0.0) AS Quantity
+FROM spine LEFT JOIN w ON spine.center = w.center AND spine.week = w.week
+"""))
+def q_weekly_by_distribution_center(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderDate", "Quantity", "State"])
+    s = clean.add_distribution_center(s).withColumnRenamed("DistributionCenter", "center")
+    return timeaxis.weekly_sum(s, ["center"], ["Quantity"])
+
+
 @register("subgroup_center_revenue_shares",
           _shares_sql(["ProductSubgroup", "DistributionCenter"], "NetRevenue", _ITEM_WHERE))
 def q_subgroup_center_revenue_shares(spark, sf_dir):
@@ -801,11 +819,50 @@ def q_forecast_lag(spark, sf_dir):
 
 
 @register("forecast_differenced_ar_by_center")
-def q_forecast_arima(spark, sf_dir):
+def q_forecast_differenced_ar(spark, sf_dir):
     return forecast.differenced_ar_forecast(_weekly(spark, sf_dir, ["DistributionCenter"]),
                                             ["DistributionCenter"], "NetRevenue", p=5, d=2, horizon=52)
 
 
+@register("forecast_arima_by_center")
+def q_forecast_arima(spark, sf_dir):
+    return arma.arima_forecast(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"], "NetRevenue",
+                               jobs.ARIMA_ORDER, 52)
+
+
+@register("arima_coefficients_by_center")
+def q_arima_coefficients(spark, sf_dir):
+    fitted = arma.fit(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"], "NetRevenue", jobs.ARIMA_ORDER)
+    return arma.coefficients(fitted, ["DistributionCenter"])
+
+
+# order (1, 1, 0) is a regression line of each difference on the one before
+@register("forecast_arima_110_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+, z AS (SELECT *, NetRevenue - lag(NetRevenue) OVER w AS z, lag(NetRevenue) OVER w AS before
+        FROM series WINDOW w AS (PARTITION BY DistributionCenter ORDER BY week)),
+l AS (SELECT *, lag(z) OVER (PARTITION BY DistributionCenter ORDER BY week) AS lz FROM z),
+m AS (SELECT DistributionCenter, regr_slope(z, lz) AS f, regr_intercept(z, lz) AS c,
+             max(week) AS last, arg_max(NetRevenue, week) AS y, arg_max(z, week) AS z FROM l GROUP BY DistributionCenter),
+a AS (SELECT *, c / (1 - f) AS mu FROM m)
+SELECT DistributionCenter, week AS Date, round(NetRevenue, 2) AS NetRevenue, round(before + c + f * lz, 2) AS ARIMA,
+       CAST(NULL AS DOUBLE) AS predicted_mean
+FROM l JOIN m USING (DistributionCenter)
+UNION ALL
+SELECT DistributionCenter, CAST(last + 7 * h AS DATE), NULL, NULL,
+       round(y + h * mu + (z - mu) * f * (1 - pow(f, h)) / (1 - f), 2)
+FROM a, (SELECT CAST(unnest(generate_series(1, 12)) AS INTEGER) AS h)
+"""))
+def q_forecast_arima_110(spark, sf_dir):
+    out = arma.arima_forecast(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"], "NetRevenue", (1, 1, 0), 12)
+    return out.select("DistributionCenter", "Date", *[F.round(c, 2).alias(c) for c in ("NetRevenue", "ARIMA", "predicted_mean")])
+
+
+@register("item_center_arima")
+def q_item_center_arima(spark, sf_dir):
+    s = sales(spark, sf_dir, ["OrderNumber", "OrderDate", "Quantity", "NetRevenue", "ProductSubgroup", "State"])
+    return jobs.forecast_items(s, ANALYSIS_YEAR, REFERENCE_DATE, 52, method="arima", center="Brandenburg")
+
+
 @register("exog_regression_by_center")
 def q_exog(spark, sf_dir):
     return forecast.exog_regression(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],

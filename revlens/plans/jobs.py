@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as RF
-from ..operators import clean, cluster, explore, forecast, geo, scale, segment, timeaxis
+from ..operators import arma, clean, cluster, explore, forecast, geo, scale, segment, timeaxis
 
 CUSTOMER_KS = list(range(3, 11))
 ITEM_KS = list(range(3, 15))
+ARIMA_ORDER = (5, 2, 5)
 RFM_COLS = ["daysSinceLastOrder", "orderCount", "sumRevenue"]
 RFC_COLS = ["daysSinceLastOrder", "orderCount", "sumQuantity"]
 
@@ -136,11 +137,12 @@ def cluster_weekly_series(clusters: DataFrame, orders: DataFrame, max_weeks: int
     return timeaxis.first_n(weekly, ["cluster"], max_weeks) if max_weeks else weekly
 
 
-def center_weekly_series(item_clusters: DataFrame, items: DataFrame) -> DataFrame:
-    """FC-2 for every (centre, subgroup) key: weekly quantity and revenue."""
-    keys = ["ProductSubgroup", "DistributionCenter"]
-    lines = items.join(item_clusters.select(*keys), keys, "left_semi")
-    return timeaxis.weekly_sum(lines, keys, ["Quantity", "NetRevenue"])
+def center_weekly_series(item_clusters: DataFrame, items: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """FC-2: weekly quantity and revenue of the clustered items, one series per
+    (subgroup, centre) or per the given part of it."""
+    item = ["ProductSubgroup", "DistributionCenter"]
+    lines = items.join(item_clusters.select(*item), item, "left_semi")
+    return timeaxis.weekly_sum(lines, keys or item, ["Quantity", "NetRevenue"])
 
 
 def forecast_customers(df: DataFrame, year: int, reference_date: str, horizon: int = 52,
@@ -153,18 +155,40 @@ def forecast_customers(df: DataFrame, year: int, reference_date: str, horizon: i
     if method == "lag":
         return forecast.lag_model_forecast(series, ["cluster"], "NetRevenue", horizon=horizon,
                                            value_name="Revenue")
-    return forecast.differenced_ar_forecast(series, ["cluster"], "NetRevenue", horizon=horizon)
+    return _arima(series, ["cluster"], "NetRevenue", method, horizon)
+
+
+def _arima(series: DataFrame, keys: list[str], value: str, method: str, horizon: int) -> DataFrame:
+    if method != "arima":
+        raise ValueError(f"unknown method {method!r}: 'lag' or 'arima'")
+    return arma.arima_forecast(series, keys, value, ARIMA_ORDER, horizon)
 
 
 def forecast_items(df: DataFrame, year: int, reference_date: str, horizon: int = 52,
-                   ks=None) -> DataFrame:
+                   ks=None, method: str = "lag", center: str | None = None, subgroup: str | None = None) -> DataFrame:
     """JOB-7: year filter -> item dataset -> item clusters -> weekly quantity
-    per (subgroup, centre) -> forecast."""
+    per (subgroup, centre) -> forecast by ``method`` ('lag' or 'arima').
+
+    With ``center`` the centre's clustered items are one series (of
+    ``subgroup`` alone if given); a centre or subgroup without clustered items is
+    a ``ValueError``.  Without it every (subgroup, centre) is forecast in one job.
+    """
+    if center is None and subgroup is not None:
+        raise ValueError("a subgroup needs a distribution centre")
     items = item_dataset(clean.year_equals(df, year), reference_date)
     rfc = segment_items(items, reference_date, ks)
-    series = center_weekly_series(rfc, items)
-    return forecast.lag_model_forecast(series, ["ProductSubgroup", "DistributionCenter"], "Quantity",
-                                       horizon=horizon)
+    keys = ["ProductSubgroup", "DistributionCenter"]
+    if center is not None:
+        rfc = rfc.where(F.col("DistributionCenter") == center)
+        if subgroup is not None:
+            rfc = rfc.where(F.col("ProductSubgroup").cast("string") == str(subgroup))
+        if rfc.limit(1).count() == 0:
+            raise ValueError(f"no clustered items for centre {center!r}" + ("" if subgroup is None else f" and subgroup {subgroup!r}"))
+        keys = keys[1:]
+    series = center_weekly_series(rfc, items, keys)
+    if method == "lag":
+        return forecast.lag_model_forecast(series, keys, "Quantity", horizon=horizon)
+    return _arima(series, keys, "Quantity", method, horizon)
 
 
 def publish_forecasts(spark, lstm_csv_glob: str, items_glob: str, products_glob: str,

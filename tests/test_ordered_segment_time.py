@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from revlens.operators import ordered, scale, segment, timeaxis
 
 D = dt.date
@@ -132,3 +133,27 @@ def test_multi_column_quantiles(spark):
     for col, arr in (("a", a), ("b", b)):
         for p in (0.15, 0.5, 0.85):
             assert abs(got[(col, p)] - np.percentile(arr, p * 100)) < 1e-12
+
+
+def test_weekly_sum_reads_its_lines_once(spark):
+    lines = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderpriority", F.col("o_orderdate").alias("OrderDate"),
+                                                                    F.col("o_totalprice").alias("NetRevenue"))
+    out = timeaxis.weekly_sum(lines, ["o_orderpriority"], ["NetRevenue"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    rows = out.collect()
+    weeks = {}
+    for r in rows:
+        weeks.setdefault(r.o_orderpriority, []).append(r.week)
+    for w in weeks.values():
+        assert len(w) == len(set(w)) == (max(w) - min(w)).days // 7 + 1
+
+
+def test_weekly_sum_fills_gaps_and_null_sums(spark):
+    import datetime as dt
+    d = dt.date(2020, 1, 7)
+    rows = [("a", d, 1.0), ("a", d + dt.timedelta(weeks=3), None), ("b", d, 2.0), (None, d, 3.0), ("a", None, 9.0)]
+    out = timeaxis.weekly_sum(spark.createDataFrame(rows, "k string, OrderDate date, v double"), ["k"], ["v"], money=())
+    got = sorted(((r.k or "", r.week.isoformat(), r.v) for r in out.collect()))
+    assert got == [("", "2020-01-06", 3.0), ("a", "2020-01-06", 1.0), ("a", "2020-01-13", 0.0), ("a", "2020-01-20", 0.0),
+                   ("a", "2020-01-27", 0.0), ("b", "2020-01-06", 2.0)]
