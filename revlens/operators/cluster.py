@@ -188,182 +188,6 @@ def param_grid(spark, **axes) -> DataFrame:
     return spark.createDataFrame(rows, names)
 
 
-def _distinct_points(df: DataFrame, id_col: str, cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Collapse identical coordinates: (pid, coords..., weight) and the id -> pid map.
-
-    A point repeated by a third of all rows becomes one weighted point, so
-    neighbour searches never pair up its copies."""
-    coords = [F.col(c).cast("double").alias(c) for c in cols]
-    base = df.select(id_col, *coords)
-    # written once: iterative callers then never recompute the upstream plan
-    base = materialise(base, ROWS_PER_PARTITION)
-    pts = materialise(base.groupBy(*cols).agg(F.min(id_col).alias("pid"), F.count(F.lit(1)).alias("w")),
-                      ROWS_PER_PARTITION)
-    ids = base.join(pts.select(*cols, "pid"), cols)   # equi-join on coordinates
-    return pts, ids.select(id_col, "pid")
-
-
-def _cells(df: DataFrame, cols: list[str], size) -> DataFrame:
-    return df.withColumn("_cell", F.array(*[F.floor(F.col(c) / size).cast("long") for c in cols]))
-
-
-def _neighbour_pairs(pts: DataFrame, cols: list[str], radius: float) -> DataFrame:
-    """(a, b, dist) for distinct points within ``radius``, a != b, found by an
-    equi-join of each point's cell with the 3^d surrounding cells."""
-    return _neighbour_pairs_for(pts, pts, cols, radius)
-
-
-def _neighbour_pairs_for(probes: DataFrame, pts: DataFrame, cols: list[str], radius: float) -> DataFrame:
-    """Pairs (a in probes, b in pts, a != b) within ``radius``."""
-    import itertools
-    size = F.lit(float(radius))
-    d = len(cols)
-    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=d)]
-    pc = _cells(probes, cols, size)
-    probe = pc.select(F.col("pid").alias("a"), *[F.col(c).alias(f"a_{c}") for c in cols],
-                      F.explode(F.array(*[F.array(*[F.col("_cell")[i] + o[i] for i in range(d)])
-                                          for o in offsets])).alias("_cell"))
-    right = _cells(pts, cols, size).select(F.col("pid").alias("b"), *[F.col(c).alias(f"b_{c}") for c in cols],
-                                           "_cell")
-    dist = F.sqrt(sum(((F.col(f"a_{c}") - F.col(f"b_{c}")) ** 2 for c in cols), F.lit(0.0)))
-    return (probe.join(right, "_cell").where(F.col("a") != F.col("b"))
-                 .select("a", "b", dist.alias("dist")).where(F.col("dist") <= float(radius)))
-
-
-def knn_distances(df: DataFrame, id_col: str, cols: list[str], k: int = 3,
-                  radius: float | None = None) -> DataFrame:
-    """ML-14: distance to the k-th nearest point (the point itself counts,
-    as in the reference's k-distance plot), exact.
-
-    Points are searched in grid cells of side r; a point with at least k
-    neighbours (weights included) within r is final, the rest retry with r
-    doubled until none is left.  Dense regions resolve at small r, so no point
-    meets a whole dense region, and identical points are collapsed with weights.
-    Every id stays: the distance is null where fewer than k points exist or a
-    coordinate is null or not finite (such rows are nobody's neighbours).
-    """
-    finite = F.lit(True)
-    for c in cols:
-        finite = finite & F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False))
-    apart = df.where(~finite).select(id_col, F.lit(None).cast("double").alias("kdist"))
-    pts, ids = _distinct_points(df.where(finite), id_col, cols)
-    if (pts.agg(F.sum("w")).first()[0] or 0) < k:
-        return ids.select(id_col, F.lit(None).cast("double").alias("kdist")).unionByName(apart)
-    if radius is None:
-        span = pts.agg(*[(F.max(c) - F.min(c)).alias(c) for c in cols]).first()
-        n = pts.count()
-        vol = 1.0
-        for c in cols:
-            vol *= max(float(span[c] or 0.0), 1e-12)
-        radius = max(2.0 * (vol * k / max(n, 1)) ** (1.0 / len(cols)), 1e-9)
-    todo = pts
-    done = None
-    r = float(radius)
-    while True:
-        pairs = _neighbour_pairs_for(todo, pts, cols, r)
-        cand = (pairs.join(pts.select(F.col("pid").alias("b"), "w"), "b")
-                     .unionByName(todo.select(F.col("pid").alias("a"), F.col("pid").alias("b"),
-                                              F.lit(0.0).alias("dist"), "w")))
-        # k-th smallest distance counting weights: running weight per point
-        w = Window.partitionBy("a").orderBy("dist", "b")
-        ranked = cand.withColumn("_cw", F.sum("w").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        kth = (ranked.where(F.col("_cw") >= k).groupBy("a")
-                     .agg(F.min_by("dist", F.struct("dist", "b")).alias("kdist")))
-        res = materialise(kth)
-        done = res if done is None else done.unionByName(res)
-        todo = materialise(todo.join(res.select(F.col("a").alias("pid")), "pid", "left_anti"))
-        if todo.limit(1).count() == 0:
-            break
-        r *= 2.0
-    return ids.join(done.select(F.col("a").alias("pid"), "kdist"), "pid", "left").select(id_col, "kdist").unionByName(apart)
-
-
-def dbscan(df: DataFrame, id_col: str, cols: list[str], eps: float, min_samples: int) -> DataFrame:
-    """ML-15: density clusters with noise = -1.
-
-    Neighbour counts come from a grid-cell equi-join at radius ``eps`` over
-    distinct weighted points (identical points never pair up); core points
-    are those with at least ``min_samples`` points within ``eps`` (self
-    included).  Clusters are the connected components of core points, found
-    by min-label propagation with pointer jumping over core-core edges, each
-    round written, until no label changes; a border point joins the cluster with the
-    smallest label among its core neighbours.  Clusters are numbered 0, 1, ...
-    in the order of their smallest member.
-    """
-    pts, ids = _distinct_points(df, id_col, cols)
-    pairs = materialise(_neighbour_pairs(pts, cols, eps))
-    return _dbscan_from_pairs(pts, ids, pairs, id_col, min_samples)
-
-
-def _dbscan_from_pairs(pts: DataFrame, ids: DataFrame, pairs: DataFrame, id_col: str, min_samples: int) -> DataFrame:
-    counts = (pairs.join(pts.select(F.col("pid").alias("b"), "w"), "b").groupBy("a")
-                   .agg(F.sum("w").alias("_nw")))
-    core = (pts.join(counts.withColumnRenamed("a", "pid"), "pid", "left")
-               .where(F.col("w") + F.coalesce(F.col("_nw"), F.lit(0)) >= min_samples).select("pid"))
-    core = materialise(core)
-    edges = (pairs.join(core.select(F.col("pid").alias("a")), "a", "left_semi")
-                  .join(core.select(F.col("pid").alias("b")), "b", "left_semi").select("a", "b"))
-    edges = materialise(edges)
-    labels = materialise(core.select("pid", F.col("pid").alias("label")))
-    while True:  # until nothing changes; jumping to a label's own label shortens chains
-        prop = (edges.join(labels.select(F.col("pid").alias("a"), F.col("label").alias("_la")), "a")
-                     .groupBy(F.col("b").alias("pid")).agg(F.min("_la").alias("_m")))
-        new = (labels.join(prop, "pid", "left")
-                     .select("pid", F.least("label", F.coalesce("_m", "label")).alias("label")))
-        up = labels.select(F.col("pid").alias("label"), F.col("label").alias("_up"))
-        new = materialise(new.join(up, "label").select("pid", F.least("label", "_up").alias("label")))
-        changed = new.join(labels.withColumnRenamed("label", "_old"), "pid").where(F.col("label") != F.col("_old"))
-        if changed.limit(1).count() == 0:
-            break
-        labels = new
-    border = (pairs.join(labels.select(F.col("pid").alias("b"), F.col("label").alias("_lb")), "b")
-                   .join(core.select(F.col("pid").alias("a")), "a", "left_anti")
-                   .groupBy(F.col("a").alias("pid")).agg(F.min("_lb").alias("label")))
-    all_labels = labels.unionByName(border)
-    # number the clusters 0, 1, ... in the order of their smallest member
-    # (a distributed ranking of the distinct labels), noise = -1
-    from .ordered import ordered_prefix
-    numbered = ordered_prefix(labels.select("label").distinct(), [F.col("label").asc()])
-    numbered = numbered.select("label", (F.col("_rownum") - 1).cast("long").alias("_cid"))
-    return (ids.join(all_labels.join(numbered, "label"), "pid", "left")
-               .select(id_col, F.coalesce(F.col("_cid"), F.lit(-1).cast("long")).alias("cluster")))
-
-
-def dbscan_grid(df: DataFrame, id_col: str, cols: list[str], eps_values: list[float],
-                min_samples_values: list[int], min_clusters: int = 2,
-                max_clusters: int = 50, parallelism: int = 6) -> DataFrame:
-    """ML-16: every (eps, min_samples) scored by silhouette; fewer than
-    ``min_clusters`` or more than ``max_clusters`` clusters score -10.
-
-    The distinct points and the neighbour join at the largest eps are
-    computed once and filtered for every smaller eps; up to ``parallelism``
-    trials run as concurrent jobs.  Returns the score table (eps,
-    min_samples, clusters, noise, score, label)."""
-    from concurrent.futures import ThreadPoolExecutor
-    spark = df.sparkSession
-    pts, ids = _distinct_points(df, id_col, cols)
-    all_pairs = materialise(_neighbour_pairs(pts, cols, float(max(eps_values))))
-    feats = materialise(assemble(df.select(id_col, *cols), cols), ROWS_PER_PARTITION)
-
-    def trial(eps, ms, pairs):
-        lab = materialise(_dbscan_from_pairs(pts, ids, pairs, id_col, int(ms)))
-        stats = lab.agg(F.countDistinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("c"),
-                        F.sum((F.col("cluster") < 0).cast("int")).alias("noise")).first()
-        n_clusters = int(stats["c"])
-        score = -10.0
-        if min_clusters <= n_clusters <= max_clusters:
-            pred = feats.join(lab, id_col)
-            if pred.select("cluster").distinct().count() >= 2:
-                score = silhouette(pred)
-        return (float(eps), int(ms), n_clusters, int(stats["noise"] or 0), float(score), f"eps:{eps} min_sample :{ms}")
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        near = list(pool.map(lambda eps: materialise(all_pairs.where(F.col("dist") <= float(eps))), eps_values))
-        rows = list(pool.map(lambda x: trial(*x), [(eps, ms, p) for eps, p in zip(eps_values, near) for ms in min_samples_values]))
-    return spark.createDataFrame(rows, "eps double, min_samples int, clusters int, noise int, "
-                                       "score double, label string")
-
-
 def random_forest_regression(train: DataFrame, test: DataFrame, features: list[str], label: str,
                              trees: int = 100, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """ML-17: random forest fitted on ``train``; returns (test predictions,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import SALES_SQL, sales
 from ..functions import year_range
-from ..operators import arma, clean, cluster, diagnostics, evaluate, explore, forecast, geo, scale, segment, timeaxis
+from ..operators import arma, clean, cluster, density, diagnostics, evaluate, explore, forecast, geo, scale, segment, timeaxis
 from ..sources.tables import read_table
 from . import jobs
 from .. import functions as RF
@@ -1023,27 +1023,103 @@ sc AS (SELECT item, {cols} FROM rfc, p)
 
 
 # brute force over all pairs: the item table has one row per (subgroup, centre)
-@register("item_knn_distance", _item_rfc_scaled_sql() + """
-, d AS (SELECT a.item, sqrt(""" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _RFC) + """) AS dist
+_ITEM_PAIRS_SQL = _item_rfc_scaled_sql() + """
+, d AS (SELECT a.item AS a, b.item AS b, sqrt(""" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _RFC) + """) AS dist
        FROM sc a, sc b)
-SELECT item, round(dist, 9) AS kdist FROM (
-  SELECT item, dist, row_number() OVER (PARTITION BY item ORDER BY dist) AS rn FROM d) WHERE rn = 3
-""")
+, kn AS (SELECT a AS item, dist, CAST(row_number() OVER (PARTITION BY a ORDER BY dist) AS INTEGER) AS rank FROM d)
+"""
+# thirty quantiles of the 3-distances, and two to six samples
+_EPS_QUANTILES = [round((i + 1) / 31, 6) for i in range(30)]
+_MIN_SAMPLES = [2, 3, 4, 5, 6]
+
+
+@register("item_knn_distance", _ITEM_PAIRS_SQL + "SELECT item, round(dist, 9) AS kdist FROM kn WHERE rank = 3")
 def q_item_knn(spark, sf_dir):
-    k = cluster.knn_distances(_item_rfc_scaled(spark, sf_dir), "item", _RFC, k=3)
-    return k.withColumn("kdist", F.round("kdist", 9))
+    k = density.knn(_item_rfc_scaled(spark, sf_dir), "item", _RFC, k=3).where("rank = 3")
+    return k.select("item", F.round("dist", 9).alias("kdist"))
+
+
+@register("item_knn_ranks", _ITEM_PAIRS_SQL + "SELECT item, rank, round(dist, 9) AS dist FROM kn WHERE rank <= 6")
+def q_item_knn_ranks(spark, sf_dir):
+    return density.knn(_item_rfc_scaled(spark, sf_dir), "item", _RFC, k=6).withColumn("dist", F.round("dist", 9))
+
+
+@register("item_knn_curve", _ITEM_PAIRS_SQL + """
+SELECT row_number() OVER (ORDER BY dist, item) AS position, item, round(dist, 9) AS kdist FROM kn WHERE rank = 3
+""")
+def q_item_knn_curve(spark, sf_dir):
+    curve = density.knn_curve(density.knn(_item_rfc_scaled(spark, sf_dir), "item", _RFC, k=3), "item", 3)
+    return curve.withColumn("kdist", F.round("kdist", 9))
+
+
+def _dbscan_sql(trials: str) -> str:
+    """Labels by reachability among core points, for the trials of ``trials(eps, ms)``."""
+    return _ITEM_PAIRS_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, trial AS ({trials})
+, core AS (SELECT eps, ms, a FROM trial JOIN d ON dist <= eps GROUP BY ALL HAVING count(*) >= ms)
+, link AS (SELECT x.eps, x.ms, x.a, y.a AS b FROM core x JOIN d ON d.a = x.a AND d.dist <= x.eps
+           JOIN core y ON y.a = d.b AND y.eps = x.eps AND y.ms = x.ms)
+, reach AS (SELECT eps, ms, a, a AS root FROM core
+            UNION
+            SELECT l.eps, l.ms, l.b, r.root FROM reach r JOIN link l ON l.a = r.a AND l.eps = r.eps AND l.ms = r.ms WHERE r.root < l.b)
+, comp AS (SELECT eps, ms, a, min(root) AS root FROM reach GROUP BY ALL)
+, num AS (SELECT eps, ms, root, dense_rank() OVER (PARTITION BY eps, ms ORDER BY root) - 1 AS cluster
+          FROM (SELECT DISTINCT eps, ms, root FROM comp))
+, lab AS (SELECT t.eps, t.ms, s.item, coalesce(min(num.cluster) FILTER (comp.a = s.item), min(num.cluster), -1) AS cluster
+          FROM trial t CROSS JOIN sc s JOIN d ON d.a = s.item
+          LEFT JOIN comp ON comp.a = d.b AND comp.eps = t.eps AND comp.ms = t.ms AND d.dist <= t.eps
+          LEFT JOIN num ON num.eps = comp.eps AND num.ms = comp.ms AND num.root = comp.root
+          GROUP BY ALL)
+"""
 
 
-@register("item_dbscan")
+_GRID_SQL = _dbscan_sql(f"""
+  SELECT eps, ms FROM (SELECT DISTINCT round(unnest(quantile_cont(dist, {_EPS_QUANTILES})), 3) AS eps FROM kn WHERE rank = 3),
+                      (SELECT unnest({_MIN_SAMPLES}) AS ms) WHERE eps > 0""") + """
+, n AS (SELECT eps, ms, cluster, count(*) AS n FROM lab GROUP BY ALL)
+, c AS (SELECT eps, ms, count(*) FILTER (cluster >= 0) AS clusters, count(*) AS labels,
+               coalesce(sum(n) FILTER (cluster < 0), 0) AS noise FROM n GROUP BY ALL)
+, far AS (SELECT x.eps, x.ms, x.item, x.cluster AS own, y.cluster, sum(d.dist * d.dist) AS s, count(*) AS n
+          FROM lab x JOIN d ON d.a = x.item JOIN lab y ON y.item = d.b AND y.eps = x.eps AND y.ms = x.ms
+          JOIN c ON c.eps = x.eps AND c.ms = x.ms AND c.clusters BETWEEN 2 AND 50 GROUP BY ALL)
+, ab AS (SELECT eps, ms, item, max(CASE WHEN cluster = own AND n > 1 THEN s / (n - 1) END) AS a,
+                min(CASE WHEN cluster <> own THEN s / n END) AS b FROM far GROUP BY ALL)
+, sil AS (SELECT eps, ms, round(avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 9) AS score
+          FROM ab GROUP BY ALL)
+, scored AS (SELECT c.eps, CAST(c.ms AS INTEGER) AS min_samples, CAST(clusters AS INTEGER) AS clusters, CAST(noise AS INTEGER) AS noise,
+                    coalesce(score, -10.0) AS score FROM c LEFT JOIN sil USING (eps, ms))
+, ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, eps, min_samples) AS INTEGER) AS rank FROM scored)
+"""
+
+
+@register("item_dbscan", _dbscan_sql("SELECT 0.5 AS eps, 4 AS ms") + "SELECT item, cluster FROM lab")
 def q_item_dbscan(spark, sf_dir):
-    return cluster.dbscan(_item_rfc_scaled(spark, sf_dir), "item", _RFC, eps=0.5, min_samples=4)
+    return density.dbscan(_item_rfc_scaled(spark, sf_dir), "item", _RFC, eps=0.5, min_samples=4)
+
+
+def _item_grid(spark, sf_dir):
+    """The reference tries 30 eps of its own coordinates; here they are quantiles of the 3-distances."""
+    items = cluster.materialise(_item_rfc_scaled(spark, sf_dir))
+    kth = density.knn(items, "item", _RFC, k=3).where("rank = 3")
+    eps = kth.agg(F.percentile("dist", F.array(*map(F.lit, _EPS_QUANTILES))).alias("q")).first()["q"] or []
+    return density.dbscan_search(items, "item", _RFC, sorted({round(e, 3) for e in eps} - {0.0}) or [0.5], _MIN_SAMPLES)
 
 
-@register("item_dbscan_grid")
+@register("item_dbscan_grid", _GRID_SQL + "SELECT eps, min_samples, clusters, noise, round(score, 6) AS score FROM ranked")
 def q_item_dbscan_grid(spark, sf_dir):
-    # the 150 trials of the reference, whose eps belong to its own coordinates, and two eps of these features
-    return cluster.dbscan_grid(_item_rfc_scaled(spark, sf_dir), "item", _RFC,
-                               [0.3, 0.6, *(round(3.1 + i * 5.9 / 29, 5) for i in range(30))], [2, 3, 4, 5, 6])
+    return _item_grid(spark, sf_dir)[0].drop("rank").withColumn("score", F.round("score", 6))
+
+
+@register("item_dbscan_top10", _GRID_SQL + "SELECT rank, eps, min_samples, clusters, noise, round(score, 6) AS score FROM ranked WHERE rank <= 10")
+def q_item_dbscan_top10(spark, sf_dir):
+    return density.best_trials(_item_grid(spark, sf_dir)[0], 10).withColumn("score", F.round("score", 6))
+
+
+@register("item_dbscan_best_labels", _GRID_SQL + """
+SELECT eps, min_samples, item, cluster FROM lab JOIN (SELECT eps, min_samples, min_samples AS ms FROM ranked WHERE rank = 1) USING (eps, ms)
+""")
+def q_item_dbscan_best_labels(spark, sf_dir):
+    return density.best_labels(*_item_grid(spark, sf_dir))
 
 
 @register("random_forest_revenue")

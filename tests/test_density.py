@@ -1,7 +1,10 @@
 """kNN distance and DBSCAN against brute force on small fixtures."""
 import numpy as np
 
-from revlens.operators import cluster, kselect
+import pytest
+from pyspark.sql import functions as F
+
+from revlens.operators import cluster, density, kselect
 
 
 def _brute_dbscan(X, eps, ms):
@@ -37,39 +40,127 @@ def test_knn_and_dbscan_match_brute_force(spark):
     rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(X)]
     df = spark.createDataFrame(rows, "id long, a double, b double")
 
-    got = {r.id: r.kdist for r in cluster.knn_distances(df, "id", ["a", "b"], k=3).collect()}
+    got = {r.id: r.dist for r in density.knn(df, "id", ["a", "b"], k=3, leaf=8).where("rank = 3").collect()}
     D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
     exp = np.sort(D, axis=1)[:, 2]                                   # self counts as the first
     assert all(abs(got[i] - exp[i]) < 1e-12 for i in range(len(X)))
 
     for eps, ms in ((0.3, 4), (0.6, 5), (0.15, 3)):
-        lab = {r.id: r.cluster for r in cluster.dbscan(df, "id", ["a", "b"], eps, ms).collect()}
+        lab = {r.id: r.cluster for r in density.dbscan(df, "id", ["a", "b"], eps, ms).collect()}
         ref = _brute_dbscan(X, eps, ms)
         order = sorted(set(int(x) for x in ref if x >= 0))        # clusters numbered by smallest member
         ref = [order.index(int(x)) if x >= 0 else -1 for x in ref]
         assert [lab[i] for i in range(len(X))] == ref, (eps, ms)
 
-    grid = cluster.dbscan_grid(df, "id", ["a", "b"], [0.3, 0.6], [4])
-    assert grid.count() == 2 and set(r.clusters for r in grid.collect()) <= set(range(0, 60))
+    trials = [(e, m) for e in (0.1, 0.3, 0.6, 1.5, 9.0) for m in (1, 2, 4, 8)]
+    scores, labels = density.dbscan_search(df, "id", ["a", "b"], sorted({e for e, _ in trials}), [1, 2, 4, 8])
+    got = {}
+    for r in labels.collect():
+        got.setdefault((r.eps, r.min_samples), {})[r.id] = r.cluster
+    for eps, ms in trials:
+        ref = _brute_dbscan(X, eps, ms)
+        order = sorted(set(int(x) for x in ref if x >= 0))
+        assert [got[eps, ms][i] for i in range(len(X))] == [order.index(int(x)) if x >= 0 else -1 for x in ref], (eps, ms)
+    for r in scores.collect():
+        lab = np.array([got[r.eps, r.min_samples][i] for i in range(len(X))])
+        assert (r.clusters, r.noise) == (len(set(lab) - {-1}), (lab < 0).sum())
+        want = _silhouette(X, lab) if 2 <= r.clusters <= 50 else -10.0
+        assert abs(r.score - want) < 1e-8
+    ranked = scores.orderBy("rank").collect()
+    assert [r.rank for r in ranked] == list(range(1, 21)) and ranked[0].score == max(r.score for r in ranked)
+    assert density.best_trials(scores, 10).count() == 10
+    best = {r.id: r.cluster for r in density.best_labels(scores, labels).collect()}
+    assert best == got[ranked[0].eps, ranked[0].min_samples]
+
+
+def _silhouette(X, lab):
+    D2 = ((X[:, None, :] - X[None, :, :]) ** 2).sum(-1)
+    out = []
+    for i, own in enumerate(lab):
+        n = (lab == own).sum()
+        if n == 1:
+            out.append(0.0)
+            continue
+        a = D2[i][lab == own].sum() / (n - 1)
+        b = min(D2[i][lab == c].mean() for c in set(lab) if c != own)
+        out.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
+    return float(np.mean(out))
+
+
+def test_silhouettes_are_those_of_the_library(spark):
+    rnd = np.random.default_rng(3)
+    X = np.vstack([rnd.normal(0, 0.2, (40, 2)), rnd.normal(3, 0.3, (30, 2))])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(X)], "id long, a double, b double")
+    scores, labels = density.dbscan_search(df, "id", ["a", "b"], [0.5], [4])
+    pred = cluster.assemble(df, ["a", "b"]).join(labels.select("id", "cluster"), "id")
+    assert abs(scores.first().score - cluster.silhouette(pred)) < 1e-8
+
+
+@pytest.mark.parametrize("d, parts", [(1, 4096), (2, 7), (3, 4096)])
+def test_dbscan_on_crowded_cells(spark, monkeypatch, d, parts):
+    """Dense cells side by side, dealt in parts: no pair of crowded cells is compared point by point."""
+    monkeypatch.setattr(density, "PART", parts)
+    rnd = np.random.default_rng(d)
+    X = np.vstack([rnd.normal(0, 0.25, (400, d)), rnd.normal(2, 0.2, (200, d)), rnd.uniform(-1, 3, (60, d)), np.zeros((50, d))])
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], "id long, " + ", ".join(f"x{j} double" for j in range(d)))
+    for eps, ms in ((0.2, 6), (0.05, 3)):
+        got = {r.id: r.cluster for r in density.dbscan(df, "id", [f"x{j}" for j in range(d)], eps, ms).collect()}
+        ref = _brute_dbscan(X, eps, ms)
+        order = sorted(set(int(x) for x in ref if x >= 0))
+        assert [got[i] for i in range(len(X))] == [order.index(int(x)) if x >= 0 else -1 for x in ref]
+
+
+def test_rows_without_coordinates_stay(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.1, 0.0), (3, None, 0.0), (4, float("nan"), 1.0), (None, 0.0, 0.1), (1, 0.0, 0.0)],
+                               "id long, a double, b double")
+    rows = sorted(((r.id or 0, r.cluster) for r in density.dbscan(df, "id", ["a", "b"], 0.5, 2).collect()), key=str)
+    assert rows == sorted([(0, 0), (1, 0), (1, 0), (2, 0), (3, None), (4, None)], key=str)
+    none = spark.createDataFrame([], "id long, a double, b double")
+    assert density.dbscan(none, "id", ["a", "b"], 0.5, 2).count() == 0 and density.knn(none, "id", ["a", "b"]).count() == 0
+
+
+def test_knn_ranks_and_curve(spark):
+    rnd = np.random.default_rng(7)
+    X = np.vstack([rnd.normal(0, 1, (300, 3)), np.repeat([[2.0, 2.0, 2.0]], 9, axis=0), np.array([[1e6, 0, 0], [0, -1e7, 0], [5, 5, 5]]),
+                   np.column_stack([np.full(80, 3.0), rnd.normal(0, 1, 80), np.full(80, -1.0)])])
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], "id long, x double, y double, z double")
+    out = density.knn(df, "id", ["x", "y", "z"], k=5, leaf=12)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.id, {})[r.rank] = r.dist
+    D = np.sort(np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1)), axis=1)[:, :5]
+    assert len(got) == len(X) and all(np.allclose([got[i][j + 1] for j in range(5)], D[i], rtol=1e-12, atol=1e-12) for i in range(len(X)))
+    curve = density.knn_curve(out, "id", 5).orderBy("position").collect()
+    assert [r.position for r in curve] == list(range(1, len(X) + 1)) and [r.kdist for r in curve] == sorted(r.kdist for r in curve)
+
+
+def test_an_outlier_does_not_make_all_pairs(spark):
+    """Points in one far corner: the leaves are cut by rank, so each stays small."""
+    rnd = np.random.default_rng(1)
+    X = np.vstack([rnd.normal(0, 1e-3, (3000, 2)), [[1e9, 1e9]]])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(X)], "id long, a double, b double")
+    pts, _ = density.collapse(df, "id", ["a", "b"])
+    sizes = density._leaves(pts, 2, 64).groupBy("node").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 64 and sizes.count() < 200
 
 
 def test_dbscan_follows_a_long_chain(spark):
     pts = spark.createDataFrame([(i, 0.4 * i) for i in range(140)], "id long, x double")
-    out = cluster.dbscan(pts, "id", ["x"], 0.5, 2)
+    out = density.dbscan(pts, "id", ["x"], 0.5, 2)
     assert {r.cluster for r in out.collect()} == {0}
 
 
 def test_knn_keeps_every_id(spark):
     two = spark.createDataFrame([(1, 0.0), (2, 5.0)], "id long, x double")
-    assert {(r.id, r.kdist) for r in cluster.knn_distances(two, "id", ["x"], k=3).collect()} == {(1, None), (2, None)}
+    assert {(r.id, r.dist) for r in density.knn(two, "id", ["x"], k=3).where("rank = 3").collect()} == {(1, None), (2, None)}
     odd = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 3.0), (4, None), (5, float("nan")), (6, float("inf"))], "id long, x double")
-    got = {r.id: r.kdist for r in cluster.knn_distances(odd, "id", ["x"], k=3).collect()}
+    got = {r.id: r.dist for r in density.knn(odd, "id", ["x"], k=3).where("rank = 3").collect()}
     assert got == {1: 3.0, 2: 2.0, 3: 3.0, 4: None, 5: None, 6: None}
 
 
 def test_knn_goes_on_until_far_points_are_settled(spark):
     far = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 1e12)], "id long, x double")
-    got = {r.id: r.kdist for r in cluster.knn_distances(far, "id", ["x"], k=3, radius=1.0).collect()}
+    got = {r.id: r.dist for r in density.knn(far, "id", ["x"], k=3).where("rank = 3").collect()}
     assert got == {1: 1e12, 2: 1e12 - 1, 3: 1e12}
 
 
@@ -77,20 +168,12 @@ def test_starting_centres_come_from_all_points(spark, monkeypatch):
     monkeypatch.setattr(kselect, "SAMPLE_ROWS", 100)
     rnd = np.random.default_rng(4)
     X = np.vstack([rnd.normal(0, 0.1, (4000, 2)), rnd.normal(500, 0.1, (3, 2)), rnd.normal(-500, 0.1, (3, 2))])
-    pts = spark.createDataFrame([(float(a), float(b)) for a, b in X], "a double, b double").localCheckpoint()
+    pts = spark.createDataFrame([(float(a), float(b)) for a, b in X], "a double, b double").cache()
     centres = kselect.fit_many(pts, ["a", "b"], [3], max_iter=1)[3]
     assert np.allclose(sorted(centres.round(0)[:, 0].tolist()), [-500, 0, 500], atol=1)
 
 
 def test_skipped_k_are_rows(spark):
-    pts = spark.createDataFrame([(0.0,), (1.0,), (9.0,)], "a double").localCheckpoint()
+    pts = spark.createDataFrame([(0.0,), (1.0,), (9.0,)], "a double").cache()
     rows = {r.k: (r.silhouette, r.inertia) for r in kselect.select_k(pts, ["a"], [2, 3, 5])[0].collect()}
     assert rows[2][0] is not None and rows[3] == rows[5] == (None, None)
-
-
-def test_registered_grid_has_the_trials_of_the_reference(monkeypatch):
-    from revlens.plans import catalog
-    monkeypatch.setattr(catalog, "_item_rfc_scaled", lambda spark, sf_dir: None)
-    monkeypatch.setattr(cluster, "dbscan_grid", lambda df, id_col, cols, eps, ms: (eps, ms))
-    eps, ms = catalog.QUERIES["item_dbscan_grid"](None, "")
-    assert np.allclose(eps, [0.3, 0.6, *np.linspace(3.1, 9.0, 30)], atol=1e-5) and list(ms) == [2, 3, 4, 5, 6]
