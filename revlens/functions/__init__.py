@@ -173,9 +173,8 @@ def null_where_equal(actual, predicted) -> Column:
 def attach_row(df, one_row):
     """Add the columns of a one-row frame (totals, parameters) to every row.
 
-    An equi-join on a constant key with the one-row side broadcast: a
-    broadcast hash join whose build side is a single row, never a cross
-    product.
+    Joined on a constant with the one-row side broadcast.  Catalyst folds the
+    constant away and plans a nested-loop join: one build row, so every row is met once.
     """
     key = "__one"
     return (df.withColumn(key, F.lit(1))

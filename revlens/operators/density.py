@@ -229,10 +229,11 @@ def _cell_links(core: DataFrame, near: DataFrame, trials: DataFrame, d: int) ->
         a = _side(pieces, "a", d, {"cell": "cell", "part": "na", "parent": "pa"})
         b = _side(pieces, "b", d, {"cell": "cell_b", "part": "nb", "parent": "pb"})
         next_ = todo.join(a, ["t", "cell", "pa"]).join(b, ["t", "cell_b", "pb"]).withColumn("state", state).where("state != 'apart'")
-        next_ = materialise(next_.select("t", "eps", "cell", "cell_b", "u", "v", F.col("na").alias("pa"), F.col("nb").alias("pb"), "state"))
-        found = next_.where("state = 'linked'").select("t", "u", "v").distinct()
-        links = links.unionByName(found)
-        todo = materialise(next_.where("state = 'open'").drop("state").join(found, ["t", "u", "v"], "left_anti"))
+        # one linked piece decides its pair of cells
+        done = F.max((F.col("state") == "linked").cast("int")).over(Window.partitionBy("t", "u", "v"))
+        next_ = materialise(next_.select("t", "eps", "cell", "cell_b", "u", "v", F.col("na").alias("pa"), F.col("nb").alias("pb"), done.alias("done")))
+        links = links.unionByName(next_.where("done = 1").select("t", "u", "v").distinct())
+        todo = next_.where("done = 0").drop("done")
     # what is still open are points closer together than halving can tell: compare them one by one
     part = F.array(*[F.floor(F.col(f"u{i}") * float(2**MAX_HALVINGS)).cast("long") for i in range(d)])
     at = core.withColumn("part", part)
@@ -276,7 +277,8 @@ def dbscan_trials(df: DataFrame, id_col: str, cols: list[str], trials: list[tupl
     reach = math.ceil(math.sqrt(d))
     offsets = [o for o in itertools.product(range(-reach, reach + 1), repeat=d)
                if any(o) and sum(max(abs(v) - 1, 0) ** 2 for v in o) <= d]
-    shifted = F.explode(F.array(*[F.array(*[F.col("cell")[i] + v for i, v in enumerate(o)]) for o in offsets]))
+    steps = ", ".join(f"array({', '.join(f'{v}L' for v in o)})" for o in offsets)
+    shifted = F.expr(f"explode(transform(array({steps}), o -> zip_with(cell, o, (a, b) -> a + b)))")
     near = materialise(cells.select("e", "cell", shifted.alias("cell_b"))
                        .join(cells.select("e", F.col("cell").alias("cell_b"), F.col("n").alias("n_b"), F.col("parts").alias("parts_b")), ["e", "cell_b"]))
     # rows within eps of the points of sparse cells: by cell where the cell is all core, by point elsewhere

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as RF
-from .ordered import exact_quantiles_multi
+from .cluster import materialise
+from .ordered import quantiles_of, value_counts as count_values
 
 
 
@@ -72,7 +73,7 @@ def top_n_plus_others(df: DataFrame, col: str, n: int = 15, other: str = "Others
     The top set (n rows) comes from a distributed top-N and is broadcast;
     the remainder is counted against it, so no global ranking runs.
     """
-    per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    per_value = materialise(df.groupBy(col).agg(F.count(F.lit(1)).alias("count")))  # one scan of the lines
     total = per_value.agg(F.sum("count").alias("_all"))
     named = per_value.where(F.col(col).isNotNull())
     top = named.orderBy(F.col("count").desc(), F.col(col).asc()).limit(n)
@@ -102,20 +103,24 @@ def item_features(df: DataFrame, key: str = "ArticleID") -> DataFrame:
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """AGG-17: count, mean, sample std, min, exact quartiles, max per column.
 
-    Quartiles are exact (linear interpolation) and computed with a
-    distributed sort, not a single-task percentile buffer.
+    The columns are scanned once, into the counts of their distinct values;
+    moments and exact quartiles (linear interpolation) come from those.  A column without
+    numbers is a row of nulls with count 0; NaN counts as null.
     """
-    q = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])
-    qs = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
-                                   for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
-    parts = []
-    for c in cols:
-        moments = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                         F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                         F.max(c).cast("double").alias("max"))
-        parts.append(moments)
-    return reduce(DataFrame.unionByName, parts).join(qs, "column", "left") \
-        .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    counts = count_values(df, cols)
+    v, n = F.col("value"), F.col("n")
+    mean = counts.groupBy("column").agg(F.sum("n").alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"),
+                                        F.min(v).alias("min"), F.max(v).alias("max"))
+    spread = (counts.join(F.broadcast(mean.select("column", "mean")), "column")  # one row per column
+              .groupBy("column").agg(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("_ss")))
+    quartiles = {}
+    for c, p, x in quantiles_of(counts, [0.25, 0.5, 0.75]):
+        quartiles.setdefault(c, []).append(x)
+    spark = df.sparkSession
+    qs = spark.createDataFrame([(c, *quartiles.get(c, [None] * 3)) for c in cols], "column string, q25 double, q50 double, q75 double")
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))
+    return (qs.join(mean, "column", "left").join(spread, "column", "left")
+            .select("column", F.coalesce("count", F.lit(0)).cast("long").alias("count"), "mean", std.alias("std"), "min", "q25", "q50", "q75", "max"))
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

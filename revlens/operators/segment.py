@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as RF
+from .cluster import materialise
 from .ordered import from_units, ordered_prefix, to_units
 
 
@@ -36,17 +37,17 @@ def sum_by_key(df: DataFrame, keys: list[str], value: str, alias: str | None = N
 def revenue_shares(df: DataFrame, keys: list[str], value: str = "NetRevenue",
                    share_name: str = "shareOfRevenue",
                    cumulative_name: str = "cumulatedShare",
-                   keep_count: bool = False) -> DataFrame:
+                   keep_count: bool = False, keep_total: bool = False) -> DataFrame:
     """AGG-3 + WIN-1: per-key sum, share of the total in percent and the
     running share in descending share order (ties broken by key).
 
     Output: keys, ``value`` (double), share, cumulative share, ``rank`` (1-based)
-    and, with ``keep_count``, ``n_keys``.  The running sum is a distributed
+    and, with ``keep_count``, ``n_keys``, with ``keep_total`` the grand ``total``.  The running sum is a distributed
     ordered prefix, not a global window.
     """
     # one pass over the lines: the null-key group only feeds the total, as the
-    # reference's denominator is the sum over all rows
-    per_key_all = df.groupBy(*keys).agg(F.sum(RF.money(value)).alias("_dec"))
+    # reference's denominator is the sum over all rows; written once for both
+    per_key_all = materialise(df.groupBy(*keys).agg(F.sum(RF.money(value)).alias("_dec")))
     total = per_key_all.agg(F.sum("_dec").alias("_total"))
     per_key = per_key_all.where(_not_null(keys)).withColumn("_units", to_units(F.col("_dec")))
     order = [F.col("_units").desc()] + [F.col(k).asc() for k in keys]
@@ -60,6 +61,7 @@ def revenue_shares(df: DataFrame, keys: list[str], value: str = "NetRevenue",
         (from_units(F.col("_prefix")).cast("double") / tot * 100).alias(cumulative_name),
         F.col("_rownum").alias("rank"),
         *([F.col("_n").alias("n_keys")] if keep_count else []),
+        *([F.col("_total").alias("total")] if keep_total else []),
     )
 
 

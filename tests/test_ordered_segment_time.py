@@ -157,3 +157,54 @@ def test_weekly_sum_fills_gaps_and_null_sums(spark):
     got = sorted(((r.k or "", r.week.isoformat(), r.v) for r in out.collect()))
     assert got == [("", "2020-01-06", 3.0), ("a", "2020-01-06", 1.0), ("a", "2020-01-13", 0.0), ("a", "2020-01-20", 0.0),
                    ("a", "2020-01-27", 0.0), ("b", "2020-01-06", 2.0)]
+
+
+def test_running_sums_beyond_64_bits_with_and_without_exchange_reuse(spark):
+    rows = [(f"c{i:03d}", 9.0e13 - i) for i in range(200)]
+    df = spark.createDataFrame(rows, "CustomerID string, NetRevenue double").repartition(6)
+    out = []
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            out.append([tuple(r) for r in segment.revenue_shares(df, ["CustomerID"], keep_total=True).orderBy("rank").collect()])
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+    assert out[0] == out[1]
+    total = sum(int(v) for _, v in rows)
+    assert int(out[0][0][-1]) == total
+    upto = 0
+    for row, (key, v) in zip(out[0], rows):
+        upto += int(v)
+        assert row[0] == key and abs(row[3] - upto / total * 100) < 1e-9
+
+
+def test_prefix_with_null_groups_and_empty_frames(spark):
+    df = spark.createDataFrame([("a", 1, 5), (None, 2, 7), (None, 1, None), ("a", 0, 2)], "g string, k long, v long")
+    got = {(r.g, r.k): (r._rownum, r._prefix, r._n) for r in ordered.ordered_prefix(df, [F.col("k").asc()], "v", 3, "g").collect()}
+    assert got == {("a", 0): (1, 2, 2), ("a", 1): (2, 7, 2), (None, 1): (1, 0, 2), (None, 2): (2, 7, 2)}
+    none = df.where("k > 99")
+    assert ordered.ordered_prefix(none, [F.col("k").asc()], "v").count() == 0
+    assert ordered.exact_quantiles_multi(none, ["k", "v"], [0.5]).count() == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.floats(allow_nan=False, width=64), st.sampled_from([0.0, -0.0, 1.0, 5e-324, 1.7e308, -1.7e308])), min_size=1, max_size=40))
+def test_ranks_of_any_doubles(spark, xs):
+    counts = ordered.value_counts(spark.createDataFrame([(x,) for x in xs] + [(None,), (float("nan"),)], "x double"), ["x"])
+    got = ordered.ranks_of(counts, {"x": list(range(len(xs)))})
+    assert [got["x", i] for i in range(len(xs))] == sorted(x + 0.0 for x in xs)
+
+
+def test_describe_reads_its_rows_once(spark, tmp_path):
+    from revlens.operators import explore
+    rnd = np.random.default_rng(2)
+    x = rnd.lognormal(0, 3, 4000)
+    df = spark.createDataFrame([(float(a), int(a) % 7, None) for a in x], "x double, y int, z double")
+    df.write.parquet(str(tmp_path / "t"))
+    got = {r.column: r for r in explore.describe(spark.read.parquet(str(tmp_path / "t")), ["x", "y", "z"]).collect()}
+    y = np.array([int(a) % 7 for a in x])
+    for c, v in (("x", x), ("y", y)):
+        r = got[c]
+        want = [len(v), v.mean(), v.std(ddof=1), v.min(), *np.percentile(v, [25, 50, 75]), v.max()]
+        assert np.allclose([r["count"], r["mean"], r["std"], r["min"], r["q25"], r["q50"], r["q75"], r["max"]], want, rtol=1e-12)
+    assert got["z"]["count"] == 0 and got["z"]["mean"] is None and got["z"]["q50"] is None
