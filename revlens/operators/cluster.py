@@ -7,17 +7,17 @@ numbers) lives on the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, FeatureHasher, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_ONE_HOT_LEVELS = 1000
-
-
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="skip").transform(df)
 
@@ -110,22 +110,57 @@ def cluster_centers(pred: DataFrame, cols: list[str], label: str = "cluster") ->
     return pred.groupBy(label).agg(*[F.avg(c).alias(c) for c in cols])
 
 
-def one_hot(df: DataFrame, cols: list[str], max_levels: int = MAX_ONE_HOT_LEVELS) -> DataFrame:
-    """ML-5: indicator columns ``<col>_<value>`` (no level dropped).
+def one_hot(df: DataFrame, cols: list[str]) -> DataFrame:
+    """ML-5: indicator columns ``<col>_<value>`` for columns whose values make sensible column names.
 
-    The level list is read with one distinct job per column and refused above
-    ``max_levels`` -- use :func:`feature_hash` for open-ended columns.
+    The levels become the frame's columns, so they are read first; for a column of
+    many values use :func:`one_hot_sparse` or :func:`one_hot_long`, which have no such list.
     """
     out = df
     for c in cols:
-        levels = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct()
-                  .orderBy(c).limit(max_levels + 1).collect()]
-        if len(levels) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels; use feature_hash")
+        levels = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
         out = out.withColumns({f"{c}_{v}": (F.col(c) == F.lit(v)).cast("int") for v in levels})
     return out
 
 
+def one_hot_levels(df: DataFrame, col: str) -> DataFrame:
+    """``<col>, level`` numbers of the values, from 0 in the order of the values; null is no level."""
+    from .ordered import ordered_prefix
+    ranked = ordered_prefix(df.select(col).where(F.col(col).isNotNull()).distinct(), [F.col(col).asc()])
+    return ranked.select(col, (F.col("_rownum") - 1).alias("level"))
+
+
+def one_hot_long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """ML-5 in long form: every row with ``feature`` (column) and ``level`` of each of its values; any number of levels."""
+    parts = []
+    for c in cols:
+        levels = one_hot_levels(df, c)
+        parts.append(df.join(levels, c).withColumn("feature", F.lit(c)).select(*df.columns, "feature", "level"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def one_hot_sparse(df: DataFrame, cols: list[str], out: str = "indicators") -> DataFrame:
+    """ML-5 as one sparse vector per row: the columns' levels side by side, nothing for a null.
+
+    Levels are numbered and joined, never collected; only their counts (one number per column) are.
+    """
+    at, found = 0, df.withColumn("_row", F.monotonically_increasing_id())
+    found = materialise(found)  # the row numbers are fixed
+    places = []
+    for c in cols:
+        levels = materialise(one_hot_levels(found, c))
+        places.append(found.select("_row", c).join(levels, c).select("_row", (F.col("level") + at).cast("int").alias("at")))
+        at += levels.count()
+    ones = reduce(DataFrame.unionByName, places).groupBy("_row").agg(F.sort_array(F.collect_list("at")).alias("_at"))
+    width = max(at, 1)
+
+    @F.udf(VectorUDT())
+    def vector(places):
+        return Vectors.sparse(width, places or [], [1.0] * len(places or []))
+
+    return found.join(ones, "_row", "left").withColumn(out, vector("_at")).drop("_row", "_at")
+
+
 def feature_hash(df: DataFrame, cols: list[str], buckets: int = 10, out: str = "hashed") -> DataFrame:
     """ML-6: signed hashing of categorical columns into ``buckets`` features,
     expanded to ``<out>_<i>`` columns."""
@@ -206,25 +241,7 @@ def random_forest_regression(train: DataFrame, test: DataFrame, features: list[s
 
 def grid_search_cv(samples: DataFrame, features: list[str], label: str, fold_col: str,
                    reg_params: list[float], elastic_net: list[float],
-                   intercepts: list[bool] = (True, False), parallelism: int = 4) -> DataFrame:
-    """ML-18: cross-validated grid search (RMSE) of a linear regressor on lag
-    features, folds given by ``fold_col`` (chronological blocks); returns the
-    ranked parameter table."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.regression import LinearRegression
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    spark = samples.sparkSession
-    lr = LinearRegression(featuresCol="features", labelCol=label)
-    grid = (ParamGridBuilder().addGrid(lr.regParam, list(reg_params))
-            .addGrid(lr.elasticNetParam, list(elastic_net)).addGrid(lr.fitIntercept, list(intercepts)).build())
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, foldCol=fold_col, parallelism=parallelism,
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"))
-    data = materialise(assemble(samples, features).withColumn(fold_col, F.col(fold_col).cast("int")))
-    model = cv.fit(data)
-    rows = []
-    for pm, score in zip(grid, model.avgMetrics):
-        vals = {p.name: v for p, v in pm.items()}
-        rows.append((float(vals["regParam"]), float(vals["elasticNetParam"]), bool(vals["fitIntercept"]),
-                     float(score)))
-    out = spark.createDataFrame(rows, "regParam double, elasticNetParam double, fitIntercept boolean, rmse double")
-    return out.withColumn("rank", F.dense_rank().over(Window.orderBy("rmse")))  # grid-sized
+                   intercepts: list[bool] = (True, False)) -> DataFrame:
+    """ML-18: walk-forward grid search (RMSE) of a penalised linear regressor; see :mod:`gram`."""
+    from . import gram
+    return gram.walk_forward_grid(samples, features, label, fold_col, reg_params, elastic_net, intercepts)

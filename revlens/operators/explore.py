@@ -18,6 +18,10 @@ from .ordered import quantiles_of, value_counts as count_values
 
 
 
+SAMPLE_DIGITS = 4
+SAMPLE_BUCKET = 100_000
+
+
 def top_n_by_sum(df: DataFrame, group: str, value: str, n: int = 10,
                  money: bool = True) -> DataFrame:
     """SRT-2: group sum, largest ``n`` (ties by group value)."""
@@ -39,12 +43,30 @@ def head(df: DataFrame, n: int = 5) -> DataFrame:
 def sample_exact_n(df: DataFrame, n: int, seed: int = 42, key: list[str] | None = None) -> DataFrame:
     """SRT-5: a repeatable uniform sample of exactly ``min(n, rows)`` rows.
 
-    Rows are ranked by a seeded hash of ``key`` (default: all columns) and
-    the ``n`` smallest kept -- a distributed top-N, not a driver shuffle.
+    Rows are ordered by ``md5("<seed>|<key columns>")`` (default: all columns; null is
+    an empty text) and the ``n`` smallest kept.  Counts by the digest's first digits find the
+    bucket in which the n-th row lies; smaller buckets are taken whole and only that one is
+    ranked, refined by more digits until at most ``SAMPLE_BUCKET`` rows are left, so no task merges n rows.  Rows that
+    agree in the key are taken in the order of all columns.
     """
-    cols = key or df.columns
-    h = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols])
-    return df.withColumn("_h", h).orderBy("_h", *cols).limit(n).drop("_h")
+    text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in key or df.columns]
+    hashed = df.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), *text)))
+    prefix, below, inside = "", 0, None
+    for digits in range(SAMPLE_DIGITS, 33, SAMPLE_DIGITS):
+        head_ = F.substring("_h", 1, digits)
+        sizes = hashed.where(F.col("_h").startswith(prefix)).groupBy(head_.alias("p")).agg(F.count(F.lit(1)).alias("c")).orderBy("p").collect()
+        for r in sizes:  # at most 16 ** SAMPLE_DIGITS
+            prefix, inside = r["p"], r["c"]
+            if below + inside >= n:
+                break
+            below += inside
+        else:
+            return hashed.drop("_h")
+        if inside <= SAMPLE_BUCKET:
+            break
+    whole = hashed.where(F.substring("_h", 1, len(prefix)) < prefix)
+    last = hashed.where(F.col("_h").startswith(prefix)).orderBy("_h", *[F.col(f"`{c}`") for c in df.columns]).limit(n - below)
+    return whole.unionByName(last).drop("_h")
 
 
 def argmax_best(scores: DataFrame, param: str, score: str) -> DataFrame:

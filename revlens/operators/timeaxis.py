@@ -118,9 +118,9 @@ def centered_moving_average(series: DataFrame, keys: list[str], value: str, peri
     offset windows (a 2 x period MA), null where the window is incomplete."""
     w = Window.partitionBy(*keys).orderBy(order)
     h = period // 2
-    # window sums are exact decimals, so the mean does not depend on the
-    # summation order of the engine
-    dec = RF.money(value)
+    # window sums are exact decimals (twelve places), so the mean does not
+    # depend on the summation order of the engine
+    dec = F.col(value).cast("decimal(38,12)")
 
     def mean(lo, hi):
         return F.sum(dec).over(w.rowsBetween(lo, hi)).cast("double") / period

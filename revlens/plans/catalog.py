@@ -735,6 +735,18 @@ def q_one_hot(spark, sf_dir):
     return cluster.one_hot(cu, ["IndustryGroup"])
 
 
+@register("one_hot_customers_long", """
+WITH l AS (SELECT c_name, dense_rank() OVER (ORDER BY c_name) - 1 AS level FROM (SELECT DISTINCT c_name FROM customer WHERE c_name IS NOT NULL)),
+m AS (SELECT c_mktsegment, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS level
+      FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL))
+SELECT c_custkey, c_name, c_mktsegment, 'c_name' AS feature, level FROM customer JOIN l USING (c_name)
+UNION ALL SELECT c_custkey, c_name, c_mktsegment, 'c_mktsegment', level FROM customer JOIN m USING (c_mktsegment)
+""")
+def q_one_hot_long(spark, sf_dir):
+    cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return cluster.one_hot_long(cu, ["c_name", "c_mktsegment"])
+
+
 @register("feature_hash_locations")
 def q_feature_hash(spark, sf_dir):
     s = sales(spark, sf_dir, ["OrderNumber", "ArticleID", "City", "ProductGroup", "ProductSubgroup",
@@ -762,9 +774,14 @@ def q_top10_item_rfc(spark, sf_dir):
     return explore.nlargest(rfc, "sumQuantity", 10, ["ProductSubgroup", "DistributionCenter"])
 
 
-@register("sample_1000_lines")
+@register("sample_1000_lines", with_sales("""
+SELECT OrderNumber, ArticleID, NetRevenue FROM sales
+ORDER BY md5('42|' || coalesce(OrderNumber, '') || '|' || coalesce(CAST(ArticleID AS VARCHAR), '')), OrderNumber, ArticleID, NetRevenue
+LIMIT 1000
+"""))
 def q_sample_lines(spark, sf_dir):
-    return explore.sample_exact_n(sales(spark, sf_dir, ["OrderNumber", "ArticleID", "NetRevenue"]), 1000, 42)
+    return explore.sample_exact_n(sales(spark, sf_dir, ["OrderNumber", "ArticleID", "NetRevenue"]), 1000, 42,
+                                  ["OrderNumber", "ArticleID"])
 
 
 # ---------------------------------------------------------------------------
@@ -862,10 +879,20 @@ def q_item_center_arima(spark, sf_dir):
     return jobs.forecast_items(s, ANALYSIS_YEAR, REFERENCE_DATE, 52, method="arima", center="Brandenburg")
 
 
-@register("exog_regression_by_center")
+# two regressors: the normal equations in closed form
+@register("exog_regression_by_center", with_sales(_weekly_sql(["DistributionCenter"]) + """
+, x AS (SELECT DistributionCenter, week, NetRevenue AS y, lag(NetRevenue) OVER (PARTITION BY DistributionCenter ORDER BY week) AS a,
+               Quantity AS b FROM series),
+m AS (SELECT DistributionCenter, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS aa, var_pop(b) AS bb,
+             covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb FROM x WHERE a IS NOT NULL GROUP BY ALL),
+wt AS (SELECT *, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM m)
+SELECT DistributionCenter, week, round(y, 2) AS NetRevenue, round(my + wa * (a - ma) + wb * (b - mb), 2) AS fitted
+FROM x JOIN wt USING (DistributionCenter) WHERE a IS NOT NULL
+"""))
 def q_exog(spark, sf_dir):
-    return forecast.exog_regression(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
-                                    "NetRevenue", ["Quantity"], p=1)
+    out = forecast.exog_regression(_weekly(spark, sf_dir, ["DistributionCenter"]), ["DistributionCenter"],
+                                   "NetRevenue", ["Quantity"], p=1)
+    return out.withColumns({c: F.round(c, 2) for c in ("NetRevenue", "fitted")})
 
 
 @register("customer_cluster_forecast")

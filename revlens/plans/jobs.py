@@ -193,7 +193,8 @@ def forecast_items(df: DataFrame, year: int, reference_date: str, horizon: int =
 
 def publish_forecasts(spark, lstm_csv_glob: str, items_glob: str, products_glob: str,
                       database: str | None = None) -> dict:
-    """JOB-8: forecast file sets -> cleaned frames -> catalog tables."""
+    """JOB-8: forecast file sets -> cleaned frames -> catalog tables; workbooks
+    that cannot be read are listed in the table ``predictions_unreadable``."""
     from ..sinks import publish_table
     from ..sources import files
     out = {}
@@ -204,20 +205,29 @@ def publish_forecasts(spark, lstm_csv_glob: str, items_glob: str, products_glob:
     prod = files.read_forecast_workbooks(spark, products_glob, files.PRODUCT_COLUMNS, extract_item_type=True)
     out["predictions_LSTM_Items_SpecificProducts"] = publish_table(
         prod, "predictions_LSTM_Items_SpecificProducts", database)
+    bad = files.unreadable_workbooks(spark, items_glob).unionByName(files.unreadable_workbooks(spark, products_glob))
+    out["predictions_unreadable"] = publish_table(bad, "predictions_unreadable", database)
     return out
 
 
 def run_all(spark, invoices, customers, postal_ref, year: int, reference_date: str,
-            stage_dir: str, horizon: int = 52) -> dict:
-    """JOB-9: prepare -> both forecasts, each written as a parquet stage."""
+            stage_dir: str, horizon: int = 52, publish: dict | None = None, database: str | None = None) -> dict:
+    """JOB-9: prepare -> both forecasts, each written as a parquet stage and read back -> publish.
+
+    ``publish`` names the forecast file sets (``lstm_csv_glob``, ``items_glob``, ``products_glob``); their
+    catalog tables are the result's ``published``.  Without it the last step is left out.
+    """
+    root = stage_dir.rstrip("/")
     sales = prepare_sales(invoices, customers, postal_ref, stage_dir)
-    path = f"{stage_dir.rstrip('/')}/cleaned"
-    sales.write.mode("overwrite").parquet(path)
-    sales = spark.read.parquet(path)
-    res = {"customers": forecast_customers(sales, year, reference_date, horizon),
-           "items": forecast_items(sales, year, reference_date, horizon)}
-    for name, frame in res.items():
-        frame.write.mode("overwrite").parquet(f"{stage_dir.rstrip('/')}/forecast_{name}")
+    sales.write.mode("overwrite").parquet(f"{root}/cleaned")
+    sales = spark.read.parquet(f"{root}/cleaned")
+    res = {}
+    for name, frame in (("customers", forecast_customers(sales, year, reference_date, horizon)),
+                        ("items", forecast_items(sales, year, reference_date, horizon))):
+        frame.write.mode("overwrite").parquet(f"{root}/forecast_{name}")
+        res[name] = spark.read.parquet(f"{root}/forecast_{name}")
+    if publish is not None:
+        res["published"] = publish_forecasts(spark, publish["lstm_csv_glob"], publish["items_glob"], publish["products_glob"], database)
     return res
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -16,10 +18,32 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 def publish_table(df: DataFrame, table: str, database: str | None = None,
                   preview: int = 5) -> DataFrame:
-    """SNK-2/3: replace a catalog table and return its first ``preview`` rows."""
-    name = f"{database}.{table}" if database else table
-    df.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name).limit(preview)
+    """SNK-2/3: replace a catalog table and return its first ``preview`` rows.
+
+    The rows are written to a table of another name first and take the old table's
+    place by renaming, so a publish that fails leaves the old table as it was (``df`` may
+    even read it).
+    """
+    spark = df.sparkSession
+    prefix = f"{database}." if database else ""
+    name, mark = prefix + table, uuid.uuid4().hex
+    staged, old = f"{prefix}{table}__new_{mark}", f"{prefix}{table}__old_{mark}"
+    try:
+        df.write.saveAsTable(staged)
+        known = spark.catalog.tableExists(name)
+        if known:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        except Exception:
+            if known:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return spark.table(name).limit(preview)
 
 
 def write_csv_export(df: DataFrame, path: str, sep: str = ";") -> str:

@@ -189,8 +189,11 @@ def test_publish_forecasts_job(spark):
     open(f"{d}/items/2024predictionsBayern.xlsx", "wb").write(_xlsx([hdr, [45292, 3, None, None, None]]))
     open(f"{d}/products/2024predictionsNailsNordrhein-Westfalen.xlsx", "wb").write(
         _xlsx([hdr, [45292, 1, None, None, 2]]))
+    open(f"{d}/items/2023predictionsBroken.xlsx", "wb").write(b"no workbook")
     out = jobs.publish_forecasts(spark, f"{d}/lstm/*.csv", f"{d}/items/*.xlsx", f"{d}/products/*.xlsx")
-    assert set(out) == {"predictions_LSTM", "predictions_LSTM_Items", "predictions_LSTM_Items_SpecificProducts"}
+    assert set(out) == {"predictions_LSTM", "predictions_LSTM_Items", "predictions_LSTM_Items_SpecificProducts", "predictions_unreadable"}
+    bad = spark.table("predictions_unreadable").collect()
+    assert len(bad) == 1 and bad[0].path.endswith("2023predictionsBroken.xlsx")
     lstm = {(r.Cluster, r.Revenue) for r in spark.table("predictions_LSTM").collect()}
     assert lstm == {("1", 5.0), ("3", None)}
     prod = spark.table("predictions_LSTM_Items_SpecificProducts").first()
@@ -203,10 +206,19 @@ def test_run_all_on_table_derived_raw_data(spark):
     from conftest import SF_SMALL
     inv, cust, ref = catalog._tpch_raw(spark, SF_SMALL)
     stage = tempfile.mkdtemp(prefix="revlens-stage-")
-    res = jobs.run_all(spark, inv, cust, ref, catalog.ANALYSIS_YEAR, catalog.REFERENCE_DATE, stage, horizon=4)
+    for sub in ("lstm", "items", "products"):
+        os.makedirs(f"{stage}/{sub}")
+    open(f"{stage}/lstm/aCluster1.csv", "w").write("Date,Revenue,Train,Test,Predict\n2024-01-01,5.0,,,6.0\n")
+    book = _xlsx([["Date", "Quantity", "Train", "Test", "Predict"], [45292, 3, None, None, None]])
+    open(f"{stage}/items/predictionsBayern.xlsx", "wb").write(book)
+    open(f"{stage}/products/predictionsNailsBayern.xlsx", "wb").write(book)
+    res = jobs.run_all(spark, inv, cust, ref, catalog.ANALYSIS_YEAR, catalog.REFERENCE_DATE, stage, horizon=4,
+                       publish={"lstm_csv_glob": f"{stage}/lstm/*.csv", "items_glob": f"{stage}/items/*.xlsx",
+                                "products_glob": f"{stage}/products/*.xlsx"})
     cust_fc = spark.read.parquet(f"{stage}/forecast_customers")
     items_fc = spark.read.parquet(f"{stage}/forecast_items")
-    assert set(res) == {"customers", "items"}
+    assert set(res) == {"customers", "items", "published"}
+    assert spark.table("predictions_LSTM_Items").first().Location == "Bayern" and spark.table("predictions_unreadable").count() == 0
     assert {"cluster", "Date", "Revenue", "Train", "Test", "Predict"} <= set(cust_fc.columns)
     # every cluster gets exactly 4 future weeks
     fut = cust_fc.where("Predict IS NOT NULL").groupBy("cluster").count().collect()
