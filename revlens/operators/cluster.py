@@ -1,7 +1,7 @@
 """Clustering and feature encodings on Spark ML (ML-5..13).
 
-k-means, silhouette and PCA run as distributed MLlib jobs over cached
-feature vectors; only the loop over candidate k values (a handful of
+k-means, silhouette and PCA run as distributed MLlib jobs over written
+feature vectors; only the list of candidate k values (a handful of
 numbers) lives on the driver.
 """
 
@@ -14,12 +14,20 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, FeatureHasher, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+def complete(cols: list[str]) -> Column:
+    """Whether a row has a number in every column."""
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return ok
+
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="skip").transform(df)
+    """The complete rows with their feature vector; what becomes of the others is the caller's to say."""
+    return VectorAssembler(inputCols=cols, outputCol=out).transform(df.where(complete(cols)))
 
 
 def kmeans_fit(vectors: DataFrame, k: int, seed: int = 45, init: str = "k-means||",
@@ -39,53 +47,45 @@ def silhouette(predictions: DataFrame, features: str = "features",
 
 
 def select_k(vectors: DataFrame, ks: list[int], seed: int = 45, init: str = "k-means||",
-             features: str = "features", max_iter: int = 100, parallelism: int = 1) -> DataFrame:
-    """ML-9 + ML-10: (k, silhouette, inertia) for every candidate k.
-
-    ``vectors`` should be materialised (see :func:`materialise`).  Every fit
-    is a distributed MLlib job; up to ``parallelism`` candidate k run as
-    concurrent jobs (as ``CrossValidator(parallelism=...)`` does), and only
-    the list of scores returns to the driver.
+             features: str = "features", max_iter: int = 100, parallelism: int = 4) -> tuple[DataFrame, dict]:
+    """ML-9 + ML-10: ``k, silhouette, inertia, converged`` for every candidate k, and the fitted models.
+
+    ``vectors`` should be materialised (see :func:`materialise`).  Every fit is a
+    distributed MLlib job, started from all points; up to ``parallelism`` candidates run as
+    concurrent jobs (as ``CrossValidator(parallelism=...)`` does).  A k that is not smaller than the number
+    of points is a row of nulls, a model that leaves one cluster has no silhouette;
+    ``converged`` is false where ``max_iter`` ended the fit.
     """
     from concurrent.futures import ThreadPoolExecutor
-    spark = vectors.sparkSession
-    data = vectors.select(features)
+    data = vectors.select(features).persist()
     n = data.count()
 
     def score(k):
+        if k >= n:
+            return (k, None, None, None), None
         model = kmeans_fit(data, k, seed, init, features=features, max_iter=max_iter)
-        pred = model.transform(data)
-        return (k, silhouette(pred, features), float(model.summary.trainingCost))
-
-    todo = [k for k in ks if k < n]
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(todo) or 1))) as pool:
-        rows = list(pool.map(score, todo))
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType()),
-                           T.StructField("inertia", T.DoubleType())])
-    return spark.createDataFrame(rows, schema)
+        summary = model.summary
+        filled = sum(1 for size in summary.clusterSizes if size)
+        quality = silhouette(model.transform(data), features) if filled > 1 else None
+        return (k, quality, float(summary.trainingCost), summary.numIter < max_iter), model
 
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks) or 1))) as pool:
+        found = list(pool.map(score, ks))
+    data.unpersist()
+    scores = vectors.sparkSession.createDataFrame([row for row, _ in found], "k int, silhouette double, inertia double, converged boolean")
+    return scores, {row[0]: model for row, model in found if model is not None}
 
-ROWS_PER_PARTITION = 1_000_000
 
-
-def materialise(df: DataFrame, rows_per_partition: int | None = None) -> DataFrame:
+def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the checkpoint folder and cut its lineage.
 
     Iterative jobs (k-means over several k) then read the saved rows instead
     of recomputing the whole upstream plan, and a lost executor does not
-    force a recomputation from the raw tables.  With ``rows_per_partition``
-    the saved rows are read back in ``ceil(rows / rows_per_partition)``
-    partitions (a narrow coalesce): each of the many small jobs of an
-    iterative fit then has as many tasks as the data needs, no more.
+    force a recomputation from the raw tables.
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    saved = df.checkpoint(eager=True)
-    if rows_per_partition:
-        want = max(1, -(-saved.count() // rows_per_partition))
-        if want < saved.rdd.getNumPartitions():
-            saved = saved.coalesce(want)
-    return saved
+    return df.checkpoint(eager=True)
 
 
 def best_k(scores: DataFrame) -> int:
@@ -171,13 +171,17 @@ def feature_hash(df: DataFrame, cols: list[str], buckets: int = 10, out: str = "
 
 
 def pca(df: DataFrame, cols: list[str], k: int) -> tuple[DataFrame, list[float]]:
-    """ML-12: centred PCA -> (frame with ``pc_1..pc_k``, explained variance ratios)."""
+    """ML-12: centred PCA -> (frame with ``pc_1..pc_k``, explained variance ratios).
+
+    Rows without all numbers stay, with null components, and are not learnt from.
+    """
     v = assemble(df, cols, "_raw")
     centred = StandardScaler(inputCol="_raw", outputCol="_c", withMean=True, withStd=False).fit(v).transform(v)
     model = PCA(k=k, inputCol="_c", outputCol="_pc").fit(centred)
     arr = vector_to_array("_pc")
-    out = model.transform(centred).withColumns({f"pc_{i + 1}": arr[i] for i in range(k)})
-    return out.drop("_raw", "_c", "_pc"), [float(x) for x in model.explainedVariance]
+    out = model.transform(centred).withColumns({f"pc_{i + 1}": arr[i] for i in range(k)}).drop("_raw", "_c", "_pc")
+    rest = df.where(~complete(cols)).withColumns({f"pc_{i + 1}": F.lit(None).cast("double") for i in range(k)})
+    return out.unionByName(rest), [float(x) for x in model.explainedVariance]
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -194,19 +198,15 @@ def segment(features: DataFrame, key: list[str], cols: list[str], ks: list[int],
     """Cluster rows of ``features`` on the (already scaled) ``cols``:
     k by silhouette, the best k's model, stable 1-based labels.
 
-    All candidate k are fitted together (one data pass per iteration, see
-    :mod:`kselect`) over the features written once to the checkpoint folder.
-    Returns (assignments with key + cols + cluster, score table)."""
-    from . import kselect
-    ok = F.lit(True)
-    for c in cols:
-        ok = ok & F.col(c).isNotNull() & ~F.isnan(c)
-    pts = materialise(features.select(*key, *[F.col(c).cast("double") for c in cols]).where(ok),
-                      ROWS_PER_PARTITION)
-    scores, centres = kselect.select_k(pts, cols, ks, seed)
-    k = best_k(scores)
-    pred = kselect.assign(pts, cols, centres[k])
-    return relabel_by(pred, value), scores
+    Rows without all numbers are not clustered and have a null label.  Returns (assignments
+    with key + cols + cluster, score table)."""
+    rows = materialise(features.select(*key, *[F.col(c).cast("double").alias(c) for c in cols]))
+    vectors = assemble(rows, cols)
+    scores, models = select_k(vectors, ks, seed)
+    pred = models[best_k(scores)].transform(vectors).drop("features")
+    labelled = relabel_by(pred, value)
+    rest = rows.where(~complete(cols)).withColumn("cluster", F.lit(None).cast("int"))
+    return labelled.unionByName(rest), scores
 
 
 # ---------------------------------------------------------------------------
@@ -225,18 +225,21 @@ def param_grid(spark, **axes) -> DataFrame:
 
 def random_forest_regression(train: DataFrame, test: DataFrame, features: list[str], label: str,
                              trees: int = 100, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """ML-17: random forest fitted on ``train``; returns (test predictions,
-    RMSE per split)."""
+    """ML-17: random forest fitted on the complete rows of ``train``; returns (test predictions, null for
+    rows without all features; ``split, rmse, n, incomplete`` of both splits from one pass)."""
     from pyspark.ml.regression import RandomForestRegressor
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, seed=seed)
-    model = rf.fit(assemble(train, features))
-    parts = []
-    for name, frame in (("train", train), ("test", test)):
-        pred = model.transform(assemble(frame, features))
-        e = F.col("prediction") - F.col(label)
-        parts.append(pred.agg(F.lit(name).alias("split"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                              F.count(F.lit(1)).alias("n")))
-    return model.transform(assemble(test, features)).drop("features"), parts[0].unionByName(parts[1])
+    rows = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    usable = [*features, label]
+    model = rf.fit(assemble(train.where(complete([label])), features))
+    e = F.col("prediction") - F.col(label)
+    errors = model.transform(assemble(rows.where(complete([label])), features)).groupBy("split").agg(
+        F.sqrt(F.avg(e * e)).alias("rmse"), F.count(F.lit(1)).alias("n"))
+    left = rows.groupBy("split").agg(F.sum((~complete(usable)).cast("long")).alias("incomplete"))
+    scores = left.join(errors, "split", "left").select("split", "rmse", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "incomplete")
+    predicted = model.transform(assemble(test, features)).drop("features")
+    rest = test.where(~complete(features)).withColumn("prediction", F.lit(None).cast("double"))
+    return predicted.unionByName(rest), scores
 
 
 def grid_search_cv(samples: DataFrame, features: list[str], label: str, fold_col: str,

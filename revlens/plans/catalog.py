@@ -814,14 +814,23 @@ def q_cluster_centers(spark, sf_dir):
     return cluster.cluster_centers(seg, _RFM).join(explore.cluster_size(seg), "cluster")
 
 
+def _embedding_pca(spark, sf_dir):
+    """All dimensions of the longest vector; null and shorter vectors have no components."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    n = emb.agg(F.max(F.size("embedding"))).first()[0] or 0
+    wide = emb.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(n)])
+    return cluster.pca(wide, [f"e{i}" for i in range(n)], 2)
+
+
 @register("embedding_pca")
 def q_embedding_pca(spark, sf_dir):
-    from pyspark.ml.functions import array_to_vector  # noqa: F401
-    emb = read_table(spark, sf_dir, "embeddings")
-    n = len(emb.select("embedding").first()[0])
-    wide = emb.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(n)])
-    out, _ = cluster.pca(wide, [f"e{i}" for i in range(n)], 2)
-    return out.select("vec_id", "pc_1", "pc_2")
+    return _embedding_pca(spark, sf_dir)[0].select("vec_id", "pc_1", "pc_2")
+
+
+@register("embedding_pca_variance")
+def q_embedding_pca_variance(spark, sf_dir):
+    ratios = _embedding_pca(spark, sf_dir)[1]
+    return spark.createDataFrame([(i + 1, x) for i, x in enumerate(ratios)], "component int, explained_variance double")
 
 
 # ---------------------------------------------------------------------------

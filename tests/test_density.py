@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from revlens.operators import cluster, density, kselect
+from revlens.operators import cluster, density
 
 
 def _brute_dbscan(X, eps, ms):
@@ -164,16 +164,52 @@ def test_knn_goes_on_until_far_points_are_settled(spark):
     assert got == {1: 1e12, 2: 1e12 - 1, 3: 1e12}
 
 
-def test_starting_centres_come_from_all_points(spark, monkeypatch):
-    monkeypatch.setattr(kselect, "SAMPLE_ROWS", 100)
+def test_starting_centres_come_from_all_points(spark):
     rnd = np.random.default_rng(4)
     X = np.vstack([rnd.normal(0, 0.1, (4000, 2)), rnd.normal(500, 0.1, (3, 2)), rnd.normal(-500, 0.1, (3, 2))])
-    pts = spark.createDataFrame([(float(a), float(b)) for a, b in X], "a double, b double").cache()
-    centres = kselect.fit_many(pts, ["a", "b"], [3], max_iter=1)[3]
-    assert np.allclose(sorted(centres.round(0)[:, 0].tolist()), [-500, 0, 500], atol=1)
+    pts = cluster.assemble(spark.createDataFrame([(float(a), float(b)) for a, b in X], "a double, b double"), ["a", "b"])
+    model = cluster.select_k(pts, [3])[1][3]
+    assert np.allclose(sorted(c[0].round() for c in model.clusterCenters()), [-500, 0, 500], atol=1)
 
 
 def test_skipped_k_are_rows(spark):
-    pts = spark.createDataFrame([(0.0,), (1.0,), (9.0,)], "a double").cache()
-    rows = {r.k: (r.silhouette, r.inertia) for r in kselect.select_k(pts, ["a"], [2, 3, 5])[0].collect()}
-    assert rows[2][0] is not None and rows[3] == rows[5] == (None, None)
+    pts = cluster.assemble(spark.createDataFrame([(0.0,), (1.0,), (9.0,)], "a double"), ["a"])
+    rows = {r.k: (r.silhouette, r.inertia, r.converged) for r in cluster.select_k(pts, [2, 3, 5])[0].collect()}
+    assert rows[2][0] is not None and rows[2][2] and rows[3] == rows[5] == (None, None, None)
+
+
+def test_one_value_has_no_silhouette(spark):
+    pts = cluster.assemble(spark.createDataFrame([(4.0,)] * 9, "a double"), ["a"])
+    row = cluster.select_k(pts, [2])[0].first()
+    assert row.silhouette is None and row.inertia == 0.0
+
+
+def test_segments_are_nearest_centres_and_keep_every_row(spark):
+    rnd = np.random.default_rng(8)
+    X = np.vstack([rnd.normal(c, 0.3, (30, 2)) for c in (0, 4, 9)])
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(X)] + [(500, None, 1.0), (501, float("nan"), 1.0)]
+    out, scores = cluster.segment(spark.createDataFrame(rows, "id long, a double, b double"), ["id"], ["a", "b"], [2, 3, 4, 5, 200], 1, "a")
+    got = {r.id: r for r in out.collect()}
+    assert len(got) == 92 and got[500].cluster is None and got[501].cluster is None
+    s = {r.k: r for r in scores.collect()}
+    assert cluster.best_k(scores) == 3 and s[200].silhouette is None
+    lab = np.array([got[i].cluster for i in range(90)])
+    centres = {c: X[lab == c].mean(0) for c in set(lab)}
+    assert sorted(centres, key=lambda c: -centres[c][0]) == [1, 2, 3]  # by descending value
+    for i, x in enumerate(X):
+        assert lab[i] == min(centres, key=lambda c: ((x - centres[c]) ** 2).sum())
+    assert abs(sum(((x - centres[c]) ** 2).sum() for x, c in zip(X, lab)) - s[3].inertia) < 1e-6
+    sizes = {r.cluster: r["size"] for r in __import__("revlens.operators.explore", fromlist=["x"]).cluster_size(out.where("cluster IS NOT NULL")).collect()}
+    assert sizes == {1: 30, 2: 30, 3: 30}
+
+
+def test_rows_without_numbers_stay_in_pca_and_forest(spark):
+    rnd = np.random.default_rng(2)
+    rows = [(i, *map(float, rnd.normal(size=3))) for i in range(40)] + [(90, None, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    out, variance = cluster.pca(df, ["a", "b"], 2)
+    got = {r.id: (r.pc_1, r.pc_2) for r in out.collect()}
+    assert len(got) == 41 and got[90] == (None, None) and abs(sum(variance) - 1) < 1e-9
+    pred, errors = cluster.random_forest_regression(df.where("id < 30"), df.where("id >= 30"), ["a", "b"], "y", trees=3)
+    assert {r.split: (r.n, r.incomplete) for r in errors.collect()} == {"train": (30, 0), "test": (10, 1)}
+    assert {r.id: r.prediction for r in pred.collect()}[90] is None and pred.count() == 11
