@@ -22,9 +22,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
+    release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what has been written.
+
+    It deletes them when the driver collects the garbage that still points to them; by itself
+    that may not happen during a whole job of many written steps.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 ID_BITS = 21
 
 
