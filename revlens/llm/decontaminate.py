@@ -65,7 +65,9 @@ def _slot(values: np.ndarray, cls, perm) -> np.ndarray:
 
 
 def item_tables(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Signature keys ``(key, item_id, cls)`` and distinct shingles ``(shingle, item_id, size)``.
+    """Signature keys ``(key, item, cls)`` and distinct shingles ``(shingle, item, item_id, size)``.
+
+    ``item`` stands for one id with one set of shingles: texts that share an id stay apart.
 
     ``cls`` is the size class, or for a direct item the negative number of words in its shingles.
     """
@@ -94,10 +96,11 @@ def item_tables(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     items = stage(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
                   .mapInArrow(run, "item_id long, cls int, keys array<long>, shingles array<long>"), "benchmark-items")
-    # equal items (same id, same text) count once
-    return (items.select("item_id", "cls", F.explode("keys").alias("key")).distinct(),
-            items.groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_list("shingles"))).alias("s"))
-            .select("item_id", F.size("s").alias("size"), F.explode("s").alias("shingle")))
+    items = items.withColumn("item", F.xxhash64("item_id", "shingles"))
+    # equal items (same id, same shingles) count once
+    return (items.select("item", "cls", F.explode("keys").alias("key")).distinct(),
+            items.groupBy("item").agg(F.first("item_id").alias("item_id"), F.first("shingles").alias("s"))
+            .select("item", "item_id", F.size("s").alias("size"), F.explode("s").alias("shingle")))
 
 
 def _bitmap(df: DataFrame, col: str, bits: int) -> np.ndarray:
@@ -201,12 +204,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: int = 80) -> DataFra
     sent = spark.sparkContext.broadcast((classes, _bitmap(sigs, "key", BITMAP_BITS), _bitmap(shingles, "shingle", BITMAP_BITS)))
     probe = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
                   .mapInArrow(_probe(sent), "doc_id long, keys array<long>, shingles array<long>"), "benchmark-probe")
-    pairs = (probe.select("doc_id", F.explode("keys").alias("key")).join(sigs.select("key", "item_id"), "key")
-             .select("doc_id", "item_id").distinct())
+    pairs = (probe.select("doc_id", F.explode("keys").alias("key")).join(sigs.select("key", "item"), "key")
+             .select("doc_id", "item").distinct())
     held = (probe.select("doc_id", F.explode("shingles").alias("shingle")).distinct()
-            .join(shingles, "shingle").groupBy("doc_id", "item_id", "size").agg(F.count("*").alias("n_found"))
+            .join(shingles, "shingle").groupBy("doc_id", "item", "item_id", "size").agg(F.count("*").alias("n_found"))
             .where(100 * F.col("n_found") >= threshold * F.col("size")))
-    return held.join(pairs, ["doc_id", "item_id"], "left_semi").select(
+    return held.join(pairs, ["doc_id", "item"], "left_semi").select(
         "doc_id", "item_id", F.col("size").cast("long").alias("n_item"), "n_found",
         (F.col("n_found") / F.col("size")).alias("containment"))
 

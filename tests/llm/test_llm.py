@@ -237,6 +237,14 @@ def test_leaks_match_brute_force(spark):
     assert got == {(d, k) for d, t in texts for k, u in items if sh(u) and 100 * len(sh(t) & sh(u)) >= 80 * len(sh(u))} and (1, 0) in got
 
 
+def test_items_that_share_an_id_are_matched_one_by_one(spark):
+    a, b = words(61, 30), words(62, 30)
+    items = spark.createDataFrame([(1, a), (1, b), (1, a.upper()), (2, a)], "item_id long, text string")
+    docs = frame(spark, [(1, words(63, 200) + " " + a + " " + words(64, 100) + " " + b), (2, b), (3, words(65, 90))])
+    rows = sorted((r.doc_id, r.item_id, r.n_item, r.n_found) for r in decontaminate.leaks(docs, items).collect())
+    assert rows == [(1, 1, 26, 26), (1, 1, 26, 26), (1, 2, 26, 26), (2, 1, 26, 26)]
+
+
 def test_short_items_are_found_in_long_documents(spark):
     items = [(100 * n + i, words(5000 + 100 * n + i, n)) for n in range(1, 13) for i in range(1 if n < 3 else 40)]
     text = lambda seed, own: " ".join(
