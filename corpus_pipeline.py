@@ -59,8 +59,8 @@ STAGES = [
     ("mix_sources", mix_sources),
 ]
 
-# No stage but the last counts could be said in SQL (a learned model, rolling
-# hashes); tests/llm compares the stages with brute force instead.
+# A learned model and rolling hashes have no SQL.  The operators are tested one by one
+# in tests/llm; a brute-force test of the whole chain is still missing.
 ORACLE_SQL = None
 
 
