@@ -150,6 +150,47 @@ def test_toxicity_learns_and_scores_edges(spark):
     assert nothing == 0
 
 
+def test_ftrl_equals_a_plain_loop():
+    rng = np.random.default_rng(4)
+    xs = [np.unique(rng.integers(0, 64, 8)) for _ in range(60)]
+    ys = [float(rng.random() < 0.3) for _ in xs]
+    setting = toxicity.Setting(alpha=1.5, l1=0.5, positive=2)
+    z, n = dict.fromkeys(range(65), 0.0), dict.fromkeys(range(65), 0.0)
+
+    def weight(i):
+        l1 = 0.0 if i == 64 else 0.5
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - (l1 if z[i] > 0 else -l1)) / ((1.0 + n[i] ** 0.5) / 1.5 + 0.01)
+
+    for _ in range(4):
+        for x, y in zip(xs, ys):
+            at = [*map(int, x), 64]
+            w = {i: weight(i) for i in at}
+            g = (1 / (1 + np.exp(-sum(w.values()))) - y) * (2 if y else 1)
+            for i in at:
+                step = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 1.5
+                n[i] += g * g
+                z[i] += g - step * w[i]
+    np.testing.assert_allclose(toxicity.ftrl(xs, ys, 6, setting), [weight(i) for i in range(65)], atol=1e-9)
+
+
+def test_toxicity_catches_held_out_rows(spark):
+    """Ten insults, one to three in a text of 40 to 160 words."""
+    rng = np.random.default_rng(8)
+    rows, truth = [], {}
+    for i in range(3000):
+        text = list(rng.choice(WORDS, rng.integers(40, 160)))
+        truth[i] = i % 8 == 0
+        for _ in range(rng.integers(1, 4) if truth[i] else 0):
+            text.insert(rng.integers(0, len(text)), f"insult{rng.integers(0, 10)}")
+        rows.append((i, " ".join(text)))
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, int(t)) for i, t in truth.items()], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, usable=F.col("doc_id") % 5 != 0)
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.score(docs, model).where("doc_id % 5 = 0").collect()}
+    assert np.mean([got[i] for i in got if truth[i]]) >= 0.95
+    assert np.mean([got[i] for i in got if not truth[i]]) <= 0.01
+
+
 def test_rule_counts(spark):
     line = "a b c d e f g h i"
     texts = [(1, f"{line}\n{line}\n## x|"), (2, None), (3, "\n \n"), (4, words(3, 50)), (5, "é " * 20)]
