@@ -21,9 +21,11 @@ columns pass through.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
@@ -34,6 +36,7 @@ RADIUS = 3
 MIN_WORDS = 20
 # Runs of one repeated word have no smallest hash: cut them at this many words.
 MAX_WORDS = 16
+FILTER_BITS = 1 << 25
 _WHOLE = np.uint64(0xA0761D6478BD642F)  # tells whole texts from pairs
 
 
@@ -131,6 +134,26 @@ def chunks(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS) ->
         run, "doc_id long, seq int, start int, end int, words int, words2 int, pair long")
 
 
+@contextmanager
+def _runtime_filter(spark: SparkSession):
+    """Let Spark filter the chunks by a Bloom filter of the repeated pairs before it shuffles them.
+
+    The filter has ``FILTER_BITS`` bits whatever the input; where the repeats outgrow it, it lets
+    more rows pass and the join behind it stays exact.
+    """
+    name = "spark.sql.optimizer.runtime.bloomFilter."
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": str(1 << 60),
+              "numBits": str(FILTER_BITS), "expectedNumItems": str(FILTER_BITS // 8)}
+    before = {k: spark.conf.get(name + k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(name + k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(name + k, v)
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS) -> DataFrame:
     """Rows ``doc_id, first_doc_id, start, end, n_words, n_chunks`` for every repeated passage.
 
@@ -138,9 +161,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, radius: int =
     is the smallest document that holds the passage's first chunk pair.
     """
     c = stage(chunks(docs.where("doc_id IS NOT NULL"), min_words, radius), "substring-chunks")
-    firsts = (c.groupBy("pair").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-              .where("first_doc < last_doc").select("pair", "first_doc"))
-    hit = c.join(firsts, "pair").where("first_doc < doc_id").drop("pair")
+    firsts = stage(c.groupBy("pair").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+                   .where("first_doc < last_doc"), "substring-firsts").where("first_doc < last_doc")
+    with _runtime_filter(docs.sparkSession):
+        hit = stage(c.join(firsts.drop("last_doc"), "pair").where("first_doc < doc_id").drop("pair"), "substring-hits")
     per_doc = hit.groupBy("doc_id").agg(F.sort_array(F.collect_list(
         F.struct("seq", "first_doc", "start", "end", "words", "words2"))).alias("hits"))
     return per_doc.mapInArrow(_runs(min_words), "doc_id long, first_doc_id long, start int, end int, n_words int, n_chunks int")
