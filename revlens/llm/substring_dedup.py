@@ -9,7 +9,9 @@ or two and the following chunks keep their digests.
 A single short chunk may repeat by chance.  A chunk is a repeat when its
 digest together with a neighbour's (the pair digest) occurs in a document with
 a smaller id; a passage is a run of repeated chunks with ``min_words`` words or
-more.  A text of fewer than ``min_words`` words is compared as a whole as well:
+more.  Only whole chunks count, so the ends of a common passage are lost: of
+passages in fresh surroundings 0.20 are found at 25 words, 0.80 at 30, 0.98 at
+35 and all from 40 on (300 of each length).  A text of fewer than ``min_words`` words is compared as a whole as well:
 where it is repeated, all of it is one passage whatever its length.  The copy in the smallest ``doc_id`` stays, repeats inside that same
 document stay too.
 
@@ -32,7 +34,7 @@ from . import _text as T
 from ._stage import stage
 
 _GEAR = np.random.default_rng(77).integers(0, 2**16, 256, dtype=np.uint16)
-RADIUS = 3
+RADIUS = 2
 MIN_WORDS = 20
 # Runs of one repeated word have no smallest hash: cut them at this many words.
 MAX_WORDS = 16

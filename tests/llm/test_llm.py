@@ -87,6 +87,25 @@ def test_copies_of_10_to_40_words_are_found_in_any_order(spark):
         assert {(r.doc_id, r.first_doc_id, r.start, r.end, r.n_words) for r in found.collect()} == expected
 
 
+def test_passages_inside_longer_texts(spark):
+    """Found share by length of a common passage in fresh surroundings; spans stay inside the passage."""
+    rng = np.random.default_rng(5)
+    rows, inside = [], {}
+    for length in (30, 35, 45):
+        for _ in range(120):
+            passage = [f"p{x}" for x in rng.integers(0, 10**6, length)]
+            for _ in range(2):
+                before, after = ([f"s{x}" for x in rng.integers(0, 10**6, rng.integers(30, 80))] for _ in range(2))
+                rows.append((len(rows), " ".join(before + passage + after)))
+            inside[len(rows) - 1] = (length, len(" ".join(before)) + 1, len(" ".join(before + passage)))
+    found = {r.doc_id: r for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert set(found) <= set(inside)
+    for d, r in found.items():
+        assert r.first_doc_id == d - 1 and inside[d][1] <= r.start < r.end <= inside[d][2]
+    for length, least in ((30, 0.7), (35, 0.93), (45, 1.0)):
+        assert np.mean([d in found for d in inside if inside[d][0] == length]) >= least
+
+
 def test_cuts_depend_on_the_text_alone():
     def cuts(texts):
         buf = np.frombuffer("".join(texts).encode(), np.uint8)
