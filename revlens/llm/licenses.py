@@ -11,7 +11,8 @@ words matched.  Templates of 30 words or more need ``threshold``, shorter ones
 every word but those of ``FILLERS``, since one word tells one short notice from
 another.  The words of ``SAME`` count as equal.  What tells a template from its
 near-equals (``DECIDING``: kind and version) must stand in the text word by
-word, at half of its places in the template or more.
+word, at half of its places in the template or more.  A short notice with a word of
+``NEGATIONS`` in it or right before it is no match.
 
 Where matches overlap, the one with more matched words stays, then the one with
 the higher coverage.
@@ -134,8 +135,13 @@ for _short, _long in (("", ""), ("SA", "ShareAlike"), ("NC", "NonCommercial"), (
     TEMPLATES[_name] = f"This work is licensed under a Creative Commons {'-'.join(filter(None, ('Attribution', _long)))} 4.0 International License."
     TEMPLATES[f"{_name}-notice"] = f"Licensed under CC {'-'.join(filter(None, ('BY', _short)))} 4.0."
 TEXTS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
-FILLERS = ("a", "is", "the", "this", "work")
-SAME = {"released": "licensed", "distributed": "licensed", "licence": "license"}
+FILLERS = ("a", "is", "the", "this", "work", "version", "v")
+NEGATIONS = ("not", "no", "never", "isn", "nor", "cannot")
+SAME = {"released": "licensed", "distributed": "licensed", "licence": "license", "v1": "1", "v2": "2", "v3": "3"}
+# Identifier lines: all words, one after another.
+IDENTIFIERS = ("MIT", "MIT-0", "Apache-2.0", "ISC", "Zlib", "Unlicense", "BSL-1.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause",
+               "EPL-1.0", "EPL-2.0", "MPL-1.1", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+               *(f"{x}{end}" for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for end in ("", "-only", "-or-later")))
 _GNU = {"GPL": "gnu general public license", "LGPL": "gnu lesser general public license", "AGPL": "gnu affero general public license"}
 DECIDING = {
     **{x: (_GNU[x.split("-")[0]], f"version {v} of") for x, v in (
@@ -159,6 +165,8 @@ DECIDING = {
     "BSD-2-Clause-notice": ("bsd 2-clause license",), "BSD-3-Clause-notice": ("bsd 3-clause license",),
     **{x: (re.search(r"Attribution.* 4\.0|CC BY.* 4\.0", TEMPLATES[x])[0],) for x in TEMPLATES if x.startswith("CC-BY")},
 }
+TEMPLATES |= {f"{x}-identifier": f"SPDX-License-Identifier: {x}" for x in IDENTIFIERS}
+DECIDING |= {f"{x}-identifier": (f"SPDX-License-Identifier: {x}",) for x in IDENTIFIERS}
 
 
 def all_templates() -> dict[str, str]:
@@ -272,6 +280,8 @@ class Scanner:
                        for w, c in zip(self.words, core)]
         self.need = [int(c.sum()) if len(c) < SHORT else int(np.ceil(threshold * len(c))) for c in core]
         self.must = [set(np.flatnonzero(c).tolist()) if len(c) < SHORT else set() for c in core]
+        self.short = [len(w) < SHORT for w in self.words]
+        self.negations = np.array([_hashes(x)[0] for x in NEGATIONS])
         self.deciding = [[self._places(w, _hashes(x)) for x in DECIDING.get(name, ())] for name, w in zip(self.names, self.words)]
 
     @staticmethod
@@ -290,6 +300,13 @@ class Scanner:
                 return False
         return True
 
+    def _negated(self, t: int, w: np.ndarray, rows: np.ndarray, a: int, b: int) -> bool:
+        """A short notice with a negation in it or right before it."""
+        if not self.short[t]:
+            return False
+        before = a - 1 if a > 0 and rows[a - 1] == rows[a] else a
+        return bool(np.isin(w[before:b + 1], self.negations).any())
+
     def scan(self, buf, off):
         """Yield ``(row, name, matched, template words, first byte, end byte)``."""
         starts, ends, rows = T.find_words(buf, off, T.IS_ALNUM)
@@ -326,7 +343,8 @@ class Scanner:
                 pairs = patience_align(w[i:stop].tolist(), template)
                 if len(pairs) >= self.need[t] and self._decided(t, pairs):
                     a, b = i + pairs[0][0], i + pairs[-1][0]
-                    found.setdefault(int(rows[i]), []).append((len(pairs), name, len(template), a, b))
+                    if not self._negated(t, w, rows, a, b):
+                        found.setdefault(int(rows[i]), []).append((len(pairs), name, len(template), a, b))
                     done = b + 1
         for row in sorted(found):
             kept = []

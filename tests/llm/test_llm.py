@@ -338,6 +338,18 @@ def gnu(kind, version, thing="program"):
             f"of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {kind} for more details.")
 
 
+def test_identifiers_versions_and_negations(spark):
+    texts = {1: ("Licensed under the Apache License 2.0", "Apache-2.0-notice"), 2: ("x\n// SPDX-License-Identifier: MIT\ny", "MIT-identifier"),
+             3: ("This work is not licensed under a Creative Commons Attribution 4.0 International License.", None),
+             4: ("It is not released under the MIT License.", None), 5: ("Licensed under the Apache License v2.0.", "Apache-2.0-notice"),
+             6: ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later-identifier"),
+             7: ("SPDX-License-Identifier: CC-BY-NC-SA-4.0", None), 8: ("Why not? Well. Released under the MIT License.", "MIT-notice"),
+             9: ("Licensed under the GNU General Public License, version 2.", "GPL-2.0-notice"),
+             10: ("SPDX-License-Identifier: CC-BY-SA-4.0", "CC-BY-SA-4.0-identifier")}
+    got = {r.doc_id: r.license for r in licenses.find_licenses(frame(spark, [(i, t) for i, (t, _) in texts.items()])).collect()}
+    assert got == {i: name for i, (_, name) in texts.items() if name}
+
+
 def test_near_equal_licenses_are_told_apart(spark):
     bsd = licenses.TEMPLATES["BSD-3-Clause"]
     no_endorsement = re.sub(r"Neither the name.*?permission\.", "", bsd)
