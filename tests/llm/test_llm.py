@@ -408,3 +408,62 @@ def test_token_counts_round_trip(spark):
     docs = docs.unionByName(spark.createDataFrame([(-1, None), (-2, "")], "doc_id long, text string"))
     got = {r.doc_id: r.n_tokens for r in token_counts.count_documents(docs, ranks, queries.SPLIT_PATTERN, block_tokens=1000).collect()}
     assert got == {r.doc_id: len(enc.encode_ordinary(r.text or "")) for r in docs.collect()}
+
+@pytest.fixture
+def many_partitions(spark):
+    """Shuffles into 64 partitions that Spark does not merge."""
+    own = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_few_links_take_few_tasks(many_partitions):
+    from revlens.llm._stage import ROWS_A_TASK, connected_components, narrow
+    spark = many_partitions
+    # 40 chains of 9 ids, repeated links, a self link and null ends
+    links = [(c * 100 + i, c * 100 + i + 1) for c in range(40) for i in range(8)]
+    rows = [*links, *((b, a) for a, b in links[::3]), (7, 7), (None, 5), (6, None)]
+    comp = connected_components(spark.createDataFrame(rows, "a long, b long"))
+    assert sorted(map(tuple, comp.collect())) == sorted((c * 100 + i, c * 100) for c in range(40) for i in range(9))
+    cores = spark.sparkContext.defaultParallelism
+    assert len(set(comp.inputFiles())) <= cores < 64  # a written file a task
+    wide = spark.range(ROWS_A_TASK * 100).repartition(64)
+    assert narrow(wide, ROWS_A_TASK * 100).rdd.getNumPartitions() == 64  # many rows keep their tasks
+
+
+def test_near_copies_in_many_partitions(many_partitions):
+    """Classes of linked texts over several rounds, against all pairs."""
+    spark = many_partitions
+    base = {g: [f"g{g}w{i}" for i in range(60)] for g in range(4)}
+    texts = []
+    for g, words in base.items():
+        for j in range(12):
+            w = list(words)
+            w[j] = f"x{g}_{j % 5}"  # neighbours share most shingles, some copies are exact
+            texts.append(" ".join(w))
+    texts += ["one two", "one two", "", None, "alone in the whole corpus of texts"]
+    docs = [(1000 - 7 * i, t) for i, t in enumerate(texts)]
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i:i + 4]) for i in range(max(1, len(w) - 3))} if w else set()
+
+    sets = {i: shingles(t) for i, t in docs}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                lo, hi = sorted((root(a), root(b)))
+                parent[hi] = lo
+    got = ngram_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == sorted((i, len(s), root(i)) for i, s in sets.items())
