@@ -223,23 +223,116 @@ def param_grid(spark, **axes) -> DataFrame:
     return spark.createDataFrame(rows, names)
 
 
+BINS = 32  # MLlib's default number of bins a feature
+CELLS = 1 << 10
+FOREST_COUNTS = 1 << 26
+DRAW_ROWS = 1 << 18
+
+
 def random_forest_regression(train: DataFrame, test: DataFrame, features: list[str], label: str,
                              trees: int = 100, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """ML-17: random forest fitted on the complete rows of ``train``; returns (test predictions, null for
-    rows without all features; ``split, rmse, n, incomplete`` of both splits from one pass)."""
+    rows without all features; ``split, rmse, n, incomplete`` of both splits from one pass).
+
+    MLlib keeps ``trees`` bootstrap counts with every row.  Beyond ``FOREST_COUNTS`` of them a forest on one or two
+    features (``CELLS`` cells of bins at most) is learnt from sums by tree and cell, see :func:`forest_by_cells`.
+    """
     from pyspark.ml.regression import RandomForestRegressor
-    rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, seed=seed)
     rows = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     usable = [*features, label]
-    model = rf.fit(assemble(train.where(complete([label])), features))
+    known = train.where(complete(usable))
+    if BINS ** len(features) <= CELLS and (n := known.count()) * trees > FOREST_COUNTS:
+        predict = forest_by_cells(known, n, features, label, trees, seed)
+    else:
+        rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, seed=seed)
+        model = rf.fit(assemble(train.where(complete([label])), features))
+        predict = lambda df: model.transform(assemble(df, features)).drop("features")
     e = F.col("prediction") - F.col(label)
-    errors = model.transform(assemble(rows.where(complete([label])), features)).groupBy("split").agg(
+    errors = predict(rows.where(complete([label]))).groupBy("split").agg(
         F.sqrt(F.avg(e * e)).alias("rmse"), F.count(F.lit(1)).alias("n"))
     left = rows.groupBy("split").agg(F.sum((~complete(usable)).cast("long")).alias("incomplete"))
     scores = left.join(errors, "split", "left").select("split", "rmse", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "incomplete")
-    predicted = model.transform(assemble(test, features)).drop("features")
     rest = test.where(~complete(features)).withColumn("prediction", F.lit(None).cast("double"))
-    return predicted.unionByName(rest), scores
+    return predict(test).unionByName(rest), scores
+
+
+def bin_edges(known: DataFrame, col: str) -> list[float]:
+    """Edges of ``BINS`` bins at most: midpoints of the values if they are so few, else quantiles of all rows."""
+    x = known.select(F.col(col).cast("double").alias("x"))
+    few = sorted(r.x for r in x.distinct().limit(BINS + 1).collect())
+    if len(few) <= BINS:
+        inner = [(a + b) / 2 for a, b in zip(few, few[1:])]
+    else:
+        inner = sorted(set(x.approxQuantile("x", [i / BINS for i in range(1, BINS)], 0.001)) - {float("-inf"), float("inf")})
+    return [float("-inf"), *inner, float("inf")]
+
+
+def forest_by_cells(known: DataFrame, n: int, features: list[str], label: str, trees: int, seed: int):
+    """A forest learnt from what its splits can tell apart; returns a function that adds ``prediction`` to the rows with all features.
+
+    Every row is drawn a Poisson(1) number of times for every tree, as in MLlib's bootstrap (other draws); the draws are
+    summed by tree and cell of bins at once and kept nowhere.  Rows of a cell are never split, so their number and
+    mean label give every split the gain that the rows give it, up to rounding.  MLlib learns each tree from its cells.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    from itertools import product
+    from statistics import fmean
+
+    import numpy as np
+    import pandas as pd
+    from pyspark import TaskContext
+    from pyspark.ml.feature import Bucketizer
+    from pyspark.ml.regression import RandomForestRegressor
+
+    spark = known.sparkSession
+    edges = [bin_edges(known, c) for c in features]
+    bins = [f"_bin{i}" for i in range(len(features))]
+
+    def binned(df):
+        """Two edges make one bin, which Bucketizer does not take."""
+        df = df.where(complete(features))
+        for c, at, b in zip(features, edges, bins):
+            df = Bucketizer(splits=at, inputCol=c, outputCol=b).transform(df) if len(at) > 2 else df.withColumn(b, F.lit(0.0))
+        return df
+
+    width = BINS ** len(features)
+    cell = sum((F.col(b) * BINS ** i for i, b in enumerate(bins)), F.lit(0.0)).cast("int")
+
+    def draw(batches):
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        w, s = np.zeros((trees, width)), np.zeros((trees, width))
+        for batch in batches:
+            at, y = batch["cell"].to_numpy(), batch["y"].to_numpy()
+            times = rng.poisson(1.0, (trees, len(at)))
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            w[:, at[first]] += np.add.reduceat(times, first, axis=1)
+            s[:, at[first]] += np.add.reduceat(times * y, first, axis=1)
+        tree, at = np.nonzero(w)
+        yield pd.DataFrame({"tree": tree.astype(np.int32), "cell": at.astype(np.int32), "w": w[tree, at], "s": s[tree, at]})
+
+    # sorted: a rerun draws the same rows, and the rows of a cell follow one another
+    dealt = (binned(known).select(cell.alias("cell"), F.col(label).cast("double").alias("y")).repartition(-(-n // DRAW_ROWS))
+             .sortWithinPartitions("cell", "y"))
+    drawn = (dealt.mapInPandas(draw, "tree int, cell int, w double, s double").groupBy("tree", "cell")
+             .agg(F.sum("w").alias("w"), (F.sum("s") / F.sum("w")).alias("y")))
+    sums = assemble(drawn.select("tree", "w", "y", *((F.floor(F.col("cell") / BINS ** i) % BINS).cast("double").alias(b)
+                                                     for i, b in enumerate(bins))).coalesce(1), bins).persist()
+    grid = list(product(*[map(float, range(len(at) - 1)) for at in edges]))
+    cells = assemble(spark.createDataFrame(grid, ", ".join(f"{b} double" for b in bins)).coalesce(1), bins).persist()
+
+    def tree(t):
+        one = RandomForestRegressor(featuresCol="features", labelCol="y", weightCol="w", numTrees=1, bootstrap=False,
+                                    featureSubsetStrategy="onethird", seed=seed + t).fit(sums.where(F.col("tree") == t))
+        return {tuple(r)[:-1]: r.prediction for r in one.transform(cells).select(*bins, "prediction").collect()}
+
+    sums.count()
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        found = list(pool.map(tree, range(trees)))
+    sums.unpersist()
+    cells.unpersist()
+    mean = spark.createDataFrame([(*c, fmean(f[c] for f in found)) for c in grid],
+                                 ", ".join([*(f"{b} double" for b in bins), "prediction double"]))
+    return lambda df: binned(df).join(F.broadcast(mean), bins).select(*df.columns, "prediction")
 
 
 def grid_search_cv(samples: DataFrame, features: list[str], label: str, fold_col: str,

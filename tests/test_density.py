@@ -213,3 +213,41 @@ def test_rows_without_numbers_stay_in_pca_and_forest(spark):
     pred, errors = cluster.random_forest_regression(df.where("id < 30"), df.where("id >= 30"), ["a", "b"], "y", trees=3)
     assert {r.split: (r.n, r.incomplete) for r in errors.collect()} == {"train": (30, 0), "test": (10, 1)}
     assert {r.id: r.prediction for r in pred.collect()}[90] is None and pred.count() == 11
+
+
+def test_forest_on_many_rows_fits_cells_of_bins(spark, monkeypatch):
+    from pyspark.ml.regression import RandomForestRegressor
+    rnd = np.random.default_rng(5)
+    x = rnd.integers(1, 51, 6000)
+    rows = [(i, float(v), float(v * 10 + rnd.normal() * v)) for i, v in enumerate(x)] + [(9000, None, 1.0), (9001, 3.0, None)]
+    df = spark.createDataFrame(rows, "id long, a double, y double")
+    train, test = df.where("id < 5000"), df.where("id >= 5000")
+    plain, plain_errors = cluster.random_forest_regression(train, test, ["a"], "y", trees=30)
+
+    fitted, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, data, *a: fitted.append(data.count()) or fit(self, data, *a))
+    monkeypatch.setattr(cluster, "FOREST_COUNTS", 100_000, raising=False)
+    monkeypatch.setattr(cluster, "DRAW_ROWS", 1000, raising=False)
+    pred, errors = cluster.random_forest_regression(train, test, ["a"], "y", trees=30)
+    again, _ = cluster.random_forest_regression(train, test, ["a"], "y", trees=30)
+    assert len(fitted) == 60 and max(fitted) <= 32  # a tree sees its cells, not 5,000 rows
+    got, want = ({r.id: r.prediction for r in d.collect()} for d in (pred, plain))
+    assert all(abs(r.prediction - got[r.id]) < 1e-9 for r in again.where("prediction IS NOT NULL").collect())
+    assert set(got) == set(want) and got[9000] is None and pred.columns == plain.columns
+    near = [abs(got[i] - want[i]) for i in want if want[i] is not None]
+    assert max(near) < 16  # labels run from 10 to 500, their bins are some 16 wide and may begin at other values
+    a, b = ({r.split: r for r in e.collect()} for e in (errors, plain_errors))
+    assert all(a[s].n == b[s].n and a[s].incomplete == b[s].incomplete and abs(a[s].rmse / b[s].rmse - 1) < 0.03 for s in b)
+
+
+def test_forest_by_cells_learns_two_features_and_one_value(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "FOREST_COUNTS", 0)
+    rnd = np.random.default_rng(6)
+    rows = [(i, float(rnd.integers(0, 4)), 7.0, float(rnd.normal())) for i in range(400)]
+    df = spark.createDataFrame([(i, a, b, 100 * a + e) for i, a, b, e in rows], "id long, a double, b double, y double")
+    pred, errors = cluster.random_forest_regression(df, df, ["a", "b"], "y", trees=20)
+    got = {r.id: (r.a, r.prediction) for r in pred.collect()}
+    order = [np.mean([p for a, p in got.values() if a == v]) for v in range(4)]
+    # a node sees one of the features; some see only the one without splits and end there, as in MLlib
+    assert len(got) == 400 and order == sorted(order) and order[3] - order[0] > 80
+    assert {r.split: r.n for r in errors.collect()} == {"train": 400, "test": 400}
