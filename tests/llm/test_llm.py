@@ -467,3 +467,13 @@ def test_near_copies_in_many_partitions(many_partitions):
                 parent[hi] = lo
     got = ngram_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(map(tuple, got.collect())) == sorted((i, len(s), root(i)) for i, s in sets.items())
+
+
+def test_components_send_no_join_side_to_the_driver(spark, monkeypatch):
+    from revlens.llm import _stage
+    plans, plain = [], _stage.stage
+    monkeypatch.setattr(_stage, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, name))
+    links = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (5, 5), (6, None)], "a long, b long")
+    got = {r.id: r.component for r in _stage.connected_components(links).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 7: 7, 8: 7, 9: 7}
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
