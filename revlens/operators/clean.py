@@ -244,16 +244,24 @@ def initial_cleaning(df: DataFrame) -> DataFrame:
     """JOB-1 step: rename, drop rows without city/postal code, keep valid codes,
     parse the date, add season and channel, keep known channels, drop rows
     without revenue.  Rows with an unparsable date are dropped too (ANSI-safe)."""
-    df = rename_columns(df, RAW_TO_CANONICAL)
-    df = drop_null_rows(df, ["City", "PostalCode"])
-    df = valid_postal_code(df)
+    return clean_places(clean_lines(rename_columns(df, RAW_TO_CANONICAL)))
+
+
+def clean_lines(df: DataFrame) -> DataFrame:
+    """The part of :func:`initial_cleaning` on columns of the invoice line: date, season, revenue."""
     df = df.withColumn("OrderDate", RF.parse_yyyymmdd("OrderDate")).where(F.col("OrderDate").isNotNull())
     df = df.withColumn("Season", RF.season_fiscal("OrderDate"))
-    df = add_sales_channel(df)
-    df = in_list(df, "SalesChannel", RF.SALES_CHANNELS)
     return drop_null_rows(df, ["NetRevenue"])
 
 
+def clean_places(df: DataFrame) -> DataFrame:
+    """The part of :func:`initial_cleaning` on columns of the customer: city, postal code, channel."""
+    df = drop_null_rows(df, ["City", "PostalCode"])
+    df = valid_postal_code(df)
+    df = add_sales_channel(df)
+    return in_list(df, "SalesChannel", RF.SALES_CHANNELS)
+
+
 def with_column_order(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 

@@ -1,7 +1,8 @@
 """Composite user-level jobs (JOB-1..9).
 
 Each job is a lazy composition of operators; the only driver-side loops are
-the k-selection of k-means (a few candidate k values) and file listing.
+the k-selection of k-means (a few candidate k values), the slices of many lines in
+``prepare_sales`` and file listing.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as RF
-from ..operators import arma, clean, cluster, explore, forecast, geo, scale, segment, timeaxis
+from ..operators import arma, clean, cluster, explore, forecast, geo, scale, segment, slices, timeaxis
 
 CUSTOMER_KS = list(range(3, 11))
 ITEM_KS = list(range(3, 15))
@@ -27,36 +28,56 @@ def prepare_sales(invoices: DataFrame, customers: DataFrame, postal_ref: DataFra
     STR-3 -> JOIN-3/4 -> AGG-16 -> STR-2 -> PRJ-8.  With ``stage_dir`` the
     cleaned frame is written once as a stage (cuts lineage; survives lost
     executors) before the repair steps read it.
+
+    Places are repaired once per customer, not per line: all lines of a customer meet the
+    same places, and those come first in the tie order, so the best place of the customer
+    is that of its lines.  Lines are de-duplicated on their own columns and joined to it,
+    in slices of the order number where they are many.
     """
     inv = clean.select_columns(invoices, clean.INVOICE_COLUMNS).withColumn(
         "Kunde_Verkauf_SK", F.col("Kunde_Verkauf_SK").cast("string"))
     cust = (clean.select_columns(customers, clean.CUSTOMER_COLUMNS)
                  .withColumnRenamed("Kunde_SK", "Kunde_Verkauf_SK"))
-    merged = inv.join(cust, "Kunde_Verkauf_SK", "inner")
-    df = clean.initial_cleaning(merged)
     if stage_dir:
+        merged = inv.join(cust, "Kunde_Verkauf_SK", "inner")
+        df = clean.initial_cleaning(merged)
         path = f"{stage_dir.rstrip('/')}/initial_cleaned"
         df.write.mode("overwrite").parquet(path)
-        df = df.sparkSession.read.parquet(path)
+        lines = df.sparkSession.read.parquet(path).select(*LINE_COLUMNS)
+    else:
+        lines = clean.clean_lines(clean.rename_columns(inv, clean.RAW_TO_CANONICAL)).select(*LINE_COLUMNS)
+    places = customer_places(clean.clean_places(clean.rename_columns(cust, clean.RAW_TO_CANONICAL)),
+                             geo.postal_reference(postal_ref))
+
+    n = slices.slice_count(lines)
+    if n > 1:
+        places = slices.written(places, slices.new_path(lines.sparkSession, "places"))
+    order = [c for c in PREPARE_TIE_ORDER if c in LINE_COLUMNS]
+
+    def finished(part: DataFrame) -> DataFrame:
+        deduped = clean.dedupe_first(part, clean.DEDUPE_KEYS, order)
+        return deduped.join(places, "CustomerID", "inner").select(*CANONICAL_ORDER)
 
-    ref = geo.postal_reference(postal_ref)
-    blended = geo.postal_left_join(df, ref)
+    return slices.in_slices(lines, "OrderNumber", n, finished, "sales")
+
+
+def customer_places(cust: DataFrame, ref: DataFrame) -> DataFrame:
+    """One row per customer of the cleaned master: the repaired place (JOIN-2, STR-3, JOIN-3/4, STR-2, PRJ-8)."""
+    blended = geo.postal_left_join(cust, ref)
     blended = clean.fill_from_column(blended, "City_correct", "City_inconsistent")
     best = geo.fuzzy_best_match(blended, ref.withColumnRenamed("PostalCode", "PostalCodeInt"),
                                 "PostalCodeInt", "City_inconsistent", "City", "Final_City").drop("score")
     blended = blended.join(best, ["PostalCodeInt", "City_inconsistent"], "left")
     blended = geo.fill_states(blended, ref)
     blended = blended.withColumn("PostalCode", RF.pad_postal("PostalCodeInt"))
-    # fan-out rows of one line: prefer the town that was matched, then by name
+    # fan-out rows of one customer: prefer the town that was matched, then by name
     blended = blended.withColumn("_miss", (F.col("City_correct") != F.col("Final_City")).cast("int"))
     order = [c for c in PREPARE_TIE_ORDER if c in blended.columns]
-    order += [c for c in blended.columns if c not in clean.DEDUPE_KEYS + order]
-    deduped = clean.dedupe_first(blended, clean.DEDUPE_KEYS, order)
+    deduped = clean.dedupe_first(blended, ["CustomerID"], order)
     deduped = deduped.withColumn("Final_City", RF.first_part("Final_City", ","))
     deduped = geo.apply_state_overrides(deduped)
-    out = deduped.drop("City_inconsistent", "City_correct", "_miss", "PostalCodeInt") \
-                 .withColumnRenamed("Final_City", "City")
-    return out.select(*CANONICAL_ORDER)
+    return (deduped.drop("City_inconsistent", "City_correct", "_miss", "PostalCodeInt")
+                   .withColumnRenamed("Final_City", "City"))
 
 
 # Which of several lines with one dedupe key is kept: the smallest by these
@@ -66,6 +87,9 @@ PREPARE_TIE_ORDER = ["_miss", "City_correct", "State", "Final_City", "City_incon
                      "ProductGroup", "ProductSubgroup", "BusinessArea", "Type", "IndustryGroup",
                      "SalesChannelCategory", "SalesChannel", "Season"]
 
+# The columns of a cleaned invoice line, without those of its customer.
+LINE_COLUMNS = [clean.RAW_TO_CANONICAL[c] for c in clean.INVOICE_COLUMNS] + ["Season"]
+
 CANONICAL_ORDER = ["OrderNumber", "Company", "ArticleID", "OrderDate", "CustomerID", "RevenueType",
                    "PricePackagingUnit", "Quantity", "NetRevenue", "ProductGroup", "ProductSubgroup",
                    "BusinessArea", "Type", "City", "PostalCode", "IndustryGroup",

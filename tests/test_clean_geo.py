@@ -193,3 +193,42 @@ def test_lines_of_customers_from_100000_on_stay(spark, tmp_path):
     plain, far = (dict(map(tuple, run(spark, d).groupBy("PostalCode").count().collect())) for d in (SF_SMALL, str(tmp_path)))
     assert far.pop("99999") > 0  # customer 0, whose own code 00000 is no valid one
     assert plain and far == plain
+
+
+def test_prepare_sales_in_slices(spark, tmp_path, monkeypatch):
+    from revlens.operators import slices
+    more = [(None, "C3", 14, 20230104, 1, "R", 1.0, 3.0, 4.0, "G", "S2", "BA", "T"),   # two lines without a number are one key
+            (None, "C2", 14, 20230104, 1, "R", 1.0, 3.0, 9.0, "G", "S2", "BA", "T"),
+            ("A4", "C9", 13, 20230103, None, "R", 1.0, 3.0, 9.0, "G", "S2", "BA", "T")]
+    more += [(f"B{i}", "C1", i % 7, 20230105, 1 + i % 7, "R", 1.0, 1.0, float(i), "G", "S2", "BA", "T") for i in range(60)]
+    twice = spark.createDataFrame([("1", "Aachen", "52062", "I0", "B2C_a", None), ("3", "Hamburg", "20095", None, "B2B2C_z", None)], CUSTOMER_SCHEMA)
+    tables = {"inv": invoices(spark).unionByName(spark.createDataFrame(more, INVOICE_SCHEMA)),
+              "cust": customers(spark).unionByName(twice), "ref": postal(spark)}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    inv, cust, ref = (spark.read.parquet(f"{tmp_path}/{name}") for name in tables)
+    assert slices.slice_count(inv) == 1 and slices.slice_count(invoices(spark)) == slices.MAX_SLICES
+    whole = jobs.prepare_sales(inv, cust, ref)
+    monkeypatch.setattr(slices, "SLICE_BYTES", 1)
+    sliced = jobs.prepare_sales(inv, cust, ref)
+    staged = jobs.prepare_sales(inv, cust, ref, str(tmp_path))
+    # what is read at last is written: no line is shuffled once more
+    assert "Exchange" not in sliced._jdf.queryExecution().executedPlan().toString()
+    rows = sorted(map(tuple, whole.collect()), key=str)
+    assert rows == sorted(map(tuple, sliced.collect()), key=str) == sorted(map(tuple, staged.collect()), key=str)
+    assert whole.schema == sliced.schema
+    # 1, 2, 3 and 7 are customers with a known place; A1 has two articles
+    assert len(rows) == 6 + sum(1 + i % 7 in (1, 2, 3, 7) for i in range(60))
+    places = {r.CustomerID: (r.City, r.IndustryGroup, r.SalesChannel, r.State) for r in whole.where("OrderNumber like 'B%'").collect()}
+    assert places["1"] == ("Aachen", "I0", "B2C", None)  # all of a customer's places compete, the whole row is taken
+    assert {r.Company: r.NetRevenue for r in whole.where("OrderNumber is null").collect()} == {"C2": 9.0}
+
+
+def test_prepare_sales_shuffles_no_line_for_its_place(spark, tmp_path):
+    inv, cust, ref = invoices(spark), customers(spark), postal(spark)
+    for name, df in (("inv", inv), ("cust", cust), ("ref", ref)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    inv, cust, ref = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("inv", "cust", "ref"))
+    plan = jobs.prepare_sales(inv, cust, ref)._jdf.queryExecution().optimizedPlan().toString()
+    # the lines are read once and meet their customers once
+    assert plan.count("Nettoumsatz") and sum("Relation" in x and "Nettoumsatz" in x for x in plan.splitlines()) == 1
