@@ -15,7 +15,7 @@ part of its score that does not depend on the query.
 A query's row paths descend jointly.  A state is a range of columns together with
 the cells that hold it in the rows of all the query's terms; the sum of weight
 times greatest impact bounds the score of each of its documents.  Best states
-first (``BEAM`` at a time for each query, all queries of a block in one sweep of
+first (``BEAM`` at a time for each query, a group of queries in one sweep of
 arrays), a state is halved and each path goes down to the quarter of its row; a
 single column gives the exact score.  States below the k-th best score known to the
 task are dropped; equal ones stay for the tie by id.  A task keeps k rows
@@ -25,7 +25,8 @@ Counts (documents with a term, all terms, documents of each term) cover all
 documents.  Queries are taken in blocks of about ``BLOCK_TERMS`` terms; one block is
 sent to each task, so its size is bounded whatever the number of queries.
 Memory follows one shard and, when building, one block of a megabyte of text (one
-text at least).
+text at least); shards are written and read one by one, and queries search a shard in
+groups of about ``GROUP_PATHS`` paths.
 
 Defined results: a null or empty text has no terms and is never found; a query
 without terms gives no rows; every query row is ranked on its own, also where ids
@@ -50,7 +51,7 @@ from ._text import IS_ALNUM, find_words, hash_words, text_blocks
 SHARD_POINTS = 1 << 19
 SHARD_DOCS = 1 << 12
 BLOCK_TERMS = 1 << 18
-GROUP = 256
+GROUP_PATHS = 1 << 11
 BEAM = 64
 STEP = 16  # an impact is below 10**6, so its sixteenth fits 16 bits
 _POP = np.array([bin(i).count("1") for i in range(16)], np.uint8)
@@ -178,7 +179,14 @@ def build_index(docs: DataFrame, counts: tuple[int, int], shard_points: int = SH
             yield finished()
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stage(d.mapInArrow(run, _SQL), "k2-treap")
+    return stage(d.mapInArrow(run, _SQL), "k2-treap", large_rows=True)
+
+
+def _rows(batch: pa.RecordBatch):
+    """The rows of a batch of shards, one at a time; their bytes are not copied."""
+    for i in range(batch.num_rows):
+        row = ((name, batch.column(name)[i]) for name in batch.schema.names)
+        yield {name: v.as_buffer() if isinstance(v, (pa.BinaryScalar, pa.LargeBinaryScalar)) else v.as_py() for name, v in row}
 
 
 class Shard:
@@ -193,8 +201,10 @@ class Shard:
         self.terms, self.rows = np.frombuffer(r["terms"], "<u8"), np.frombuffer(r["rows"], "<i4")
         self.masks, self.tops = np.frombuffer(r["masks"], np.uint8), np.frombuffer(r["tops"], "<u2")
         self.occurrences = np.frombuffer(r["occurrences"], f"<u{r['width']}")
-        n = _POP[self.masks].astype(np.int64)
-        self.first = self.base[1] + np.cumsum(n) - n
+        n = _POP[self.masks]
+        self.first = np.cumsum(n, dtype=np.int64)
+        self.first -= n
+        self.first += self.base[1]
 
 
 class Best:
@@ -307,8 +317,8 @@ def _frequencies(index: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
         known = sent.value
         total = np.zeros(len(known), np.int64)
         for b in batches:
-            for terms, df in zip(b.column("terms").to_pylist(), b.column("df").to_pylist()):
-                terms, df = np.frombuffer(terms, "<u8"), np.frombuffer(df, "<i4")
+            for r in _rows(b):
+                terms, df = np.frombuffer(r["terms"], "<u8"), np.frombuffer(r["df"], "<i4")
                 at = np.minimum(np.searchsorted(terms, known), len(terms) - 1)
                 total += np.where(terms[at] == known, df[at], 0)
         at = np.flatnonzero(total)
@@ -320,7 +330,7 @@ def _frequencies(index: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     return out
 
 
-def _search_block(index: DataFrame, rows: list, counts: tuple[int, int], k: int, first_item: int) -> DataFrame:
+def _search_block(index: DataFrame, rows: list, counts: tuple[int, int], k: int, first_item: int, group_paths: int) -> DataFrame:
     """At most k rows per query and task: ``item, item_id, doc_id, score``."""
     ids = [r.item_id for r in rows]
     terms = [np.frombuffer(r.terms, "<u8") for r in rows]
@@ -335,17 +345,18 @@ def _search_block(index: DataFrame, rows: list, counts: tuple[int, int], k: int,
         best = Best(len(ids), k)
         item = np.repeat(np.arange(len(ids)), np.diff(ptr))
         for b in batches:
-            for r in b.to_pylist():
+            for r in _rows(b):
                 shard = Shard(r)
                 at = np.minimum(np.searchsorted(shard.terms, vocabulary), len(shard.terms) - 1)
                 row = np.where((shard.terms[at] == vocabulary) & (weight > 0), shard.rows[at], -1)
                 here = np.flatnonzero(row[of] >= 0)
-                for lo in range(0, len(ids), GROUP):
-                    a, z = np.searchsorted(item[here], (lo, lo + GROUP))
-                    own = here[a:z]
-                    if len(own):
-                        queries, begin = np.unique(item[own], return_index=True)
-                        descend(shard, queries, np.append(begin, len(own)), row[of[own]].astype(np.int64), weight[of[own]], best)
+                a, asked = 0, item[here]
+                while a < len(here):
+                    # whole queries, about group_paths paths: a sweep of the beam holds BEAM times as many
+                    z = int(np.searchsorted(asked, asked[min(a + group_paths, len(here)) - 1], "right"))
+                    own, a = here[a:z], z
+                    queries, begin = np.unique(item[own], return_index=True)
+                    descend(shard, queries, np.append(begin, len(own)), row[of[own]].astype(np.int64), weight[of[own]], best)
         yield pa.RecordBatch.from_arrays(
             [pa.array(best.query + first_item), pa.array([ids[q] for q in best.query], pa.int64()),
              pa.array(best.id, mask=best.no_id), pa.array(best.score)], ["item", "item_id", "doc_id", "score"])
@@ -354,7 +365,8 @@ def _search_block(index: DataFrame, rows: list, counts: tuple[int, int], k: int,
     return index.select(*cols).mapInArrow(run, "item long, item_id long, doc_id long, score long")
 
 
-def search(index: DataFrame, items: DataFrame, counts: tuple[int, int], k: int = 50, block_terms: int = BLOCK_TERMS) -> DataFrame:
+def search(index: DataFrame, items: DataFrame, counts: tuple[int, int], k: int = 50, block_terms: int = BLOCK_TERMS,
+           group_paths: int = GROUP_PATHS) -> DataFrame:
     """``item_id, rank, doc_id, score``: the k best documents of each query."""
     spark = index.sparkSession
     asked = query_terms(items)
@@ -365,7 +377,7 @@ def search(index: DataFrame, items: DataFrame, counts: tuple[int, int], k: int =
         # blocks by hash: about block_terms terms each, one at a time on the driver
         rows = asked.where(F.pmod(F.xxhash64("terms"), F.lit(blocks)) == i).collect()
         if rows and counts[0]:
-            out = out.unionByName(_search_block(index, rows, counts, k, done))
+            out = out.unionByName(_search_block(index, rows, counts, k, done, group_paths))
             done += len(rows)
     w = W.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return (out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -112,3 +112,25 @@ def test_bounds_stop_the_descent():
     best = K.Best(1, 50)
     halved = K.descend(K.Shard(raw), np.array([0]), np.array([0, 2]), K.Shard(raw).rows.astype(np.int64), np.array([5000, 10]), best, beam=4)
     assert len(best.score) == 50 and best.score.min() == best.score.max() and halved < n // 3
+
+
+def test_shards_of_a_task_are_written_and_read_one_by_one(spark):
+    """A task of many shards keeps none of them: each is a row group of its own."""
+    from urllib.parse import unquote, urlparse
+
+    import pyarrow.parquet as pq
+    docs, _ = corpus(200)
+    d = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in docs], DOCS).coalesce(1)
+    index = K.build_index(d, K.corpus_counts(d), 700, 37)
+    groups = [m.row_group(i).num_rows for f in index.inputFiles() for m in [pq.ParquetFile(unquote(urlparse(f).path)).metadata] for i in range(m.num_row_groups)]
+    assert len(groups) == index.count() > 8 and set(groups) == {1}
+
+
+@pytest.mark.parametrize("group_paths", [1, 7, 300])
+def test_groups_of_queries_do_not_change_the_ranking(spark, group_paths):
+    docs, items = corpus(150)
+    d = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in docs], DOCS)
+    q = spark.createDataFrame([(i, t, 3, 4) for i, t in items], ITEMS)
+    counts = K.corpus_counts(d)
+    out = K.search(K.build_index(d, counts, 700, 37), q, counts, 20, group_paths=group_paths)
+    assert sorted(map(tuple, out.collect()), key=str) == brute(docs, items, 20)
