@@ -622,11 +622,13 @@ def _tpch_raw(spark, sf_dir):
     li, od = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")
     pa, cu = read_table(spark, sf_dir, "part"), read_table(spark, sf_dir, "customer")
     na = read_table(spark, sf_dir, "nation")
+    # the day is written out once per order, not per line
+    od = od.select("o_orderkey", "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("_day"))
     inv = (li.join(od, li.l_orderkey == od.o_orderkey).join(pa, li.l_partkey == pa.p_partkey)
              .select(F.col("o_orderkey").cast("string").alias("Belegnummer"),
                      F.col("l_suppkey").cast("string").alias("Unternehmen"),
                      F.col("l_partkey").alias("Artikel_SK"),
-                     F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("Auftragsdatum_SK"),
+                     F.col("_day").alias("Auftragsdatum_SK"),
                      F.col("o_custkey").alias("Kunde_Verkauf_SK"),
                      F.col("l_returnflag").alias("Umsatztyp"),
                      F.col("p_retailprice").alias("Preis Verpackungseinheit"),

@@ -43,22 +43,24 @@ def prepare_sales(invoices: DataFrame, customers: DataFrame, postal_ref: DataFra
         df = clean.initial_cleaning(merged)
         path = f"{stage_dir.rstrip('/')}/initial_cleaned"
         df.write.mode("overwrite").parquet(path)
-        lines = df.sparkSession.read.parquet(path).select(*LINE_COLUMNS)
+        inv, number = df.sparkSession.read.parquet(path), "OrderNumber"
     else:
-        lines = clean.clean_lines(clean.rename_columns(inv, clean.RAW_TO_CANONICAL)).select(*LINE_COLUMNS)
+        number = "Belegnummer"
     places = customer_places(clean.clean_places(clean.rename_columns(cust, clean.RAW_TO_CANONICAL)),
                              geo.postal_reference(postal_ref))
 
-    n = slices.slice_count(lines)
+    n = slices.slice_count(inv)
     if n > 1:
-        places = slices.written(places, slices.new_path(lines.sparkSession, "places"))
+        places = slices.written(places, slices.new_path(inv.sparkSession, "places"))
     order = [c for c in PREPARE_TIE_ORDER if c in LINE_COLUMNS]
 
     def finished(part: DataFrame) -> DataFrame:
-        deduped = clean.dedupe_first(part, clean.DEDUPE_KEYS, order)
+        # cleaned here, so that dates are parsed for the slice's orders alone
+        lines = part if stage_dir else clean.clean_lines(clean.rename_columns(part, clean.RAW_TO_CANONICAL))
+        deduped = clean.dedupe_first(lines.select(*LINE_COLUMNS), clean.DEDUPE_KEYS, order)
         return deduped.join(places, "CustomerID", "inner").select(*CANONICAL_ORDER)
 
-    return slices.in_slices(lines, "OrderNumber", n, finished, "sales")
+    return slices.in_slices(inv, number, n, finished, "sales")
 
 
 def customer_places(cust: DataFrame, ref: DataFrame) -> DataFrame:
